@@ -11,13 +11,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tickhouse.functions.columns import safe_divide
+from tickhouse.operators import quality as dq
 from tickhouse.operators.indicators import fact_daily_performance, price_indicators
-from tickhouse.operators.staging import clean_staging
+from tickhouse.operators.medallion import bronze_frame, gold_daily_summary, silver_frame
+from tickhouse.operators.serving import list_symbols, price_history, symbol_detail
+from tickhouse.operators.staging import clean_staging, valid_price_predicate
 from tickhouse.operators.weekly import weekly_performance
 from tickhouse.plans import oracle
+from tickhouse.plans.flow import load_bronze, load_silver, run_medallion
+from tickhouse.session import new_scratch_dir
 from tickhouse.sources.adapter import raw_bars
+from tickhouse.sources.files import (
+    read_prices_csv,
+    read_raw,
+    write_prices_csv,
+    write_raw_daily,
+    write_raw_history,
+)
+from tickhouse.sources.history import parse_history_frame
+from tickhouse.sources.responses import parse_daily_responses, responses_from_bars
+from tickhouse.sources.tables import VersionedTable, layer_path, layer_status
+from tickhouse.streaming.bronze_stream import bronze_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,12 +68,288 @@ def q_weekly_performance_day_grain(spark: SparkSession, sf_dir: str) -> DataFram
     return weekly_performance(_fact(spark, sf_dir), grain="day")
 
 
+# Fixed arguments of the registered queries (mirrored in ``oracle``).
+NTZ = T.TimestampNTZType()
+FIXED_LOADED_AT = F.lit(oracle.FIXED_LOADED_AT).cast(NTZ)
+DQ_TODAY = dt.date.fromisoformat(oracle.DQ_TODAY)
+SPLIT_DATE = dt.date.fromisoformat(oracle.SPLIT_DATE)
+
+
+def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = bronze_frame(
+        raw_bars(spark, sf_dir),
+        loaded_at=F.col("ingested_at"),
+        source_file=oracle.SOURCE_FILE,
+    )
+    return silver_frame(bronze, loaded_at=FIXED_LOADED_AT)
+
+
+def q_silver_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _silver(spark, sf_dir)
+
+
+def _round_gold(gold: DataFrame) -> DataFrame:
+    # double means and deviations depend on summation order in their last
+    # bits; compare them at 6 decimals
+    return gold.select(
+        *[
+            F.round(c, 6).alias(c) if c in ("avg_close", "std_close", "avg_volume") else c
+            for c in gold.columns
+        ]
+    )
+
+
+def q_gold_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_gold(gold_daily_summary(_silver(spark, sf_dir)))
+
+
+def q_list_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_scratch_dir(spark, "lakehouse")
+    gold = gold_daily_summary(_silver(spark, sf_dir))
+    VersionedTable(spark, layer_path(root, "gold")).overwrite(gold)
+    return _round_gold(list_symbols(spark, root))
+
+
+def q_symbol_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return symbol_detail(_silver(spark, sf_dir), "sym3")
+
+
+def q_price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return price_history(
+        _silver(spark, sf_dir), "sym5", dt.date(1996, 1, 1), dt.date(1999, 12, 31), limit=100
+    )
+
+
+def _raw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dq.dq_report(
+        raw_bars(spark, sf_dir),
+        dq.standard_suite(),
+        "daily_prices",
+        today=DQ_TODAY,
+        executed_at=False,
+    )
+
+
+def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw_report(spark, sf_dir)
+
+
+def q_dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dq.dq_summary(_raw_report(spark, sf_dir))
+
+
+def q_dq_value_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checks = [dq.value_range("close", 0.0, 4000.0), dq.value_range("open", 0.0, 4000.0)]
+    return dq.dq_report(raw_bars(spark, sf_dir), checks, "daily_prices", executed_at=False)
+
+
+def q_dq_model_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_bars(spark, sf_dir)
+    stg = clean_staging(raw)
+    fact = fact_daily_performance(price_indicators(stg), updated_at=False)
+    weekly = weekly_performance(fact, grain="week")
+    return dq.model_tests(
+        {
+            "raw.daily_prices": raw,
+            "stg_daily_prices": stg,
+            "fact_daily_performance": fact,
+            "agg_weekly_performance": weekly,
+        }
+    )
+
+
+def q_safe_divide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_bars(spark, sf_dir)
+    return raw.select(
+        "symbol",
+        "date",
+        "ingested_at",
+        safe_divide(F.col("close"), F.col("volume") + 1).alias("close_per_volume"),
+    )
+
+
+def _parsed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    responses = responses_from_bars(raw_bars(spark, sf_dir))
+    return parse_daily_responses(responses, ingested_at="ingested_at")
+
+
+def q_parse_daily_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _parsed(spark, sf_dir)[0]
+
+
+def q_parse_daily_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _parsed(spark, sf_dir)[1]
+
+
+def _vendor_frame(raw: DataFrame) -> DataFrame:
+    """Bars in the vendor's history shape, with sub-tick noise to round off."""
+    return raw.select(
+        "symbol",
+        F.col("date").cast(NTZ).alias("Date"),
+        (F.col("open") + 0.00003).alias("Open"),
+        (F.col("high") + 0.00004).alias("High"),
+        (F.col("low") - 0.00004).alias("Low"),
+        (F.col("close") + 0.00001).alias("Close"),
+        F.col("volume").alias("Volume"),
+        ((F.col("volume") % 7).cast("double") / 4).alias("Dividends"),
+        "ingested_at",
+    )
+
+
+def q_parse_history_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frame = _vendor_frame(raw_bars(spark, sf_dir))
+    return parse_history_frame(frame, ingested_at="ingested_at")
+
+
+def q_raw_daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_scratch_dir(spark, "raw")
+    write_raw_daily(raw_bars(spark, sf_dir), root)
+    return read_raw(spark, root, "daily", timestamp_type=NTZ)
+
+
+def q_raw_history_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_scratch_dir(spark, "raw")
+    write_raw_history(q_parse_history_frame(spark, sf_dir), root)
+    return read_raw(spark, root, "history", timestamp_type=NTZ)
+
+
+def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_scratch_dir(spark, "csv")
+    write_prices_csv(raw_bars(spark, sf_dir), path)
+    return read_prices_csv(spark, path)
+
+
+def q_bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw_root = new_scratch_dir(spark, "raw")
+    root = new_scratch_dir(spark, "lakehouse")
+    write_raw_daily(raw_bars(spark, sf_dir), raw_root)
+    load_bronze(spark, raw_root, root, loaded_at=FIXED_LOADED_AT, timestamp_type=NTZ)
+    bronze = VersionedTable(spark, layer_path(root, "bronze")).read()
+    return bronze.drop("_source_file")
+
+
+def q_bronze_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_bars(spark, sf_dir)
+    table = VersionedTable(spark, new_scratch_dir(spark, "table"))
+    table.append(raw.where(F.col("date") < F.lit(SPLIT_DATE)))
+    history = parse_history_frame(
+        _vendor_frame(raw.where(F.col("date") >= F.lit(SPLIT_DATE))), ingested_at="ingested_at"
+    )
+    table.append(history, merge_schema=True)
+    return table.read()
+
+
+def _versioned(spark: SparkSession, sf_dir: str) -> VersionedTable:
+    raw = raw_bars(spark, sf_dir)
+    table = VersionedTable(spark, new_scratch_dir(spark, "table"))
+    table.append(raw.where(F.col("date") < F.lit(SPLIT_DATE)))
+    table.append(raw.where(F.col("date") >= F.lit(SPLIT_DATE)))
+    table.overwrite(table.read(1).where(valid_price_predicate(require_high_ge_low=True)))
+    return table
+
+
+def q_table_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _versioned(spark, sf_dir).read(version=1)
+
+
+def q_table_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _versioned(spark, sf_dir).read()
+
+
+def q_table_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        _versioned(spark, sf_dir)
+        .history()
+        .select("version", "operation", "mode", "num_output_rows", "snapshot_start")
+    )
+
+
+def q_layer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_scratch_dir(spark, "lakehouse")
+    load_bronze(
+        spark, raw_bars(spark, sf_dir), root, loaded_at=F.col("ingested_at"),
+        source_file=oracle.SOURCE_FILE,
+    )
+    load_silver(spark, root, loaded_at=FIXED_LOADED_AT)
+    return layer_status(spark, root)
+
+
+def q_bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_bars(spark, sf_dir)
+    landing = new_scratch_dir(spark, "landing")
+    # three landed files, streamed one per micro-batch
+    raw.repartitionByRange(3, "ingested_at").write.parquet(landing)
+    table_path = new_scratch_dir(spark, "bronze")
+    checkpoint = new_scratch_dir(spark, "checkpoint")
+    for _ in range(2):  # the rerun finds nothing new and appends nothing
+        bronze_stream(
+            spark, landing, table_path, checkpoint=checkpoint, schema=raw.schema,
+            max_files_per_trigger=1,
+        )
+    bronze = VersionedTable(spark, table_path).read()
+    return bronze.drop("_source_file", "_bronze_loaded_at")
+
+
+def q_medallion_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_scratch_dir(spark, "lakehouse")
+    summary = run_medallion(
+        spark,
+        raw_bars(spark, sf_dir),
+        root,
+        today=DQ_TODAY,
+        loaded_at=FIXED_LOADED_AT,
+        source_file=oracle.SOURCE_FILE,
+    )
+    d = summary["dq_summary"]
+    row = (
+        summary["status"],
+        summary["symbols_processed"],
+        summary["total_symbols"],
+        d["total_checks"],
+        d["passed"],
+        d["failed"],
+        d["warnings"],
+        d["all_passed"],
+        summary["models_status"],
+    )
+    return spark.createDataFrame(
+        [row],
+        "status string, symbols_processed bigint, total_symbols bigint, "
+        "dq_total_checks bigint, dq_passed bigint, dq_failed bigint, dq_warnings bigint, "
+        "dq_all_passed boolean, models_status string",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "stg_daily_prices": q_stg_daily_prices,
     "price_indicators": q_price_indicators,
     "fact_daily_performance": q_fact_daily_performance,
     "weekly_performance": q_weekly_performance,
     "weekly_performance_day_grain": q_weekly_performance_day_grain,
+    "silver_prices": q_silver_prices,
+    "gold_daily_summary": q_gold_daily_summary,
+    "list_symbols": q_list_symbols,
+    "symbol_detail": q_symbol_detail,
+    "price_history": q_price_history,
+    "dq_report": q_dq_report,
+    "dq_summary": q_dq_summary,
+    "dq_value_range": q_dq_value_range,
+    "dq_model_tests": q_dq_model_tests,
+    "safe_divide": q_safe_divide,
+    "parse_daily_responses": q_parse_daily_responses,
+    "parse_daily_rejects": q_parse_daily_rejects,
+    "parse_history_frame": q_parse_history_frame,
+    "raw_daily_roundtrip": q_raw_daily_roundtrip,
+    "raw_history_roundtrip": q_raw_history_roundtrip,
+    "csv_roundtrip": q_csv_roundtrip,
+    "bronze_load": q_bronze_load,
+    "bronze_schema_merge": q_bronze_schema_merge,
+    "table_snapshot": q_table_snapshot,
+    "table_latest": q_table_latest,
+    "table_history": q_table_history,
+    "layer_status": q_layer_status,
+    "bronze_stream": q_bronze_stream,
+    "medallion_run_summary": q_medallion_run_summary,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -61,4 +358,28 @@ ORACLE_SQL: dict[str, str] = {
     "fact_daily_performance": oracle.FACT_SQL,
     "weekly_performance": oracle.WEEKLY_WEEK_SQL,
     "weekly_performance_day_grain": oracle.WEEKLY_DAY_SQL,
+    "silver_prices": oracle.SILVER_SQL,
+    "gold_daily_summary": oracle.GOLD_SQL,
+    "list_symbols": oracle.GOLD_SQL,
+    "symbol_detail": oracle.SYMBOL_DETAIL_SQL,
+    "price_history": oracle.PRICE_HISTORY_SQL,
+    "dq_report": oracle.DQ_REPORT_SQL,
+    "dq_summary": oracle.DQ_SUMMARY_SQL,
+    "dq_value_range": oracle.DQ_RANGE_SQL,
+    "dq_model_tests": oracle.DQ_MODEL_TESTS_SQL,
+    "safe_divide": oracle.SAFE_DIVIDE_SQL,
+    "parse_daily_responses": oracle.PARSED_RESPONSES_SQL,
+    "parse_daily_rejects": oracle.RESPONSE_REJECTS_SQL,
+    "parse_history_frame": oracle.HISTORY_SQL,
+    "raw_daily_roundtrip": oracle.RAW_SQL,
+    "raw_history_roundtrip": oracle.HISTORY_SQL,
+    "csv_roundtrip": oracle.CSV_SQL,
+    "bronze_load": oracle.BRONZE_LOAD_SQL,
+    "bronze_schema_merge": oracle.SCHEMA_MERGE_SQL,
+    "table_snapshot": oracle.RAW_SQL,
+    "table_latest": oracle.TABLE_LATEST_SQL,
+    "table_history": oracle.TABLE_HISTORY_SQL,
+    "layer_status": oracle.LAYER_STATUS_SQL,
+    "bronze_stream": oracle.BRONZE_STREAM_SQL,
+    "medallion_run_summary": oracle.RUN_SUMMARY_SQL,
 }
