@@ -1,0 +1,19 @@
+"""Driver contract."""
+
+from __future__ import annotations
+
+import __spark_entry__ as entry
+
+
+def test_entry_runs(spark):
+    df = entry.entry(spark)
+    assert df.count() > 0
+    assert "ma_7d" in df.columns
+
+
+def test_every_query_has_oracle_or_is_listed():
+    qs, sql = entry.queries(), entry.oracle_sql()
+    assert set(sql) <= set(qs)
+    assert len(qs) >= 29
+    for name in qs:
+        assert "pipeline" not in name

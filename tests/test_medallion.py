@@ -1,0 +1,66 @@
+"""Bronze / Silver / Gold frames."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from conftest import SF_CHECK, rows_by
+from tickhouse.operators.medallion import bronze_frame, gold_daily_summary, silver_frame
+from tickhouse.operators.staging import clean_staging
+from tickhouse.sources.adapter import raw_bars
+
+# Fixed goldens computed with exact decimals from the sample bars:
+# latest_close, avg_close, std_close (6 dp), avg_volume, total_volume, high, low
+GOLD = {
+    "AAPL": (160.8, 157.84, 2.490582, 94460000.0, 472300000, 161.2, 149.5),
+    "MSFT": (326.5, 321.6, 3.971775, 43240000.0, 216200000, 327.0, 309.0),
+    "GOOGL": (152.4, 148.58, 3.141178, 50820000.0, 254100000, 153.0, 139.5),
+    "AMZN": (198.1, 194.08, 3.444851, 66600000.0, 333000000, 199.0, 184.0),
+}
+
+
+def test_gold_goldens(sample_bars):
+    silver = silver_frame(bronze_frame(sample_bars, source_file="sample.csv"))
+    got = rows_by(gold_daily_summary(silver), "symbol")
+    for sym, (last, avg, std, avgv, totv, hi, lo) in GOLD.items():
+        r = got[(sym,)]
+        assert r["latest_close"] == last
+        assert round(r["avg_close"], 6) == avg
+        assert round(r["std_close"], 6) == std
+        assert r["avg_volume"] == avgv and r["total_volume"] == totv
+        assert (r["all_time_high"], r["all_time_low"]) == (hi, lo)
+        assert r["total_records"] == 5
+        assert str(r["latest_date"]) == "2025-01-08" and str(r["earliest_date"]) == "2025-01-02"
+
+
+def test_bronze_metadata(sample_bars):
+    b = bronze_frame(sample_bars, source_file="x.parquet").first()
+    assert b["_source_file"] == "x.parquet" and b["_load_pipeline"] == "raw_ingestion"
+    assert b["_bronze_loaded_at"] is not None
+
+
+def test_silver_dedups_before_filtering(spark):
+    """H2: Silver (dedup, then filter incl. high >= low) vs staging order."""
+    raw = raw_bars(spark, SF_CHECK)
+    bronze = bronze_frame(raw, loaded_at=F.col("ingested_at"), source_file="orders")
+    silver = silver_frame(bronze)
+    assert silver.count() == 9510
+    assert clean_staging(raw).count() == 9947
+    assert silver.where(~F.col("_is_valid")).count() == 0
+
+
+def test_silver_newest_bad_row_drops_key(spark, sample_bars):
+    newer_bad = sample_bars.where("symbol = 'AAPL' and date = date'2025-01-02'").withColumn(
+        "ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 HOUR")
+    ).withColumn("high", F.lit(1.0))
+    bronze = bronze_frame(sample_bars.unionByName(newer_bad), loaded_at=F.col("ingested_at"),
+                          source_file="s")
+    silver = silver_frame(bronze)
+    assert silver.count() == 19
+    assert silver.where("symbol = 'AAPL' and date = date'2025-01-02'").count() == 0
+    # staging falls back to the older good row instead
+    stg = clean_staging(sample_bars.unionByName(newer_bad.withColumn("open", F.lit(-1.0))))
+    row = stg.where("symbol = 'AAPL' and trade_date = date'2025-01-02'").first()
+    assert row["high_price"] == Decimal("155.8000")
