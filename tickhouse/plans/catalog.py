@@ -70,7 +70,12 @@ def q_weekly_performance_day_grain(spark: SparkSession, sf_dir: str) -> DataFram
 
 # Fixed arguments of the registered queries (mirrored in ``oracle``).
 NTZ = T.TimestampNTZType()
-FIXED_LOADED_AT = F.lit(oracle.FIXED_LOADED_AT).cast(NTZ)
+
+
+def fixed_loaded_at() -> F.Column:
+    return F.lit(oracle.FIXED_LOADED_AT).cast(NTZ)
+
+
 DQ_TODAY = dt.date.fromisoformat(oracle.DQ_TODAY)
 SPLIT_DATE = dt.date.fromisoformat(oracle.SPLIT_DATE)
 
@@ -81,7 +86,7 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
         loaded_at=F.col("ingested_at"),
         source_file=oracle.SOURCE_FILE,
     )
-    return silver_frame(bronze, loaded_at=FIXED_LOADED_AT)
+    return silver_frame(bronze, loaded_at=fixed_loaded_at())
 
 
 def q_silver_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,7 +228,7 @@ def q_bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_root = new_scratch_dir(spark, "raw")
     root = new_scratch_dir(spark, "lakehouse")
     write_raw_daily(raw_bars(spark, sf_dir), raw_root)
-    load_bronze(spark, raw_root, root, loaded_at=FIXED_LOADED_AT, timestamp_type=NTZ)
+    load_bronze(spark, raw_root, root, loaded_at=fixed_loaded_at(), timestamp_type=NTZ)
     bronze = VersionedTable(spark, layer_path(root, "bronze")).read()
     return bronze.drop("_source_file")
 
@@ -270,7 +275,7 @@ def q_layer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, raw_bars(spark, sf_dir), root, loaded_at=F.col("ingested_at"),
         source_file=oracle.SOURCE_FILE,
     )
-    load_silver(spark, root, loaded_at=FIXED_LOADED_AT)
+    load_silver(spark, root, loaded_at=fixed_loaded_at())
     return layer_status(spark, root)
 
 
@@ -297,7 +302,7 @@ def q_medallion_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw_bars(spark, sf_dir),
         root,
         today=DQ_TODAY,
-        loaded_at=FIXED_LOADED_AT,
+        loaded_at=fixed_loaded_at(),
         source_file=oracle.SOURCE_FILE,
     )
     d = summary["dq_summary"]
