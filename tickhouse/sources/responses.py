@@ -7,7 +7,7 @@ A response is one JSON document per symbol request:
 
 Every step is a row-local expression on the response row -- parse with
 ``from_json``, convert each map entry with ``transform``, test the whole
-response with ``exists`` and only then ``explode`` -- so there is no
+response by counting bad entries and only then ``explode`` -- so there is no
 shuffle and no per-row Python.  A response without the series key
 (rate-limit note, error message) yields no rows and no reject.  A
 response with any unparsable entry is rejected *as a whole*, which is
@@ -31,7 +31,6 @@ RESPONSE_SCHEMA = T.StructType(
     ]
 )
 
-REJECT_SCHEMA = "symbol string, ingested_at timestamp, reason string, bad_entries int"
 
 
 def _entry(e: Column) -> Column:
@@ -66,18 +65,24 @@ def _staged(responses: DataFrame, body: str, symbol: str, ingested_at) -> DataFr
     else:
         stamp = ingested_at
     doc = F.from_json(F.col(body), RESPONSE_SCHEMA, {"columnNameOfCorruptRecord": _CORRUPT})
-    return responses.select(
-        F.col(symbol).alias("symbol"),
-        stamp.alias("ingested_at"),
-        doc.alias("_doc"),
-    ).select(
-        "symbol",
-        "ingested_at",
-        F.col("_doc")[_CORRUPT].isNotNull().alias("_malformed"),
-        F.transform(F.map_entries(F.col("_doc")[RESPONSE_SERIES_KEY]), _entry).alias("_entries"),
-    ).withColumn(
-        "_bad_entries",
-        F.coalesce(F.size(F.filter("_entries", _entry_bad)), F.lit(0)),
+    return (
+        responses.select(
+            F.col(symbol).alias("symbol"),
+            stamp.alias("ingested_at"),
+            doc.alias("_doc"),
+        )
+        .select(
+            "symbol",
+            "ingested_at",
+            F.col("_doc")[_CORRUPT].isNotNull().alias("_malformed"),
+            F.transform(F.map_entries(F.col("_doc")[RESPONSE_SERIES_KEY]), _entry).alias(
+                "_entries"
+            ),
+        )
+        .withColumn(
+            "_bad_entries",
+            F.coalesce(F.size(F.filter("_entries", _entry_bad)), F.lit(0)),
+        )
     )
 
 
@@ -93,10 +98,16 @@ def parse_daily_responses(
     and the requested ticker in ``symbol``.  ``ingested_at`` (column name
     or Column) stamps each response; by default every response of the
     query gets the query's current timestamp.
+
+    Rows are kept or dropped by the generator (``explode`` of NULL emits
+    nothing) rather than by a filter: the optimizer pushes a filter below
+    the projection and would re-run the JSON parse once per predicate.
     """
     staged = _staged(responses, body, symbol, ingested_at)
-    ok = staged.where(~F.col("_malformed") & (F.col("_bad_entries") == 0))
-    prices = ok.select("symbol", "ingested_at", F.explode("_entries").alias("e")).select(
+    ok = ~F.col("_malformed") & (F.col("_bad_entries") == 0)
+    prices = staged.select(
+        "symbol", "ingested_at", F.explode(F.when(ok, F.col("_entries"))).alias("e")
+    ).select(
         "symbol",
         "e.date",
         "e.open",
@@ -106,14 +117,15 @@ def parse_daily_responses(
         "e.volume",
         "ingested_at",
     )
-    rejects = staged.where(F.col("_malformed") | (F.col("_bad_entries") > 0)).select(
-        "symbol",
-        "ingested_at",
+    reject = F.struct(
         F.when(F.col("_malformed"), F.lit("malformed_json"))
         .otherwise(F.lit("bad_field"))
         .alias("reason"),
         F.col("_bad_entries").cast("int").alias("bad_entries"),
     )
+    rejects = staged.select(
+        "symbol", "ingested_at", F.inline(F.when(~ok, F.array(reject)))
+    )
     return prices, rejects
 
 
