@@ -34,17 +34,19 @@ def load_bronze(
     loaded_at=None,
     source_file: Column | str | None = None,
     timestamp_type: T.DataType | None = None,
+    ingest_date: dt.date | None = None,
 ) -> int | None:
     """Append raw bars to Bronze; returns the new version.
 
-    ``raw`` is a landed raw root (read with ``read_raw``; each row keeps
-    its file in ``_source_file``) or a DataFrame (then pass
-    ``source_file`` unless it is a direct file scan).  Appending the same
-    input twice duplicates it, as in the reference; use the stream loader
-    for exactly-once loading.
+    ``raw`` is a landed raw root (read with ``read_raw``, restricted to
+    the ``ingest_date`` folders when given; each row keeps its file in
+    ``_source_file``) or a DataFrame (then pass ``source_file`` unless it
+    is a direct file scan).  Appending the same input twice duplicates
+    it, as in the reference; a daily run should pass its ``ingest_date``
+    (or use the stream loader, which is exactly-once).
     """
     if isinstance(raw, str):
-        raw = read_raw(spark, raw, "daily", timestamp_type)
+        raw = read_raw(spark, raw, "daily", timestamp_type, ingest_date)
     bronze = bronze_frame(raw, loaded_at=loaded_at, source_file=source_file)
     return VersionedTable(spark, layer_path(root, "bronze")).append(bronze, merge_schema=True)
 
@@ -84,9 +86,14 @@ def run_medallion(
     loaded_at=None,
     source_file: Column | str | None = None,
     timestamp_type: T.DataType | None = None,
+    ingest_date: dt.date | None = None,
 ) -> dict:
     """Run every layer and return the run summary.
 
+    ``raw`` is the new input: a DataFrame, or a landed raw root of which
+    only the ``ingest_date`` folders are loaded when that is given (a
+    daily run); without it every landed day is appended again.
+
     No input (None, or no rows for the requested symbols) returns
     ``{"status": "no_data", "symbols_processed": 0}``.  Checks only
     report; they never stop Gold.  A failure while building the marts is
@@ -95,7 +102,7 @@ def run_medallion(
     if raw is None:
         return {"status": "no_data", "symbols_processed": 0}
     if isinstance(raw, str):
-        raw = read_raw(spark, raw, "daily", timestamp_type)
+        raw = read_raw(spark, raw, "daily", timestamp_type, ingest_date)
     if symbols:
         raw = raw.where(F.col("symbol").isin([s.upper() for s in symbols]))
     if raw.isEmpty():

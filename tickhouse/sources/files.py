@@ -69,11 +69,14 @@ def read_raw(
     root: str,
     kind: str = "daily",
     timestamp_type: T.DataType | None = None,
+    ingest_date: dt.date | None = None,
 ) -> DataFrame:
     """Read landed raw bars with an explicit schema.
 
     ``kind`` is ``daily`` or ``history``.  ``timestamp_type`` is the type
     ``ingested_at`` was written with (TIMESTAMP by default).
+    ``ingest_date`` (daily only) keeps one landing day; it is a partition
+    filter, so only that day's folders are listed and read.
     """
     if kind == "daily":
         schema = raw_daily_schema(timestamp_type)
@@ -85,7 +88,12 @@ def read_raw(
         path = f"{root.rstrip('/')}/{HISTORY_DIR}"
     else:
         raise ValueError(f"kind must be 'daily' or 'history', got {kind!r}")
-    return spark.read.schema(full).parquet(path).select(*schema.fieldNames())
+    df = spark.read.schema(full).parquet(path)
+    if ingest_date is not None:
+        if kind != "daily":
+            raise ValueError("ingest_date applies to daily raw bars only")
+        df = df.where(F.col("ingest_date") == F.lit(ingest_date))
+    return df.select(*schema.fieldNames())
 
 
 def read_prices_csv(spark: SparkSession, path: str) -> DataFrame:
