@@ -139,6 +139,14 @@ def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw_report(spark, sf_dir)
 
 
+def q_silver_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flow's check suite on Silver: only NULL keys and freshness can fail."""
+    silver = _silver(spark, sf_dir)
+    return dq.dq_report(
+        silver, dq.standard_suite(), "daily_prices", today=DQ_TODAY, executed_at=False
+    )
+
+
 def q_dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.dq_summary(_raw_report(spark, sf_dir))
 
@@ -337,6 +345,7 @@ QUERIES: dict[str, Query] = {
     "symbol_detail": q_symbol_detail,
     "price_history": q_price_history,
     "dq_report": q_dq_report,
+    "silver_dq_report": q_silver_dq_report,
     "dq_summary": q_dq_summary,
     "dq_value_range": q_dq_value_range,
     "dq_model_tests": q_dq_model_tests,
@@ -369,6 +378,7 @@ ORACLE_SQL: dict[str, str] = {
     "symbol_detail": oracle.SYMBOL_DETAIL_SQL,
     "price_history": oracle.PRICE_HISTORY_SQL,
     "dq_report": oracle.DQ_REPORT_SQL,
+    "silver_dq_report": oracle.SILVER_DQ_REPORT_SQL,
     "dq_summary": oracle.DQ_SUMMARY_SQL,
     "dq_value_range": oracle.DQ_RANGE_SQL,
     "dq_model_tests": oracle.DQ_MODEL_TESTS_SQL,
