@@ -1,10 +1,10 @@
 """Column-level helpers shared by the operators."""
 
 from tickhouse.functions.columns import (
-    as_decimal_ticks,
+    as_ticks,
     exact_mean,
     ratio_pct,
     safe_divide,
 )
 
-__all__ = ["as_decimal_ticks", "exact_mean", "ratio_pct", "safe_divide"]
+__all__ = ["as_ticks", "exact_mean", "ratio_pct", "safe_divide"]

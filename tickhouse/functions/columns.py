@@ -36,9 +36,16 @@ def ratio_pct(new: Column | str, base: Column | str, digits: int = 4) -> Column:
     return F.round((n - b).cast("double") / b.cast("double") * 100, digits)
 
 
-def as_decimal_ticks(c: Column | str, scale: int = 4, precision: int = 20) -> Column:
-    """Cast a value with at most ``scale`` decimals to an exact decimal."""
-    return _col(c).cast(T.DecimalType(precision, scale))
+def as_ticks(c: Column | str, scale: int = 4) -> Column:
+    """Exact integer count of ``10**-scale`` units in a value with at most
+    ``scale`` decimals (a price of 154.3 is 1543000 ticks at scale 4).
+
+    The value goes through ``decimal(20, scale)`` so a double is read by
+    its shortest decimal form; ANSI mode raises on overflow (values from
+    about 9.2e14 at scale 4) instead of wrapping.
+    """
+    exact = _col(c).cast(T.DecimalType(20, scale))
+    return (exact * F.lit(10**scale)).cast("bigint")
 
 
 def exact_mean(
@@ -49,18 +56,19 @@ def exact_mean(
 ) -> Column:
     """Mean rounded half-up to ``digits``, computed without binary error.
 
-    Values are summed as decimals (prices carry four decimals, volumes
-    none), divided by the non-null count and rounded on the exact
-    quotient, then returned as double.  A double mean would make the last
-    digit depend on summation order, i.e. on the partitioning.  NULLs are
-    ignored; an all-NULL input gives NULL.
+    Values are summed as integer ticks (prices carry four decimals,
+    volumes none), so frame and group sums stay on 64-bit integer
+    arithmetic; the tick sum is divided by the non-null count as an exact
+    decimal, rounded half-up, and scaled back to a double.  A double mean
+    would make the last digit depend on summation order, i.e. on the
+    partitioning.  NULLs are ignored; an all-NULL input gives NULL.
     """
-    # decimal(20, s): room for 10**16 per value; the sum widens to
-    # decimal(30, s) and the quotient keeps 12 decimals, far below any
-    # half-unit the final rounding can hit.
-    value = as_decimal_ticks(c, scale=scale, precision=20)
-    total = F.sum(value)
-    count = F.count(value)
+    ticks = as_ticks(c, scale)
+    total = F.sum(ticks)
+    count = F.count(ticks)
     if window is not None:
         total, count = total.over(window), count.over(window)
-    return F.round(total / F.nullif(count, F.lit(0)), digits).cast("double")
+    # decimal(20,0) / bigint keeps 18 decimals: no false half-way ties
+    mean_ticks = F.round(total.cast(T.DecimalType(20, 0)) / F.nullif(count, F.lit(0)),
+                         digits - scale)
+    return mean_ticks.cast("double") / F.lit(float(10**scale))
