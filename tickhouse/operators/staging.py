@@ -65,44 +65,30 @@ def latest_first(*order_cols: str, rest: list[str] | None = None) -> list[Column
 
 
 def clean_staging(raw: DataFrame) -> DataFrame:
-    """Filter, cast and dedup raw bars into the staging model.
+    """Filter, dedup and cast raw bars into the staging model.
 
     Plan: one scan with the predicate pushed into Parquet, a shuffle on
     (symbol, date) and a top-1-per-key window.  Catalyst turns
     ``row_number() ... = 1`` into a partial WindowGroupLimit before the
     exchange, so a key ingested many times (one hot symbol/date) ships at
-    most one row per map task.
+    most one row per map task.  The decimal casts run after the dedup, on
+    surviving rows only.
     """
-    order = latest_first(
-        "ingested_at", rest=["open", "high", "low", "close", "volume"]
+    order = latest_first("ingested_at", rest=["open", "high", "low", "close", "volume"])
+    trade_date = F.col("date").cast("date")
+    w = Window.partitionBy(F.col("symbol"), trade_date).orderBy(*order)
+    latest = (
+        raw.where(valid_price_predicate(require_high_ge_low=False))
+        .withColumn("_rn", F.row_number().over(w))
+        .where(F.col("_rn") == 1)
     )
-    w = Window.partitionBy("symbol", "trade_date").orderBy(*order)
-    typed = raw.where(valid_price_predicate(require_high_ge_low=False)).select(
+    return latest.select(
         F.col("symbol"),
-        F.col("date").cast("date").alias("trade_date"),
+        trade_date.alias("trade_date"),
         F.col("open").cast(PRICE_DECIMAL).alias("open_price"),
         F.col("high").cast(PRICE_DECIMAL).alias("high_price"),
         F.col("low").cast(PRICE_DECIMAL).alias("low_price"),
         F.col("close").cast(PRICE_DECIMAL).alias("close_price"),
         F.col("volume").cast("bigint").alias("volume"),
         as_timestamp(raw, "ingested_at").alias("ingested_at"),
-        # tie-breakers in the raw column names used by ``order``
-        F.col("open"),
-        F.col("high"),
-        F.col("low"),
-        F.col("close"),
-    )
-    return (
-        typed.withColumn("_rn", F.row_number().over(w))
-        .where(F.col("_rn") == 1)
-        .select(
-            "symbol",
-            "trade_date",
-            "open_price",
-            "high_price",
-            "low_price",
-            "close_price",
-            "volume",
-            "ingested_at",
-        )
     )
