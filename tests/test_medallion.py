@@ -64,3 +64,15 @@ def test_silver_newest_bad_row_drops_key(spark, sample_bars):
     stg = clean_staging(sample_bars.unionByName(newer_bad.withColumn("open", F.lit(-1.0))))
     row = stg.where("symbol = 'AAPL' and trade_date = date'2025-01-02'").first()
     assert row["high_price"] == Decimal("155.8000")
+
+
+def test_bronze_source_file_default(spark, tmp_path, sample_bars):
+    # a projection over a file scan still knows its file
+    assert bronze_frame(sample_bars).first()["_source_file"].endswith("daily_prices.csv")
+    # not a file scan: NULL instead of an analysis error
+    in_memory = spark.createDataFrame(sample_bars.collect(), sample_bars.schema)
+    assert bronze_frame(in_memory).first()["_source_file"] is None
+    path = str(tmp_path / "raw")
+    sample_bars.write.parquet(path)
+    files = {r["_source_file"] for r in bronze_frame(spark.read.parquet(path)).collect()}
+    assert all(f.startswith("file:") and f.endswith(".parquet") for f in files)

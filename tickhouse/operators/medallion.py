@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from tickhouse.operators.staging import latest_first, valid_price_predicate
 
@@ -42,6 +43,15 @@ def _stamp(value) -> Column:
     return F.current_timestamp() if value is None else F.lit(value)
 
 
+def _scanned_file(df: DataFrame) -> Column:
+    """``_metadata.file_path`` when ``df`` reads files, else NULL."""
+    try:
+        df.select(F.col("_metadata.file_path")).schema  # noqa: B018 - forces analysis
+        return F.col("_metadata.file_path")
+    except AnalysisException:
+        return F.lit(None).cast("string")
+
+
 def bronze_frame(
     raw: DataFrame,
     loaded_at=None,
@@ -51,12 +61,12 @@ def bronze_frame(
     """Raw bars plus ``_source_file``, ``_bronze_loaded_at``, ``_load_pipeline``.
 
     ``source_file`` defaults to the scanned file of each row
-    (``_metadata.file_path``), which only exists when ``raw`` is a direct
-    file scan; pass a column or a string otherwise.  ``loaded_at`` may be
+    (``_metadata.file_path``), or NULL when ``raw`` does not read files;
+    pass a column or a string to set it.  ``loaded_at`` may be
     a value or a Column (defaults to the current timestamp).
     """
     if source_file is None:
-        src = F.col("_metadata.file_path")
+        src = _scanned_file(raw)
     elif isinstance(source_file, str):
         src = F.lit(source_file)
     else:

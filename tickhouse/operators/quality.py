@@ -246,10 +246,10 @@ def _model_tests(df: DataFrame, model: str, not_null_cols, key_cols) -> DataFram
     nulls = [F.count_if(F.col(c).isNull()).alias(f"_nn_{c}") for c in not_null_cols]
     if key_cols:
         # symbol || '-' || cast(trade_date as varchar): NULL when any part is
-        key = F.concat_ws("-", *[F.col(c).cast("string") for c in key_cols])
-        key = F.when(
-            F.greatest(*[F.col(c).isNull().cast("int") for c in key_cols]) == 0, key
-        )
+        any_null = F.lit(False)
+        for c in key_cols:
+            any_null = any_null | F.col(c).isNull()
+        key = F.when(~any_null, F.concat_ws("-", *[F.col(c).cast("string") for c in key_cols]))
         grouped = df.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("_n"), *nulls)
         totals = grouped.agg(
             *[F.sum(f"_nn_{c}").alias(f"_nn_{c}") for c in not_null_cols],
