@@ -3,8 +3,8 @@
 Each layer is one Spark job writing a versioned table; the next layer
 reads the written table back, which also cuts the lineage between
 layers (an executor lost later never recomputes an earlier layer).
-Only small results cross to the driver: the emptiness probe, the number
-of symbols and the one-row check summary.
+Only small results cross to the driver: the number of symbols and the
+one-row check summary.
 """
 
 from __future__ import annotations
@@ -105,12 +105,14 @@ def run_medallion(
         raw = read_raw(spark, raw, "daily", timestamp_type, ingest_date)
     if symbols:
         raw = raw.where(F.col("symbol").isin([s.upper() for s in symbols]))
-    if raw.isEmpty():
+    # one symbol-only scan of the input answers both "any data?" and the
+    # number of symbols processed; one row reaches the driver
+    rows, processed = raw.agg(F.count(F.lit(1)), F.count_distinct("symbol")).first()
+    if rows == 0:
         return {"status": "no_data", "symbols_processed": 0}
+    processed = int(processed)
 
     load_bronze(spark, raw, root, loaded_at=loaded_at, source_file=source_file)
-    # symbol-only scan of the input; one number reaches the driver
-    processed = int(raw.agg(F.count_distinct("symbol")).first()[0])
 
     load_silver(spark, root, loaded_at=loaded_at)
     silver = VersionedTable(spark, layer_path(root, "silver")).read()
