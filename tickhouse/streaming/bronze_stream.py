@@ -49,7 +49,9 @@ def bronze_stream(
     seen: list[int] = []
 
     def _append(batch: DataFrame, batch_id: int) -> None:
-        table.append(batch, merge_schema=True, txn=(app_id, batch_id))
+        table.append(
+            batch, merge_schema=True, txn=(app_id, batch_id), time_column="_bronze_loaded_at"
+        )
         seen.append(batch_id)
 
     writer = (
