@@ -39,7 +39,16 @@ def _load(spark, root, frame, when):
     return flow.load_silver(spark, root)
 
 
-def test_incremental_matches_full_on_adapter_batches(spark, tmp_path):
+def test_incremental_matches_full_on_adapter_batches(spark, tmp_path, monkeypatch):
+    taken = []
+    real = flow._refresh_silver
+
+    def spy(*args, **kwargs):
+        out = real(*args, **kwargs)
+        taken.append(out is not None)
+        return out
+
+    monkeypatch.setattr(flow, "_refresh_silver", spy)
     raw = raw_bars(spark, SF_SMALL)
     root = str(tmp_path / "lake")
     t0 = dt.datetime(2025, 1, 1)
@@ -54,6 +63,8 @@ def test_incremental_matches_full_on_adapter_batches(spark, tmp_path):
         _load(spark, root, b, t0 + dt.timedelta(days=i))
         assert silver_t.commit_record()["meta"]["bronze_version"] == i
         assert _content(silver_t.read()) == _content(_full(spark, root))
+    # the first load builds Silver, the later ones refresh it incrementally
+    assert taken == [False, True, True]
 
 
 def test_refresh_refuses_out_of_order_loads(spark, tmp_path):

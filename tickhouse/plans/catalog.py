@@ -78,6 +78,7 @@ def fixed_loaded_at() -> F.Column:
 
 DQ_TODAY = dt.date.fromisoformat(oracle.DQ_TODAY)
 SPLIT_DATE = dt.date.fromisoformat(oracle.SPLIT_DATE)
+OVERLAP_DATE = dt.date.fromisoformat(oracle.OVERLAP_DATE)
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +94,22 @@ def q_silver_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(spark, sf_dir)
 
 
+def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping Bronze loads; Silver refreshed incrementally after each."""
+    raw = raw_bars(spark, sf_dir)
+    root = new_scratch_dir(spark, "lakehouse")
+    batches = [
+        (raw.where(F.col("date") < F.lit(SPLIT_DATE)), oracle.FIRST_LOAD_AT),
+        (raw.where(F.col("date") >= F.lit(OVERLAP_DATE)), oracle.SECOND_LOAD_AT),
+    ]
+    for frame, when in batches:
+        load_bronze(
+            spark, frame, root, loaded_at=F.lit(when).cast(NTZ), source_file=oracle.SOURCE_FILE
+        )
+        load_silver(spark, root, loaded_at=fixed_loaded_at())
+    return VersionedTable(spark, layer_path(root, "silver")).read()
+
+
 def _round_gold(gold: DataFrame) -> DataFrame:
     # double means and deviations depend on summation order in their last
     # bits; compare them at 6 decimals
@@ -340,6 +357,7 @@ QUERIES: dict[str, Query] = {
     "weekly_performance": q_weekly_performance,
     "weekly_performance_day_grain": q_weekly_performance_day_grain,
     "silver_prices": q_silver_prices,
+    "silver_incremental": q_silver_incremental,
     "gold_daily_summary": q_gold_daily_summary,
     "list_symbols": q_list_symbols,
     "symbol_detail": q_symbol_detail,
@@ -373,6 +391,7 @@ ORACLE_SQL: dict[str, str] = {
     "weekly_performance": oracle.WEEKLY_WEEK_SQL,
     "weekly_performance_day_grain": oracle.WEEKLY_DAY_SQL,
     "silver_prices": oracle.SILVER_SQL,
+    "silver_incremental": oracle.SILVER_INCREMENTAL_SQL,
     "gold_daily_summary": oracle.GOLD_SQL,
     "list_symbols": oracle.GOLD_SQL,
     "symbol_detail": oracle.SYMBOL_DETAIL_SQL,
