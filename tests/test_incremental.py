@@ -105,3 +105,36 @@ def test_incremental_matches_full_property(spark, tmp_path_factory, batches):
         frame = spark.createDataFrame(data, SCHEMA)
         _load(spark, root, frame, t0 + dt.timedelta(days=i))
         assert _content(silver_t.read()) == _content(_full(spark, root))
+
+
+def test_staging_refresh_matches_full(spark, tmp_path, monkeypatch):
+    from tickhouse.operators.staging import clean_staging
+
+    used = []
+    real_increment = VersionedTable.increment
+
+    def spy(self, after):
+        out = real_increment(self, after)
+        if self.path.endswith("bronze/daily_prices"):
+            used.append(out is not None)
+        return out
+
+    monkeypatch.setattr(VersionedTable, "increment", spy)
+
+    raw = raw_bars(spark, SF_SMALL)
+    root = str(tmp_path / "lake")
+    t0 = dt.datetime(2025, 1, 1)
+    latest_t = VersionedTable(spark, layer_path(root, "staging", "latest_bars"))
+    batches = [raw.where("date < date'1998-01-01'"), raw.where("date >= date'1997-01-01'"), raw]
+    for i, b in enumerate(batches):
+        flow.load_bronze(spark, b, root, loaded_at=F.lit(t0 + dt.timedelta(days=i)),
+                         source_file="t")
+        flow.build_marts(spark, root, updated_at=False)
+        assert latest_t.commit_record()["meta"]["bronze_version"] == i
+        full = clean_staging(VersionedTable(spark, layer_path(root, "bronze")).read())
+        got = VersionedTable(spark, layer_path(root, "marts", "fact_daily_performance")).read()
+        cols = ["symbol", "trade_date", "close_price", "ingested_at"]
+        assert sorted(got.select(*cols).collect()) == sorted(full.select(*cols).collect())
+    assert got.count() == 1352
+    # each refresh after the first read only the new Bronze version
+    assert used == [True, True]

@@ -64,31 +64,52 @@ def latest_first(*order_cols: str, rest: list[str] | None = None) -> list[Column
     return keys
 
 
-def clean_staging(raw: DataFrame) -> DataFrame:
-    """Filter, dedup and cast raw bars into the staging model.
+RAW_BAR_COLUMNS = ["symbol", "date", "open", "high", "low", "close", "volume", "ingested_at"]
+
+
+def latest_valid_bars(raw: DataFrame) -> DataFrame:
+    """Newest valid raw row per (symbol, date), in the raw column types.
+
+    Filter first, then keep the newest row by ``ingested_at``.  The rule
+    is a maximum over the valid rows of a key, so it composes:
+    ``latest_valid_bars(latest_valid_bars(a) | b) == latest_valid_bars(a | b)``,
+    which lets a maintained table absorb new rows without rereading old
+    ones.
 
     Plan: one scan with the predicate pushed into Parquet, a shuffle on
     (symbol, date) and a top-1-per-key window.  Catalyst turns
     ``row_number() ... = 1`` into a partial WindowGroupLimit before the
     exchange, so a key ingested many times (one hot symbol/date) ships at
-    most one row per map task.  The decimal casts run after the dedup, on
-    surviving rows only.
+    most one row per map task.
     """
     order = latest_first("ingested_at", rest=["open", "high", "low", "close", "volume"])
-    trade_date = F.col("date").cast("date")
-    w = Window.partitionBy(F.col("symbol"), trade_date).orderBy(*order)
-    latest = (
+    w = Window.partitionBy(F.col("symbol"), F.col("date").cast("date")).orderBy(*order)
+    return (
         raw.where(valid_price_predicate(require_high_ge_low=False))
         .withColumn("_rn", F.row_number().over(w))
         .where(F.col("_rn") == 1)
+        .select(*RAW_BAR_COLUMNS)
     )
+
+
+def stage_types(latest: DataFrame) -> DataFrame:
+    """The staging projection: rename and cast (decimal(18,4) prices)."""
     return latest.select(
         F.col("symbol"),
-        trade_date.alias("trade_date"),
+        F.col("date").cast("date").alias("trade_date"),
         F.col("open").cast(PRICE_DECIMAL).alias("open_price"),
         F.col("high").cast(PRICE_DECIMAL).alias("high_price"),
         F.col("low").cast(PRICE_DECIMAL).alias("low_price"),
         F.col("close").cast(PRICE_DECIMAL).alias("close_price"),
         F.col("volume").cast("bigint").alias("volume"),
-        as_timestamp(raw, "ingested_at").alias("ingested_at"),
+        as_timestamp(latest, "ingested_at").alias("ingested_at"),
     )
+
+
+def clean_staging(raw: DataFrame) -> DataFrame:
+    """Filter, dedup and cast raw bars into the staging model.
+
+    ``stage_types(latest_valid_bars(raw))``: the decimal casts run after
+    the dedup, on surviving rows only.
+    """
+    return stage_types(latest_valid_bars(raw))

@@ -22,10 +22,10 @@ from tickhouse.operators import quality as dq
 from tickhouse.operators.indicators import fact_daily_performance, price_indicators
 from tickhouse.operators.medallion import bronze_frame, gold_daily_summary, silver_frame
 from tickhouse.operators.serving import list_symbols, price_history, symbol_detail
-from tickhouse.operators.staging import clean_staging, valid_price_predicate
+from tickhouse.operators.staging import clean_staging, stage_types, valid_price_predicate
 from tickhouse.operators.weekly import weekly_performance
 from tickhouse.plans import oracle
-from tickhouse.plans.flow import load_bronze, load_silver, run_medallion
+from tickhouse.plans.flow import load_bronze, load_silver, refresh_staging, run_medallion
 from tickhouse.session import new_scratch_dir
 from tickhouse.sources.adapter import raw_bars
 from tickhouse.sources.files import (
@@ -110,6 +110,23 @@ def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return VersionedTable(spark, layer_path(root, "silver")).read()
 
 
+def q_stg_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping Bronze loads; the staging source refreshed after each."""
+    raw = raw_bars(spark, sf_dir)
+    root = new_scratch_dir(spark, "lakehouse")
+    batches = [
+        (raw.where(F.col("date") < F.lit(SPLIT_DATE)), oracle.FIRST_LOAD_AT),
+        (raw.where(F.col("date") >= F.lit(OVERLAP_DATE)), oracle.SECOND_LOAD_AT),
+    ]
+    for frame, when in batches:
+        load_bronze(
+            spark, frame, root, loaded_at=F.lit(when).cast(NTZ), source_file=oracle.SOURCE_FILE
+        )
+        refresh_staging(spark, root)
+    latest = VersionedTable(spark, layer_path(root, "staging", "latest_bars")).read()
+    return stage_types(latest)
+
+
 def _round_gold(gold: DataFrame) -> DataFrame:
     # double means and deviations depend on summation order in their last
     # bits; compare them at 6 decimals
@@ -352,6 +369,7 @@ def q_medallion_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "stg_daily_prices": q_stg_daily_prices,
+    "stg_incremental": q_stg_incremental,
     "price_indicators": q_price_indicators,
     "fact_daily_performance": q_fact_daily_performance,
     "weekly_performance": q_weekly_performance,
@@ -386,6 +404,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {
     "stg_daily_prices": oracle.STG_SQL,
+    "stg_incremental": oracle.STG_SQL,
     "price_indicators": oracle.IND_SQL,
     "fact_daily_performance": oracle.FACT_SQL,
     "weekly_performance": oracle.WEEKLY_WEEK_SQL,

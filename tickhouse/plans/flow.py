@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tickhouse.operators.indicators import fact_daily_performance, price_indicators
 from tickhouse.operators.medallion import bronze_frame, gold_daily_summary, silver_frame
 from tickhouse.operators.quality import dq_report, dq_summary_dict, standard_suite
-from tickhouse.operators.staging import clean_staging
+from tickhouse.operators.staging import RAW_BAR_COLUMNS, latest_valid_bars, stage_types
 from tickhouse.operators.weekly import weekly_performance
 from tickhouse.sources.files import read_raw
 from tickhouse.sources.tables import VersionedTable, layer_path
@@ -130,10 +130,39 @@ def load_gold(spark: SparkSession, root: str, loaded_at=None) -> int:
     return VersionedTable(spark, layer_path(root, "gold")).overwrite(gold)
 
 
+def refresh_staging(spark: SparkSession, root: str) -> int:
+    """Maintain the newest valid raw row per key over all of Bronze.
+
+    The staging rule is a maximum per key, so the table absorbs the Bronze
+    versions appended since it was built (``latest_valid_bars`` over the
+    old table plus the new rows) without rereading old Bronze; after an
+    overwrite of Bronze, or on first use, it is built from the snapshot.
+    """
+    bronze_t = VersionedTable(spark, layer_path(root, "bronze"))
+    latest_t = VersionedTable(spark, layer_path(root, "staging", "latest_bars"))
+    bronze_version = bronze_t.latest_version()
+    rec = latest_t.commit_record()
+    base = (rec or {}).get("meta", {}).get("bronze_version")
+    if base is not None and base == bronze_version:
+        return rec["version"]
+    inc = bronze_t.increment(base) if base is not None else None
+    if inc is not None:
+        new_rows, _ = inc
+        source = latest_t.read().unionByName(new_rows.select(*RAW_BAR_COLUMNS))
+    else:
+        source = bronze_t.read(bronze_version)
+    return latest_t.overwrite(
+        latest_valid_bars(source),
+        sort_by=["symbol", "date"],
+        meta={"bronze_version": bronze_version},
+    )
+
+
 def build_marts(spark: SparkSession, root: str, updated_at=None) -> None:
-    """Staging -> indicators -> fact and weekly marts, from Bronze."""
-    bronze = VersionedTable(spark, layer_path(root, "bronze")).read()
-    fact = fact_daily_performance(price_indicators(clean_staging(bronze)), updated_at=updated_at)
+    """Staging -> indicators -> fact and weekly marts."""
+    refresh_staging(spark, root)
+    latest = VersionedTable(spark, layer_path(root, "staging", "latest_bars")).read()
+    fact = fact_daily_performance(price_indicators(stage_types(latest)), updated_at=updated_at)
     fact_table = VersionedTable(spark, layer_path(root, "marts", MART_TABLES[0]))
     fact_table.overwrite(fact, sort_by=["symbol", "trade_date"])
     written = fact_table.read()
