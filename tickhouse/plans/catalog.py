@@ -9,9 +9,8 @@ out so results are reproducible.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +41,24 @@ from tickhouse.streaming.bronze_stream import bronze_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Fixed arguments of the registered queries (mirrored in ``oracle``).
+NTZ = T.TimestampNTZType()
+DQ_TODAY = dt.date.fromisoformat(oracle.DQ_TODAY)
+SPLIT_DATE = dt.date.fromisoformat(oracle.SPLIT_DATE)
+OVERLAP_DATE = dt.date.fromisoformat(oracle.OVERLAP_DATE)
+
+
+def fixed_loaded_at() -> F.Column:
+    return F.lit(oracle.FIXED_LOADED_AT).cast(NTZ)
+
+
+def _overlapping_loads(raw: DataFrame) -> list[tuple[DataFrame, F.Column]]:
+    """Two Bronze batches sharing one year of keys, the second loaded later."""
+    return [
+        (raw.where(F.col("date") < F.lit(SPLIT_DATE)), F.lit(oracle.FIRST_LOAD_AT).cast(NTZ)),
+        (raw.where(F.col("date") >= F.lit(OVERLAP_DATE)), F.lit(oracle.SECOND_LOAD_AT).cast(NTZ)),
+    ]
+
 
 def q_stg_daily_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_staging(raw_bars(spark, sf_dir))
@@ -68,19 +85,6 @@ def q_weekly_performance_day_grain(spark: SparkSession, sf_dir: str) -> DataFram
     return weekly_performance(_fact(spark, sf_dir), grain="day")
 
 
-# Fixed arguments of the registered queries (mirrored in ``oracle``).
-NTZ = T.TimestampNTZType()
-
-
-def fixed_loaded_at() -> F.Column:
-    return F.lit(oracle.FIXED_LOADED_AT).cast(NTZ)
-
-
-DQ_TODAY = dt.date.fromisoformat(oracle.DQ_TODAY)
-SPLIT_DATE = dt.date.fromisoformat(oracle.SPLIT_DATE)
-OVERLAP_DATE = dt.date.fromisoformat(oracle.OVERLAP_DATE)
-
-
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = bronze_frame(
         raw_bars(spark, sf_dir),
@@ -96,32 +100,18 @@ def q_silver_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two overlapping Bronze loads; Silver refreshed incrementally after each."""
-    raw = raw_bars(spark, sf_dir)
     root = new_scratch_dir(spark, "lakehouse")
-    batches = [
-        (raw.where(F.col("date") < F.lit(SPLIT_DATE)), oracle.FIRST_LOAD_AT),
-        (raw.where(F.col("date") >= F.lit(OVERLAP_DATE)), oracle.SECOND_LOAD_AT),
-    ]
-    for frame, when in batches:
-        load_bronze(
-            spark, frame, root, loaded_at=F.lit(when).cast(NTZ), source_file=oracle.SOURCE_FILE
-        )
+    for frame, when in _overlapping_loads(raw_bars(spark, sf_dir)):
+        load_bronze(spark, frame, root, loaded_at=when, source_file=oracle.SOURCE_FILE)
         load_silver(spark, root, loaded_at=fixed_loaded_at())
     return VersionedTable(spark, layer_path(root, "silver")).read()
 
 
 def q_stg_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two overlapping Bronze loads; the staging source refreshed after each."""
-    raw = raw_bars(spark, sf_dir)
     root = new_scratch_dir(spark, "lakehouse")
-    batches = [
-        (raw.where(F.col("date") < F.lit(SPLIT_DATE)), oracle.FIRST_LOAD_AT),
-        (raw.where(F.col("date") >= F.lit(OVERLAP_DATE)), oracle.SECOND_LOAD_AT),
-    ]
-    for frame, when in batches:
-        load_bronze(
-            spark, frame, root, loaded_at=F.lit(when).cast(NTZ), source_file=oracle.SOURCE_FILE
-        )
+    for frame, when in _overlapping_loads(raw_bars(spark, sf_dir)):
+        load_bronze(spark, frame, root, loaded_at=when, source_file=oracle.SOURCE_FILE)
         refresh_staging(spark, root)
     latest = VersionedTable(spark, layer_path(root, "staging", "latest_bars")).read()
     return stage_types(latest)
