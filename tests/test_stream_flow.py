@@ -55,3 +55,18 @@ def test_run_end_to_end(spark, tmp_path):
     run_medallion(spark, raw, root, today=dt.date(2001, 8, 3), source_file="orders")
     assert VersionedTable(spark, layer_path(root, "bronze")).read().count() == 3000
     assert VersionedTable(spark, layer_path(root, "silver")).read().count() == 1316
+
+
+def test_flow_entrypoint(spark, tmp_path):
+    from tickhouse.plans.flow import main
+    from tickhouse.sources.files import write_raw_daily
+
+    raw = raw_bars(spark, SF_SMALL)
+    write_raw_daily(raw, str(tmp_path / "landing"))
+    day = raw.select(F.to_date("ingested_at").alias("d")).first()["d"]
+    got = main(["--raw", str(tmp_path / "landing"), "--root", str(tmp_path / "lake"),
+                "--ingest-date", day.isoformat(), "--today", "2001-08-03"])
+    assert got["status"] == "completed" and got["models_status"] == "success"
+    loaded = VersionedTable(spark, layer_path(str(tmp_path / "lake"), "bronze")).read()
+    assert loaded.count() == raw.where(F.to_date("ingested_at") == F.lit(day)).count()
+    assert loaded.where(F.col("_source_file").contains(f"ingest_date={day}")).count() == loaded.count()

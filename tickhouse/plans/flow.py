@@ -230,3 +230,40 @@ def run_medallion(
         "dq_summary": dq,
         "models_status": models_status,
     }
+
+
+def main(argv: list[str] | None = None) -> dict:
+    """``spark-submit -m``/``python -m tickhouse.plans.flow`` entrypoint."""
+    import argparse
+    import json
+
+    from tickhouse.session import build_session
+
+    parser = argparse.ArgumentParser(description="raw -> Bronze -> Silver -> Gold -> marts")
+    parser.add_argument("--raw", required=True, help="landed raw root (daily_prices/...)")
+    parser.add_argument("--root", required=True, help="lakehouse root URI")
+    parser.add_argument("--ingest-date", type=dt.date.fromisoformat, default=None,
+                        help="load only this landing day (YYYY-MM-DD)")
+    parser.add_argument("--symbols", nargs="*", default=None)
+    parser.add_argument("--today", type=dt.date.fromisoformat, default=None,
+                        help="reference date of the freshness check (default: UTC today)")
+    parser.add_argument("--no-models", action="store_true", help="skip the marts")
+    parser.add_argument("--master", default=None, help="only for local runs")
+    args = parser.parse_args(argv)
+
+    spark = build_session(args.master) if args.master else SparkSession.builder.getOrCreate()
+    summary = run_medallion(
+        spark,
+        args.raw,
+        args.root,
+        symbols=args.symbols,
+        run_models=not args.no_models,
+        today=args.today,
+        ingest_date=args.ingest_date,
+    )
+    print(json.dumps(summary))
+    return summary
+
+
+if __name__ == "__main__":
+    main()
