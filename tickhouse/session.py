@@ -21,6 +21,10 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # AQE merges small shuffle partitions up to this size; at cluster scale
+    # partitions are far larger, while small stages keep several tasks for
+    # the CPU-bound window work instead of collapsing into one
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
