@@ -46,6 +46,25 @@ def _entry(e: Column) -> Column:
     return parsed
 
 
+# A JSON object that repeats a date key keeps the last value when read by
+# a plain JSON parser; Spark's map keeps every copy.  Positions are sorted
+# by (key, position descending), the first of each key is kept and its
+# entry fetched by position.  Array functions only: no shuffle, and each
+# step is its own column so no array is recomputed inside a lambda.
+
+
+def _key_order(entries: str) -> Column:
+    return F.array_sort(
+        F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), (-i).alias("pos")))
+    )
+
+
+def _last_per_key(entries: str, order: str) -> Column:
+    prev_key = lambda i: F.element_at(F.col(order), i)["key"]  # noqa: E731 - 1-based: i-1
+    keep = F.filter(order, lambda x, i: (i == 0) | (prev_key(i) != x["key"]))
+    return F.transform(keep, lambda x: F.element_at(F.col(entries), 1 - x["pos"]))
+
+
 def _entry_bad(x: Column) -> Column:
     return (
         x["date"].isNull()
@@ -75,9 +94,14 @@ def _staged(responses: DataFrame, body: str, symbol: str, ingested_at) -> DataFr
             "symbol",
             "ingested_at",
             F.col("_doc")[_CORRUPT].isNotNull().alias("_malformed"),
-            F.transform(F.map_entries(F.col("_doc")[RESPONSE_SERIES_KEY]), _entry).alias(
-                "_entries"
-            ),
+            F.map_entries(F.col("_doc")[RESPONSE_SERIES_KEY]).alias("_raw_entries"),
+        )
+        .withColumn("_order", _key_order("_raw_entries"))
+        .select(
+            "symbol",
+            "ingested_at",
+            "_malformed",
+            F.transform(_last_per_key("_raw_entries", "_order"), _entry).alias("_entries"),
         )
         .withColumn(
             "_bad_entries",
