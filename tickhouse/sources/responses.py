@@ -96,12 +96,22 @@ def _staged(responses: DataFrame, body: str, symbol: str, ingested_at) -> DataFr
             F.col("_doc")[_CORRUPT].isNotNull().alias("_malformed"),
             F.map_entries(F.col("_doc")[RESPONSE_SERIES_KEY]).alias("_raw_entries"),
         )
-        .withColumn("_order", _key_order("_raw_entries"))
+        .withColumn(
+            "_repeats",
+            F.size(F.array_distinct(F.col("_raw_entries.key"))) < F.size("_raw_entries"),
+        )
+        # only a response that repeats a key pays for the sort
+        .withColumn("_order", F.when(F.col("_repeats"), _key_order("_raw_entries")))
         .select(
             "symbol",
             "ingested_at",
             "_malformed",
-            F.transform(_last_per_key("_raw_entries", "_order"), _entry).alias("_entries"),
+            F.transform(
+                F.when(F.col("_repeats"), _last_per_key("_raw_entries", "_order")).otherwise(
+                    F.col("_raw_entries")
+                ),
+                _entry,
+            ).alias("_entries"),
         )
         .withColumn(
             "_bad_entries",
