@@ -138,3 +138,23 @@ def test_staging_refresh_matches_full(spark, tmp_path, monkeypatch):
     assert got.count() == 1352
     # each refresh after the first read only the new Bronze version
     assert used == [True, True]
+
+
+def test_refresh_refuses_new_rows_without_load_time(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    one = [("A", dt.date(2024, 1, 2), 1.0, 2.0, 0.5, 1.5, 1, dt.datetime(2024, 1, 1))]
+    first = spark.createDataFrame(one, SCHEMA)
+    flow.load_bronze(spark, first, root, loaded_at=F.col("ingested_at"), source_file="t")
+    flow.load_silver(spark, root)
+    two = [
+        ("A", dt.date(2024, 1, 2), 9.0, 9.5, 8.0, 9.0, 1, None),
+        ("B", dt.date(2024, 1, 2), 1.0, 2.0, 0.5, 1.5, 1, dt.datetime(2024, 1, 5)),
+    ]
+    second = spark.createDataFrame(two, SCHEMA)
+    flow.load_bronze(spark, second, root, loaded_at=F.col("ingested_at"), source_file="t")
+    b = VersionedTable(spark, layer_path(root, "bronze"))
+    s = VersionedTable(spark, layer_path(root, "silver"))
+    assert flow._refresh_silver(b, s, b.latest_version(), None) is None
+    flow.load_silver(spark, root)
+    assert _content(s.read()) == _content(_full(spark, root))
+    assert s.read().where("symbol = 'A'").first()["open"] == 1.0

@@ -70,3 +70,13 @@ def test_flow_entrypoint(spark, tmp_path):
     loaded = VersionedTable(spark, layer_path(str(tmp_path / "lake"), "bronze")).read()
     assert loaded.count() == raw.where(F.to_date("ingested_at") == F.lit(day)).count()
     assert loaded.where(F.col("_source_file").contains(f"ingest_date={day}")).count() == loaded.count()
+
+
+def test_stream_default_checkpoint_is_stable(spark, tmp_path):
+    raw = raw_bars(spark, SF_SMALL)
+    landing = str(tmp_path / "landing")
+    raw.write.parquet(landing)
+    table = str(tmp_path / "bronze")
+    assert bronze_stream(spark, landing, table, schema=raw.schema)["batches"] == 1
+    assert bronze_stream(spark, landing, table, schema=raw.schema)["batches"] == 0
+    assert VersionedTable(spark, table).read().count() == raw.count()

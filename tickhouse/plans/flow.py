@@ -106,8 +106,8 @@ def _refresh_silver(
     mins = [t["min"] for t in ranges if t["min"] is not None]
     if base_range["snapshot_max"] is not None and mins and min(mins) <= base_range["snapshot_max"]:
         return None
-    if any(r["num_output_rows"] and t["min"] is None for r, t in zip(records, ranges)):
-        return None  # NULL load times: order unknown
+    if any(t.get("nulls", 1) for t in ranges):
+        return None  # a new row without a load time loses to every old row
 
     # distinct keys first: the partial aggregate collapses a hot key before
     # the shuffle, so the anti join's build side has one row per key

@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from tickhouse.operators.medallion import bronze_frame
 from tickhouse.schemas import RAW_DAILY
-from tickhouse.session import new_scratch_dir
 from tickhouse.sources.tables import VersionedTable
 
 
@@ -36,10 +35,13 @@ def bronze_stream(
     """Start the stream; with ``available_now`` wait for it and return stats.
 
     ``raw_dir`` holds raw Parquet files with ``schema`` (raw daily by
-    default).  Returns ``{"batches": n, "query_id": id}`` for an
+    default).  ``checkpoint`` defaults to a folder inside the table, so
+    repeated runs for the same table are exactly-once without passing it.  Returns ``{"batches": n, "query_id": id}`` for an
     available-now run, or the running ``StreamingQuery`` otherwise.
     """
-    checkpoint = checkpoint or new_scratch_dir(spark, "bronze-stream-checkpoint")
+    # the default checkpoint lives with the table, so every run of the
+    # loader for this table resumes from the same progress
+    checkpoint = checkpoint or f"{table_path.rstrip('/')}/_checkpoints/bronze_stream"
     reader = spark.readStream.schema(schema or RAW_DAILY)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
