@@ -253,7 +253,7 @@ def q_raw_history_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_scratch_dir(spark, "csv")
     write_prices_csv(raw_bars(spark, sf_dir), path)
-    return read_prices_csv(spark, path)
+    return read_prices_csv(spark, path, timestamp_type=NTZ)
 
 
 def q_bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:

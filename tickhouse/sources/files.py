@@ -96,10 +96,13 @@ def read_raw(
     return df.select(*schema.fieldNames())
 
 
-def read_prices_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_prices_csv(
+    spark: SparkSession, path: str, timestamp_type: T.DataType | None = None
+) -> DataFrame:
     """Read bars in the sample CSV shape (header, no load time).
 
-    Malformed lines fail the read; ``ingested_at`` is added as NULL.
+    Malformed lines fail the read; ``ingested_at`` is added as NULL of
+    ``timestamp_type`` (TIMESTAMP by default).
     """
     df = (
         spark.read.schema(SAMPLE_CSV)
@@ -108,7 +111,7 @@ def read_prices_csv(spark: SparkSession, path: str) -> DataFrame:
         .option("dateFormat", "yyyy-MM-dd")
         .csv(path)
     )
-    return df.withColumn("ingested_at", F.lit(None).cast(T.TimestampType()))
+    return df.withColumn("ingested_at", F.lit(None).cast(timestamp_type or T.TimestampType()))
 
 
 def write_prices_csv(df: DataFrame, path: str) -> str:
