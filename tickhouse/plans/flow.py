@@ -119,6 +119,8 @@ def _refresh_silver(
         "left_anti",
     )
     fresh = silver_frame(new_rows, loaded_at=loaded_at)
+    # no repartition: the scan packs old files into splits of up to
+    # maxPartitionBytes, so file counts stay bounded across refreshes
     out = kept.unionByName(fresh, allowMissingColumns=True)
     return silver_t.overwrite(out, sort_by=SILVER_SORT, meta={"bronze_version": bronze_version})
 
