@@ -158,3 +158,26 @@ def test_refresh_refuses_new_rows_without_load_time(spark, tmp_path):
     flow.load_silver(spark, root)
     assert _content(s.read()) == _content(_full(spark, root))
     assert s.read().where("symbol = 'A'").first()["open"] == 1.0
+
+
+def test_missing_base_version_falls_back(spark, tmp_path):
+    raw = raw_bars(spark, SF_SMALL)
+    root = str(tmp_path / "lake")
+    _load(spark, root, raw, dt.datetime(2025, 1, 1))
+    silver_t = VersionedTable(spark, layer_path(root, "silver"))
+    # Silver claims a Bronze version that does not exist (Bronze was reloaded)
+    silver_t.overwrite(silver_t.read(), meta={"bronze_version": 10})
+    flow.load_silver(spark, root)
+    assert silver_t.commit_record()["meta"]["bronze_version"] == 0
+    assert _content(silver_t.read()) == _content(_full(spark, root))
+
+
+def test_widened_bronze_keeps_full_rebuild_column_order(spark, tmp_path):
+    raw = raw_bars(spark, SF_SMALL)
+    root = str(tmp_path / "lake")
+    _load(spark, root, raw.where("date < date'1998-01-01'"), dt.datetime(2025, 1, 1))
+    wider = raw.where("date >= date'1997-01-01'").withColumn("dividends", F.lit(0.25))
+    _load(spark, root, wider, dt.datetime(2025, 1, 2))
+    silver_t = VersionedTable(spark, layer_path(root, "silver"))
+    assert silver_t.read().columns == _full(spark, root).columns
+    assert silver_t.read().columns[-2:] == ["_silver_loaded_at", "_is_valid"]

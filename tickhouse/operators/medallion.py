@@ -17,8 +17,9 @@ Scale notes:
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickhouse.operators.staging import latest_first, valid_price_predicate
 
@@ -104,8 +105,16 @@ def silver_frame(bronze: DataFrame, loaded_at=None) -> DataFrame:
     row is invalid disappears (it does not fall back to an older row).
     Adds ``_silver_loaded_at`` and ``_is_valid`` (always true).
     """
-    ties = ["ingested_at", "open", "high", "low", "close", "volume"]
-    ties = [c for c in ties if c in bronze.columns]
+    first = ["ingested_at", "open", "high", "low", "close", "volume"]
+    ties = [c for c in first if c in bronze.columns]
+    # then every other orderable column (source file, widened columns), so
+    # the survivor of identical bars never depends on partitioning
+    skip = {"symbol", "date", "_bronze_loaded_at", *ties}
+    ties += sorted(
+        f.name
+        for f in bronze.schema.fields
+        if f.name not in skip and not isinstance(f.dataType, T.MapType)
+    )
     latest = latest_per_key(bronze, ["symbol", "date"], ["_bronze_loaded_at"], ties)
     loaded = loaded_at if isinstance(loaded_at, Column) else _stamp(loaded_at)
     return latest.where(valid_price_predicate(require_high_ge_low=True)).select(

@@ -96,8 +96,10 @@ def _refresh_silver(
     if base == bronze_version:
         return silver_rec["version"]  # nothing new
     inc = bronze_t.increment(base)
+    if inc is None:
+        return None
     base_range = (bronze_t.commit_record(base) or {}).get("time_range")
-    if inc is None or not base_range or not base_range["complete"]:
+    if not base_range or not base_range["complete"]:
         return None
     new_rows, records = inc
     ranges = [r.get("time_range") for r in records]
@@ -121,7 +123,9 @@ def _refresh_silver(
     fresh = silver_frame(new_rows, loaded_at=loaded_at)
     # no repartition: the scan packs old files into splits of up to
     # maxPartitionBytes, so file counts stay bounded across refreshes
-    out = kept.unionByName(fresh, allowMissingColumns=True)
+    # columns in the full rebuild's order (new Bronze columns before the
+    # Silver audit columns)
+    out = kept.unionByName(fresh, allowMissingColumns=True).select(*fresh.columns)
     return silver_t.overwrite(out, sort_by=SILVER_SORT, meta={"bronze_version": bronze_version})
 
 
@@ -253,7 +257,9 @@ def main(argv: list[str] | None = None) -> dict:
     parser.add_argument("--master", default=None, help="only for local runs")
     args = parser.parse_args(argv)
 
-    spark = build_session(args.master) if args.master else SparkSession.builder.getOrCreate()
+    # package defaults (UTC, ANSI, AQE); the cluster manager picks the master
+    # and the cluster config the shuffle partitions unless --master is given
+    spark = build_session(args.master, shuffle_partitions=None)
     summary = run_medallion(
         spark,
         args.raw,

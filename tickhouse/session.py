@@ -34,15 +34,22 @@ SESSION_DEFAULTS: dict[str, str] = {
 
 
 def build_session(
-    master: str = "local[*]",
-    shuffle_partitions: int = 8,
+    master: str | None = "local[*]",
+    shuffle_partitions: int | None = 8,
     app_name: str = "tickhouse",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with the package defaults applied."""
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """Create (or reuse) a session with the package defaults applied.
+
+    ``master=None`` and ``shuffle_partitions=None`` leave both to the
+    cluster (spark-submit); the defaults suit local runs and tests.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

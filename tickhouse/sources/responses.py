@@ -115,7 +115,10 @@ def _staged(responses: DataFrame, body: str, symbol: str, ingested_at) -> DataFr
         )
         .withColumn(
             "_bad_entries",
-            F.coalesce(F.size(F.filter("_entries", _entry_bad)), F.lit(0)),
+            # size(NULL) is -1 without ANSI mode: test for the missing series
+            F.when(F.col("_entries").isNull(), F.lit(0)).otherwise(
+                F.size(F.filter("_entries", _entry_bad))
+            ),
         )
     )
 
