@@ -61,14 +61,17 @@ def _overlapping_loads(raw: DataFrame) -> list[tuple[DataFrame, F.Column]]:
 
 
 def q_stg_daily_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging model: filter, newest row per (symbol, date), typed columns."""
     return clean_staging(raw_bars(spark, sf_dir))
 
 
 def q_price_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indicator model: lag, returns, moving averages, volatility, signals."""
     return price_indicators(clean_staging(raw_bars(spark, sf_dir)))
 
 
 def q_fact_daily_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily fact mart: indicators without prev_close (audit stamp left out)."""
     ind = price_indicators(clean_staging(raw_bars(spark, sf_dir)))
     return fact_daily_performance(ind, updated_at=False)
 
@@ -78,10 +81,12 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_weekly_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly roll-up, one row per symbol and Monday-started week."""
     return weekly_performance(_fact(spark, sf_dir), grain="week")
 
 
 def q_weekly_performance_day_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly roll-up as the model's SQL literally groups it: one row per day."""
     return weekly_performance(_fact(spark, sf_dir), grain="day")
 
 
@@ -95,6 +100,7 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_silver_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver: newest Bronze row per key, then the validity rule incl. high >= low."""
     return _silver(spark, sf_dir)
 
 
@@ -129,10 +135,12 @@ def _round_gold(gold: DataFrame) -> DataFrame:
 
 
 def q_gold_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold per-symbol summary (means and deviation compared at 6 decimals)."""
     return _round_gold(gold_daily_summary(_silver(spark, sf_dir)))
 
 
 def q_list_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold written as a versioned table and served back by list_symbols."""
     root = new_scratch_dir(spark, "lakehouse")
     gold = gold_daily_summary(_silver(spark, sf_dir))
     VersionedTable(spark, layer_path(root, "gold")).overwrite(gold)
@@ -140,10 +148,12 @@ def q_list_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_symbol_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest 30 Silver bars of one symbol (argument upper-cased)."""
     return symbol_detail(_silver(spark, sf_dir), "sym3")
 
 
 def q_price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rows of one symbol in a closed date range, newest 100."""
     return price_history(
         _silver(spark, sf_dir), "sym5", dt.date(1996, 1, 1), dt.date(1999, 12, 31), limit=100
     )
@@ -160,6 +170,7 @@ def _raw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The standard 11-check quality report on the raw bars (one pass)."""
     return _raw_report(spark, sf_dir)
 
 
@@ -172,15 +183,18 @@ def q_silver_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals over the raw-bar quality report."""
     return dq.dq_summary(_raw_report(spark, sf_dir))
 
 
 def q_dq_value_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Range checks (warnings) on close and open."""
     checks = [dq.value_range("close", 0.0, 4000.0), dq.value_range("open", 0.0, 4000.0)]
     return dq.dq_report(raw_bars(spark, sf_dir), checks, "daily_prices", executed_at=False)
 
 
 def q_dq_model_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared model tests over raw, staging, fact and weekly models."""
     raw = raw_bars(spark, sf_dir)
     stg = clean_staging(raw)
     fact = fact_daily_performance(price_indicators(stg), updated_at=False)
@@ -196,6 +210,7 @@ def q_dq_model_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_safe_divide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """close / (volume + 1), NULL where the denominator is 0 or NULL."""
     raw = raw_bars(spark, sf_dir)
     return raw.select(
         "symbol",
@@ -211,10 +226,12 @@ def _parsed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def q_parse_daily_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars encoded as API responses and parsed back (accepted rows)."""
     return _parsed(spark, sf_dir)[0]
 
 
 def q_parse_daily_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses rejected whole because a field does not parse."""
     return _parsed(spark, sf_dir)[1]
 
 
@@ -234,29 +251,34 @@ def _vendor_frame(raw: DataFrame) -> DataFrame:
 
 
 def q_parse_history_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars in the vendor history shape parsed back (rounding, defaults)."""
     frame = _vendor_frame(raw_bars(spark, sf_dir))
     return parse_history_frame(frame, ingested_at="ingested_at")
 
 
 def q_raw_daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily raw landing (symbol/ingest-day folders) written and read back."""
     root = new_scratch_dir(spark, "raw")
     write_raw_daily(raw_bars(spark, sf_dir), root)
     return read_raw(spark, root, "daily", timestamp_type=NTZ)
 
 
 def q_raw_history_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Historical raw landing (symbol folders) written and read back."""
     root = new_scratch_dir(spark, "raw")
     write_raw_history(q_parse_history_frame(spark, sf_dir), root)
     return read_raw(spark, root, "history", timestamp_type=NTZ)
 
 
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars in the sample CSV shape written and read back."""
     path = new_scratch_dir(spark, "csv")
     write_prices_csv(raw_bars(spark, sf_dir), path)
     return read_prices_csv(spark, path, timestamp_type=NTZ)
 
 
 def q_bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw landing loaded into a Bronze versioned table (file column left out)."""
     raw_root = new_scratch_dir(spark, "raw")
     root = new_scratch_dir(spark, "lakehouse")
     write_raw_daily(raw_bars(spark, sf_dir), raw_root)
@@ -266,6 +288,7 @@ def q_bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_bronze_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily then history-shaped appends; the table schema widens."""
     raw = raw_bars(spark, sf_dir)
     table = VersionedTable(spark, new_scratch_dir(spark, "table"))
     table.append(raw.where(F.col("date") < F.lit(SPLIT_DATE)))
@@ -286,14 +309,17 @@ def _versioned(spark: SparkSession, sf_dir: str) -> VersionedTable:
 
 
 def q_table_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time travel: the table as of version 1 (two appends)."""
     return _versioned(spark, sf_dir).read(version=1)
 
 
 def q_table_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after an overwrite (latest version)."""
     return _versioned(spark, sf_dir).read()
 
 
 def q_table_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One history record per version, newest first."""
     return (
         _versioned(spark, sf_dir)
         .history()
@@ -302,6 +328,7 @@ def q_table_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_layer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which layers exist after loading Bronze and Silver."""
     root = new_scratch_dir(spark, "lakehouse")
     load_bronze(
         spark, raw_bars(spark, sf_dir), root, loaded_at=F.col("ingested_at"),
@@ -312,6 +339,7 @@ def q_layer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files streamed into Bronze, rerun adds nothing (exactly once)."""
     raw = raw_bars(spark, sf_dir)
     landing = new_scratch_dir(spark, "landing")
     # three landed files, streamed one per micro-batch
@@ -328,6 +356,7 @@ def q_bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_medallion_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The end-to-end run over the raw bars, as a one-row summary."""
     root = new_scratch_dir(spark, "lakehouse")
     summary = run_medallion(
         spark,
