@@ -5,9 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
-from tickhouse.operators.medallion import bronze_frame, silver_frame
 from tickhouse.operators.serving import list_symbols, price_history, silver_table, symbol_detail
 from tickhouse.plans.flow import load_bronze, load_gold, load_silver
 
