@@ -106,3 +106,70 @@ def test_nan_prices_pass_the_predicate(spark):
         [("A", dt.date(2024, 1, 1), math.nan, 2.0, 1.0, 1.5, 1, T0)], SCHEMA
     )
     assert df.where(valid_price_predicate(True)).count() == 1
+
+
+@settings(**SETTINGS)
+@given(
+    st.lists(
+        st.lists(st.one_of(st.none(), st.integers(-2_000_000, 2_000_000)), min_size=1, max_size=9),
+        min_size=1,
+        max_size=6,
+    )
+)
+def test_exact_mean_matches_decimal_half_up(spark, groups):
+    """Means of 4-decimal values, rounded half-up (away from zero) exactly."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from tickhouse.functions.columns import exact_mean
+
+    rows = [(g, t / 10000.0) for g, ticks in enumerate(groups) for t in ticks if t is not None]
+    rows += [(g, None) for g, ticks in enumerate(groups) for t in ticks if t is None]
+    df = spark.createDataFrame(rows, "g int, x double")
+    got = {r["g"]: r["m"] for r in df.groupBy("g").agg(exact_mean("x", 4).alias("m")).collect()}
+    for g, ticks in enumerate(groups):
+        vals = [Decimal(t) / 10000 for t in ticks if t is not None]
+        if not vals:
+            assert got[g] is None
+            continue
+        mean = (sum(vals) / len(vals)).quantize(Decimal("0.0001"), rounding=ROUND_HALF_UP)
+        assert got[g] == float(mean), (ticks, got[g], mean)
+
+
+def test_exact_mean_ties_round_away_from_zero(spark):
+    from tickhouse.functions.columns import exact_mean
+
+    df = spark.createDataFrame([(1, 0.0001), (1, 0.0002), (2, -0.0001), (2, -0.0002)],
+                               "g int, x double")
+    got = {r["g"]: r["m"] for r in df.groupBy("g").agg(exact_mean("x", 4).alias("m")).collect()}
+    assert got == {1: 0.0002, 2: -0.0002}
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(0, 20),
+                          st.integers(1, 500), st.integers(0, 100)),
+                min_size=1, max_size=30, unique_by=lambda t: (t[0], t[1])))
+def test_weekly_totals_match_model(spark, bars):
+    """Week grain against a brute-force model: counts, volume, open/close."""
+    from tickhouse.operators.weekly import weekly_performance
+
+    base = dt.date(2024, 1, 1)  # a Monday
+    rows = [(s, base + dt.timedelta(days=d), float(p), float(p) + 1, float(p) - 0.5,
+             float(p) + 0.25, v, T0) for s, d, p, v in bars]
+    stg = clean_staging(spark.createDataFrame(rows, SCHEMA))
+    fact = stg.withColumn("daily_return_pct", F.lit(None).cast("double")).withColumn(
+        "volatility_21d", F.lit(None).cast("double"))
+    got = {(r["symbol"], r["week_start"]): r for r in weekly_performance(fact).collect()}
+    model: dict = {}
+    for s, d, p, v in bars:
+        day = base + dt.timedelta(days=d)
+        wk = day - dt.timedelta(days=day.weekday())
+        model.setdefault((s, wk), []).append((day, p, v))
+    assert set(got) == set(model)
+    for key, days in model.items():
+        days.sort()
+        r = got[key]
+        assert r["trading_days"] == len(days)
+        assert r["total_volume"] == sum(v for _, _, v in days)
+        assert float(r["week_open"]) == days[0][1]
+        assert float(r["week_close"]) == days[-1][1] + 0.25
+        assert (r["first_trade_date"], r["last_trade_date"]) == (days[0][0], days[-1][0])
