@@ -25,21 +25,6 @@ from tickhouse.operators.staging import latest_first, valid_price_predicate
 
 LOAD_PIPELINE = "raw_ingestion"
 
-GOLD_COLUMNS = [
-    "symbol",
-    "latest_date",
-    "earliest_date",
-    "latest_close",
-    "avg_close",
-    "std_close",
-    "avg_volume",
-    "total_volume",
-    "total_records",
-    "all_time_high",
-    "all_time_low",
-]
-
-
 def _stamp(value) -> Column:
     return F.current_timestamp() if value is None else F.lit(value)
 

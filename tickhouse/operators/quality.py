@@ -24,17 +24,6 @@ from pyspark.sql import functions as F
 
 PASSED, FAILED, WARNING = "PASSED", "FAILED", "WARNING"
 
-REPORT_COLUMNS = [
-    "check_name",
-    "status",
-    "table_name",
-    "records_checked",
-    "records_failed",
-    "details",
-    "pass_rate",
-]
-
-
 @dataclass(frozen=True)
 class Check:
     name: str

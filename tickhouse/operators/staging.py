@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickhouse.schemas import PRICE_DECIMAL
+from tickhouse.schemas import PRICE_DECIMAL, RAW_DAILY
 
 
 def valid_price_predicate(
@@ -64,7 +64,7 @@ def latest_first(*order_cols: str, rest: list[str] | None = None) -> list[Column
     return keys
 
 
-RAW_BAR_COLUMNS = ["symbol", "date", "open", "high", "low", "close", "volume", "ingested_at"]
+RAW_BAR_COLUMNS = RAW_DAILY.fieldNames()
 
 
 def latest_valid_bars(raw: DataFrame) -> DataFrame:

@@ -45,8 +45,6 @@ RAW_HISTORY = raw_history_schema()
 # The shipped sample CSV has no load time.
 SAMPLE_CSV = T.StructType(RAW_DAILY.fields[:-1])
 
-BAR_COLUMNS = ["symbol", "date", "open", "high", "low", "close", "volume"]
-
 # Fixed values of the vendor response format (they must equal what the
 # price API sends): the key holding the per-date map and the five field
 # names inside each date entry.
