@@ -76,3 +76,18 @@ def test_bronze_source_file_default(spark, tmp_path, sample_bars):
     sample_bars.write.parquet(path)
     files = {r["_source_file"] for r in bronze_frame(spark.read.parquet(path)).collect()}
     assert all(f.startswith("file:") and f.endswith(".parquet") for f in files)
+
+
+def test_silver_survivor_of_identical_bars_is_deterministic(spark):
+    """Same bar in two files loaded at one instant: the larger file name wins."""
+    import datetime as dt
+
+    bar = ("AAPL", dt.date(2025, 1, 2), 1.0, 2.0, 0.5, 1.5, 10, dt.datetime(2025, 1, 2))
+    schema = ("symbol string, date date, open double, high double, low double, "
+              "close double, volume bigint, ingested_at timestamp, src string")
+    bars = spark.createDataFrame([(*bar, "a.parquet"), (*bar, "b.parquet")], schema)
+    stamp = F.lit(dt.datetime(2025, 1, 3))
+    for parts in (1, 2, 7):
+        shuffled = bars.repartition(parts)
+        bronze = bronze_frame(shuffled, loaded_at=stamp, source_file=F.col("src")).drop("src")
+        assert [r["_source_file"] for r in silver_frame(bronze).collect()] == ["b.parquet"]
