@@ -79,7 +79,7 @@ def price_indicators(stg: DataFrame) -> DataFrame:
 
     The volatility reads the *rounded* daily return, as the model does,
     so the return is materialised before the framed aggregates.
-    Averages are exact decimal means rounded half-up (see
+    Averages are exact means over integer ticks, rounded half-up (see
     ``functions.exact_mean``); short frames at the start of a history are
     averaged over the rows they have.
     """
