@@ -129,7 +129,8 @@ def test_staging_refresh_matches_full(spark, tmp_path, monkeypatch):
     for i, b in enumerate(batches):
         flow.load_bronze(spark, b, root, loaded_at=F.lit(t0 + dt.timedelta(days=i)),
                          source_file="t")
-        flow.build_marts(spark, root, updated_at=False)
+        # fact extension off: only the staging refresh reads increments
+        flow.build_marts(spark, root, updated_at=False, incremental=False)
         assert latest_t.commit_record()["meta"]["bronze_version"] == i
         full = clean_staging(VersionedTable(spark, layer_path(root, "bronze")).read())
         got = VersionedTable(spark, layer_path(root, "marts", "fact_daily_performance")).read()
@@ -181,3 +182,46 @@ def test_widened_bronze_keeps_full_rebuild_column_order(spark, tmp_path):
     silver_t = VersionedTable(spark, layer_path(root, "silver"))
     assert silver_t.read().columns == _full(spark, root).columns
     assert silver_t.read().columns[-2:] == ["_silver_loaded_at", "_is_valid"]
+
+
+def _fact_content(df):
+    cols = [c for c in df.columns if c != "updated_at"]
+    rows = [tuple(r) for r in df.select(*sorted(cols)).collect()]
+    return sorted(rows, key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def _full_fact(spark, root):
+    from tickhouse.operators.indicators import fact_daily_performance, price_indicators
+    from tickhouse.operators.staging import clean_staging
+
+    bronze = VersionedTable(spark, layer_path(root, "bronze")).read()
+    return fact_daily_performance(price_indicators(clean_staging(bronze)), updated_at=False)
+
+
+def test_fact_extension_matches_full_recompute(spark, tmp_path, monkeypatch):
+    taken = []
+    real = flow._extend_fact
+
+    def spy(*args, **kwargs):
+        out = real(*args, **kwargs)
+        taken.append(out)
+        return out
+
+    monkeypatch.setattr(flow, "_extend_fact", spy)
+    raw = raw_bars(spark, SF_SMALL)
+    root = str(tmp_path / "lake")
+    t0 = dt.datetime(2025, 1, 1)
+    fact_t = VersionedTable(spark, layer_path(root, "marts", "fact_daily_performance"))
+    # yearly batches extend every symbol's history; the last one goes back
+    batches = [raw.where(F.year("date") <= 1996)] + [
+        raw.where(F.year("date") == y) for y in (1997, 1998, 1999)
+    ] + [raw.where(F.year("date") == 1996)]
+    for i, b in enumerate(batches):
+        flow.load_bronze(spark, b, root, loaded_at=F.lit(t0 + dt.timedelta(days=i)),
+                         source_file="t")
+        flow.build_marts(spark, root, updated_at=False)
+        assert _fact_content(fact_t.read()) == _fact_content(_full_fact(spark, root)), i
+    # first build and the backdated batch recompute; the yearly ones extend
+    assert taken == [False, True, True, True, False]
+    assert [r["mode"] for r in fact_t.history().orderBy("version").collect()] == [
+        "Overwrite", "Append", "Append", "Append", "Overwrite"]

@@ -11,11 +11,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickhouse.operators.indicators import fact_daily_performance, price_indicators
+from tickhouse.operators.indicators import (
+    MA_LONG,
+    VOLATILITY_WINDOW,
+    fact_daily_performance,
+    price_indicators,
+)
 from tickhouse.operators.medallion import bronze_frame, gold_daily_summary, silver_frame
 from tickhouse.operators.quality import dq_report, dq_summary_dict, standard_suite
 from tickhouse.operators.staging import RAW_BAR_COLUMNS, latest_valid_bars, stage_types
@@ -164,18 +169,104 @@ def refresh_staging(spark: SparkSession, root: str) -> int:
     )
 
 
-def build_marts(spark: SparkSession, root: str, updated_at=None) -> None:
-    """Staging -> indicators -> fact and weekly marts."""
-    refresh_staging(spark, root)
-    latest = VersionedTable(spark, layer_path(root, "staging", "latest_bars")).read()
-    fact = fact_daily_performance(price_indicators(stage_types(latest)), updated_at=updated_at)
+def build_marts(spark: SparkSession, root: str, updated_at=None, incremental: bool = True) -> None:
+    """Staging -> indicators -> fact and weekly marts.
+
+    The fact mart is extended in place when the new bars only continue
+    each symbol's history (see ``_extend_fact``); otherwise it is
+    recomputed from the whole staging table.  The weekly mart is rebuilt
+    from the fact table.
+    """
+    staging_version = refresh_staging(spark, root)
+    latest_t = VersionedTable(spark, layer_path(root, "staging", "latest_bars"))
     fact_table = VersionedTable(spark, layer_path(root, "marts", MART_TABLES[0]))
-    fact_table.overwrite(fact, sort_by=["symbol", "trade_date"])
+    staged_from = (latest_t.commit_record(staging_version) or {}).get("meta", {})
+    meta = {
+        "staging_version": staging_version,
+        "bronze_version": staged_from.get("bronze_version"),
+    }
+    if not (incremental and _extend_fact(spark, root, fact_table, meta, updated_at)):
+        latest = latest_t.read(staging_version)
+        fact = fact_daily_performance(price_indicators(stage_types(latest)), updated_at=updated_at)
+        fact_table.overwrite(fact, sort_by=["symbol", "trade_date"], meta=meta)
     written = fact_table.read()
     weekly = weekly_performance(written, grain="week", updated_at=updated_at)
     VersionedTable(spark, layer_path(root, "marts", MART_TABLES[1])).overwrite(weekly)
 
 
+# Trailing rows an appended bar needs: 49 closes for the 50-row average,
+# and 21 closes (20 returns plus the lag of the first) for the volatility.
+CONTEXT_ROWS = max(MA_LONG - 1, VOLATILITY_WINDOW)
+
+
+def _extend_fact(
+    spark: SparkSession, root: str, fact_table: VersionedTable, meta: dict, updated_at
+) -> bool:
+    """Append fact rows for bars that extend each symbol's history.
+
+    Every indicator is a trailing window, so a bar dated after all earlier
+    bars of its symbol changes no earlier fact row, and its own indicators
+    need only the ``CONTEXT_ROWS`` bars before it.  Applies when the fact
+    was built from an earlier Bronze version, Bronze has only appended
+    since, and for every symbol in the new bars the first new date is
+    later than the symbol's last staged date (and no key is NULL).  The
+    new bars are appended as one fact version; cost: the new bars, a
+    per-symbol top-``CONTEXT_ROWS`` of the old staging (pre-limited
+    before its shuffle) and one aggregate scan of it.  Returns False when
+    the full recompute is needed.
+    """
+    rec = fact_table.commit_record()
+    old_meta = (rec or {}).get("meta", {})
+    if old_meta.get("bronze_version") is None or meta["bronze_version"] is None:
+        return False
+    if old_meta["bronze_version"] == meta["bronze_version"]:
+        return old_meta.get("staging_version") == meta["staging_version"]
+    bronze_t = VersionedTable(spark, layer_path(root, "bronze"))
+    inc = bronze_t.increment(old_meta["bronze_version"])
+    if inc is None:
+        return False
+    new_rows, _ = inc
+    latest_t = VersionedTable(spark, layer_path(root, "staging", "latest_bars"))
+    old_stg = stage_types(latest_t.read(old_meta["staging_version"]))
+    new_stg = stage_types(latest_valid_bars(new_rows.select(*RAW_BAR_COLUMNS)))
+
+    span = new_stg.groupBy("symbol").agg(
+        F.min("trade_date").alias("_first"),
+        F.count_if(F.col("trade_date").isNull()).alias("_new_null_dates"),
+    )
+    last = old_stg.groupBy("symbol").agg(
+        F.max("trade_date").alias("_last"),
+        F.count_if(F.col("trade_date").isNull()).alias("_old_null_dates"),
+    )
+    conflicts = span.join(last, "symbol", "left").where(
+        F.col("symbol").isNull()
+        | (F.col("_new_null_dates") > 0)
+        | (F.coalesce(F.col("_old_null_dates"), F.lit(0)) > 0)
+        | (F.col("_first") <= F.col("_last"))
+    )
+    if not conflicts.isEmpty():
+        return False
+
+    # the last CONTEXT_ROWS bars of each touched symbol (top-k per symbol is
+    # planned as a partial WindowGroupLimit before the shuffle)
+    recent = Window.partitionBy("symbol").orderBy(F.col("trade_date").desc())
+    context = (
+        old_stg.join(span.select("symbol"), "symbol", "left_semi")
+        .withColumn("_rn", F.row_number().over(recent))
+        .where(F.col("_rn") <= CONTEXT_ROWS)
+        .drop("_rn")
+    )
+    ind = price_indicators(context.unionByName(new_stg))
+    added = ind.join(new_stg.select("symbol", "trade_date"), ["symbol", "trade_date"], "left_semi")
+    fact_table.append(
+        fact_daily_performance(added, updated_at=updated_at),
+        merge_schema=False,
+        sort_by=["symbol", "trade_date"],
+        meta=meta,
+    )
+    return True
+
+
 def run_medallion(
     spark: SparkSession,
     raw: DataFrame | str | None,
