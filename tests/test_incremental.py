@@ -113,8 +113,8 @@ def test_staging_refresh_matches_full(spark, tmp_path, monkeypatch):
     used = []
     real_increment = VersionedTable.increment
 
-    def spy(self, after):
-        out = real_increment(self, after)
+    def spy(self, after, upto=None):
+        out = real_increment(self, after, upto)
         if self.path.endswith("bronze/daily_prices"):
             used.append(out is not None)
         return out
@@ -225,3 +225,50 @@ def test_fact_extension_matches_full_recompute(spark, tmp_path, monkeypatch):
     assert taken == [False, True, True, True, False]
     assert [r["mode"] for r in fact_t.history().orderBy("version").collect()] == [
         "Overwrite", "Append", "Append", "Append", "Overwrite"]
+
+
+def test_fact_extension_ignores_bronze_appended_meanwhile(spark, tmp_path, monkeypatch):
+    raw = raw_bars(spark, SF_SMALL)
+    root = str(tmp_path / "lake")
+    t0 = dt.datetime(2025, 1, 1)
+    fact_t = VersionedTable(spark, layer_path(root, "marts", "fact_daily_performance"))
+    flow.load_bronze(spark, raw.where(F.year("date") <= 1996), root, loaded_at=F.lit(t0),
+                     source_file="t")
+    flow.build_marts(spark, root, updated_at=False)
+    flow.load_bronze(spark, raw.where(F.year("date") == 1997), root,
+                     loaded_at=F.lit(t0 + dt.timedelta(days=1)), source_file="t")
+    real_refresh = flow.refresh_staging
+
+    def refresh_then_concurrent_append(spark_, root_):
+        version = real_refresh(spark_, root_)
+        # another writer commits a Bronze version right after staging ran
+        flow.load_bronze(spark_, raw.where(F.year("date") == 1998), root_,
+                         loaded_at=F.lit(t0 + dt.timedelta(days=2)), source_file="t")
+        return version
+
+    monkeypatch.setattr(flow, "refresh_staging", refresh_then_concurrent_append)
+    flow.build_marts(spark, root, updated_at=False)
+    staged = VersionedTable(spark, layer_path(root, "staging", "latest_bars")).read()
+    assert fact_t.read().count() == staged.count()  # nothing beyond what was staged
+    monkeypatch.setattr(flow, "refresh_staging", real_refresh)
+    flow.build_marts(spark, root, updated_at=False)
+    got = fact_t.read()
+    assert got.count() == got.select("symbol", "trade_date").distinct().count()
+    assert _fact_content(got) == _fact_content(_full_fact(spark, root))
+
+
+def test_fact_extension_recomputes_when_columns_change(spark, tmp_path):
+    raw = raw_bars(spark, SF_SMALL)
+    root = str(tmp_path / "lake")
+    t0 = dt.datetime(2025, 1, 1)
+    fact_t = VersionedTable(spark, layer_path(root, "marts", "fact_daily_performance"))
+    flow.load_bronze(spark, raw.where(F.year("date") <= 1996), root, loaded_at=F.lit(t0),
+                     source_file="t")
+    flow.build_marts(spark, root, updated_at=False)
+    flow.load_bronze(spark, raw.where(F.year("date") == 1997), root,
+                     loaded_at=F.lit(t0 + dt.timedelta(days=1)), source_file="t")
+    flow.build_marts(spark, root, updated_at=None)  # now stamped: new column
+    got = fact_t.read()
+    assert fact_t.commit_record()["mode"] == "Overwrite"
+    assert got.where(F.col("updated_at").isNull()).count() == 0
+    assert _fact_content(got) == _fact_content(_full_fact(spark, root))

@@ -10,6 +10,7 @@ one-row check summary.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -100,7 +101,7 @@ def _refresh_silver(
         return None
     if base == bronze_version:
         return silver_rec["version"]  # nothing new
-    inc = bronze_t.increment(base)
+    inc = bronze_t.increment(base, upto=bronze_version)
     if inc is None:
         return None
     base_range = (bronze_t.commit_record(base) or {}).get("time_range")
@@ -156,7 +157,7 @@ def refresh_staging(spark: SparkSession, root: str) -> int:
     base = (rec or {}).get("meta", {}).get("bronze_version")
     if base is not None and base == bronze_version:
         return rec["version"]
-    inc = bronze_t.increment(base) if base is not None else None
+    inc = bronze_t.increment(base, upto=bronze_version) if base is not None else None
     if inc is not None:
         new_rows, _ = inc
         source = latest_t.read().unionByName(new_rows.select(*RAW_BAR_COLUMNS))
@@ -222,7 +223,7 @@ def _extend_fact(
     if old_meta["bronze_version"] == meta["bronze_version"]:
         return old_meta.get("staging_version") == meta["staging_version"]
     bronze_t = VersionedTable(spark, layer_path(root, "bronze"))
-    inc = bronze_t.increment(old_meta["bronze_version"])
+    inc = bronze_t.increment(old_meta["bronze_version"], upto=meta["bronze_version"])
     if inc is None:
         return False
     new_rows, _ = inc
@@ -247,23 +248,25 @@ def _extend_fact(
     if not conflicts.isEmpty():
         return False
 
-    # the last CONTEXT_ROWS bars of each touched symbol (top-k per symbol is
-    # planned as a partial WindowGroupLimit before the shuffle)
+    # the last CONTEXT_ROWS bars of each symbol: the top-k per symbol is
+    # planned as a partial WindowGroupLimit before its shuffle, so at most
+    # CONTEXT_ROWS rows per symbol and task move, whatever the history; only
+    # then is the bounded result matched with the touched symbols
     recent = Window.partitionBy("symbol").orderBy(F.col("trade_date").desc())
     context = (
-        old_stg.join(span.select("symbol"), "symbol", "left_semi")
-        .withColumn("_rn", F.row_number().over(recent))
+        old_stg.withColumn("_rn", F.row_number().over(recent))
         .where(F.col("_rn") <= CONTEXT_ROWS)
         .drop("_rn")
+        .join(span.select("symbol"), "symbol", "left_semi")
     )
     ind = price_indicators(context.unionByName(new_stg))
     added = ind.join(new_stg.select("symbol", "trade_date"), ["symbol", "trade_date"], "left_semi")
-    fact_table.append(
-        fact_daily_performance(added, updated_at=updated_at),
-        merge_schema=False,
-        sort_by=["symbol", "trade_date"],
-        meta=meta,
-    )
+    rows = fact_daily_performance(added, updated_at=updated_at)
+    table_schema = T.StructType.fromJson(json.loads(rec["schema"]))
+    shape = [(f.name, f.dataType) for f in rows.schema.fields]
+    if shape != [(f.name, f.dataType) for f in table_schema.fields]:
+        return False  # e.g. updated_at added, dropped or retyped: recompute
+    fact_table.append(rows, merge_schema=False, sort_by=["symbol", "trade_date"], meta=meta)
     return True
 
 
