@@ -272,3 +272,27 @@ def test_fact_extension_recomputes_when_columns_change(spark, tmp_path):
     assert fact_t.commit_record()["mode"] == "Overwrite"
     assert got.where(F.col("updated_at").isNull()).count() == 0
     assert _fact_content(got) == _fact_content(_full_fact(spark, root))
+
+
+def test_fact_extension_context_is_prelimited(spark, tmp_path, monkeypatch):
+    """The context (last bars per symbol) is a top-k limited before its shuffle."""
+    raw = raw_bars(spark, SF_SMALL)
+    root = str(tmp_path / "lake")
+    t0 = dt.datetime(2025, 1, 1)
+    flow.load_bronze(spark, raw.where(F.year("date") <= 1997), root, loaded_at=F.lit(t0),
+                     source_file="t")
+    flow.build_marts(spark, root, updated_at=False)
+    flow.load_bronze(spark, raw.where(F.year("date") > 1997), root,
+                     loaded_at=F.lit(t0 + dt.timedelta(days=1)), source_file="t")
+    plans = []
+    real_append = VersionedTable.append
+
+    def spy(self, df, **kwargs):
+        if self.path.endswith("fact_daily_performance"):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real_append(self, df, **kwargs)
+
+    monkeypatch.setattr(VersionedTable, "append", spy)
+    flow.build_marts(spark, root, updated_at=False)
+    assert len(plans) == 1
+    assert "WindowGroupLimit" in plans[0] and "Partial" in plans[0]
