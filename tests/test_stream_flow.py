@@ -80,3 +80,26 @@ def test_stream_default_checkpoint_is_stable(spark, tmp_path):
     assert bronze_stream(spark, landing, table, schema=raw.schema)["batches"] == 1
     assert bronze_stream(spark, landing, table, schema=raw.schema)["batches"] == 0
     assert VersionedTable(spark, table).read().count() == raw.count()
+
+
+def test_run_with_stream_loads_each_file_once(spark, tmp_path):
+    from tickhouse.sources.files import write_raw_daily
+
+    raw = raw_bars(spark, SF_SMALL)
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "lake")
+    write_raw_daily(raw.where("date < date'1998-01-01'"), landing)
+    first = run_medallion(spark, landing, root, today=dt.date(2001, 8, 3), stream=True)
+    assert first["status"] == "completed" and first["symbols_processed"] == 8
+    bronze = VersionedTable(spark, layer_path(root, "bronze"))
+    n1 = bronze.read().count()
+    assert n1 == raw.where("date < date'1998-01-01'").count()
+    # a rerun with nothing newly landed appends nothing
+    assert run_medallion(spark, landing, root, stream=True)["status"] == "no_data"
+    # newly landed files are picked up once
+    write_raw_daily(raw.where("date >= date'1998-01-01'"), landing)
+    again = run_medallion(spark, landing, root, today=dt.date(2001, 8, 3), stream=True)
+    assert again["status"] == "completed"
+    assert bronze.read().count() == raw.count()
+    assert "ingest_date" not in bronze.read().columns
+    silver = VersionedTable(spark, layer_path(root, "silver")).read()
+    assert silver.count() == 1316

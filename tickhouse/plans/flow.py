@@ -26,7 +26,7 @@ from tickhouse.operators.medallion import bronze_frame, gold_daily_summary, silv
 from tickhouse.operators.quality import dq_report, dq_summary_dict, standard_suite
 from tickhouse.operators.staging import RAW_BAR_COLUMNS, latest_valid_bars, stage_types
 from tickhouse.operators.weekly import weekly_performance
-from tickhouse.sources.files import read_raw
+from tickhouse.sources.files import DAILY_DIR, read_raw
 from tickhouse.sources.tables import VersionedTable, layer_path
 
 SILVER_SORT = ["symbol", "date"]
@@ -270,6 +270,34 @@ def _extend_fact(
     return True
 
 
+def _stream_into_bronze(
+    spark: SparkSession, raw_root: str, root: str, loaded_at, timestamp_type
+) -> DataFrame | None:
+    """Stream newly landed daily files into Bronze; the rows it appended."""
+    from tickhouse.schemas import raw_daily_schema
+    from tickhouse.streaming.bronze_stream import bronze_stream
+
+    bronze_t = VersionedTable(spark, layer_path(root, "bronze"))
+    before = bronze_t.latest_version()
+    schema = raw_daily_schema(timestamp_type)
+    landing = T.StructType(schema.fields + [T.StructField("ingest_date", T.DateType())])
+    bronze_stream(
+        spark,
+        f"{raw_root.rstrip('/')}/{DAILY_DIR}",
+        bronze_t.path,
+        schema=landing,
+        columns=schema.fieldNames(),
+        loaded_at=loaded_at,
+    )
+    after = bronze_t.latest_version()
+    if after is None or after == before:
+        return None
+    if before is None:
+        return bronze_t.read(after)
+    inc = bronze_t.increment(before, upto=after)
+    return None if inc is None else inc[0]
+
+
 def run_medallion(
     spark: SparkSession,
     raw: DataFrame | str | None,
@@ -281,12 +309,16 @@ def run_medallion(
     source_file: Column | str | None = None,
     timestamp_type: T.DataType | None = None,
     ingest_date: dt.date | None = None,
+    stream: bool = False,
 ) -> dict:
     """Run every layer and return the run summary.
 
     ``raw`` is the new input: a DataFrame, or a landed raw root of which
     only the ``ingest_date`` folders are loaded when that is given (a
-    daily run); without it every landed day is appended again.
+    daily run); without it every landed day is appended again.  With
+    ``stream=True`` (landed raw root only) Bronze is loaded by the
+    exactly-once file stream instead: each landed file is appended once,
+    whatever the schedule of the runs.
 
     No input (None, or no rows for the requested symbols) returns
     ``{"status": "no_data", "symbols_processed": 0}``.  Checks only
@@ -295,18 +327,28 @@ def run_medallion(
     """
     if raw is None:
         return {"status": "no_data", "symbols_processed": 0}
-    if isinstance(raw, str):
-        raw = read_raw(spark, raw, "daily", timestamp_type, ingest_date)
-    if symbols:
-        raw = raw.where(F.col("symbol").isin([s.upper() for s in symbols]))
-    # one symbol-only scan of the input answers both "any data?" and the
-    # number of symbols processed; one row reaches the driver
-    rows, processed = raw.agg(F.count(F.lit(1)), F.count_distinct("symbol")).first()
-    if rows == 0:
-        return {"status": "no_data", "symbols_processed": 0}
-    processed = int(processed)
-
-    load_bronze(spark, raw, root, loaded_at=loaded_at, source_file=source_file)
+    if stream:
+        if not isinstance(raw, str) or symbols or ingest_date:
+            raise ValueError("stream=True takes a landed raw root, without symbols/ingest_date")
+        new_rows = _stream_into_bronze(spark, raw, root, loaded_at, timestamp_type)
+        if new_rows is None:
+            return {"status": "no_data", "symbols_processed": 0}
+        rows, processed = new_rows.agg(F.count(F.lit(1)), F.count_distinct("symbol")).first()
+        if rows == 0:
+            return {"status": "no_data", "symbols_processed": 0}
+        processed = int(processed)
+    else:
+        if isinstance(raw, str):
+            raw = read_raw(spark, raw, "daily", timestamp_type, ingest_date)
+        if symbols:
+            raw = raw.where(F.col("symbol").isin([s.upper() for s in symbols]))
+        # one symbol-only scan of the input answers both "any data?" and the
+        # number of symbols processed; one row reaches the driver
+        rows, processed = raw.agg(F.count(F.lit(1)), F.count_distinct("symbol")).first()
+        if rows == 0:
+            return {"status": "no_data", "symbols_processed": 0}
+        processed = int(processed)
+        load_bronze(spark, raw, root, loaded_at=loaded_at, source_file=source_file)
 
     load_silver(spark, root, loaded_at=loaded_at)
     silver = VersionedTable(spark, layer_path(root, "silver")).read()
@@ -348,6 +390,8 @@ def main(argv: list[str] | None = None) -> dict:
     parser.add_argument("--today", type=dt.date.fromisoformat, default=None,
                         help="reference date of the freshness check (default: UTC today)")
     parser.add_argument("--no-models", action="store_true", help="skip the marts")
+    parser.add_argument("--stream", action="store_true",
+                        help="load Bronze with the exactly-once file stream")
     parser.add_argument("--master", default=None, help="only for local runs")
     args = parser.parse_args(argv)
 
@@ -362,6 +406,7 @@ def main(argv: list[str] | None = None) -> dict:
         run_models=not args.no_models,
         today=args.today,
         ingest_date=args.ingest_date,
+        stream=args.stream,
     )
     print(json.dumps(summary))
     return summary

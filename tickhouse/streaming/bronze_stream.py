@@ -31,12 +31,15 @@ def bronze_stream(
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
+    columns: list[str] | None = None,
 ):
     """Start the stream; with ``available_now`` wait for it and return stats.
 
     ``raw_dir`` holds raw Parquet files with ``schema`` (raw daily by
-    default).  ``checkpoint`` defaults to a folder inside the table, so
-    repeated runs for the same table are exactly-once without passing it.  Returns ``{"batches": n, "query_id": id}`` for an
+    default); ``columns`` keeps only those (e.g. drops a partition column
+    of the landing layout).  ``checkpoint`` defaults to a folder inside
+    the table, so repeated runs for the same table are exactly-once
+    without passing it.  Returns ``{"batches": n, "query_id": id}`` for an
     available-now run, or the running ``StreamingQuery`` otherwise.
     """
     # the default checkpoint lives with the table, so every run of the
@@ -45,7 +48,10 @@ def bronze_stream(
     reader = spark.readStream.schema(schema or RAW_DAILY)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    bronze = bronze_frame(reader.parquet(raw_dir), loaded_at=loaded_at)
+    landed = reader.parquet(raw_dir)
+    if columns:
+        landed = landed.select(*columns)
+    bronze = bronze_frame(landed, loaded_at=loaded_at)
     table = VersionedTable(spark, table_path)
     app_id = f"bronze-stream:{checkpoint}"
     seen: list[int] = []
