@@ -13,7 +13,10 @@ Conventions every operator of this subpackage keeps:
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +30,27 @@ from tickhouse.session import new_scratch_dir
 SLICE_BYTES = 4 << 20
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application.
+
+    Needed where they cannot import it by themselves, such as in a session
+    that was not started with ``--py-files``.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -48,8 +72,10 @@ def key_remainder(key: str | Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % F.lit(divisor)
 
 
-def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """(start, length) of runs of whole texts of about ``limit`` bytes."""
+def text_slices(
+    column: pa.Array, limit: int = SLICE_BYTES, rows: int = 1 << 20
+) -> Iterator[tuple[int, int]]:
+    """(start, length) of runs of whole texts, about ``limit`` bytes and at most ``rows`` texts each."""
     n = len(column)
     if n == 0:
         return
@@ -62,6 +88,7 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
     while start < n:
         base = ends[start - 1] if start else 0.0
         stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
+        stop = min(stop, start + rows)
         yield start, stop - start
         start = stop
 

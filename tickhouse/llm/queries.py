@@ -7,13 +7,25 @@ table and derives the returned columns from the operator's result.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickhouse.llm import chunk_dedup, nbsvm, pii, pivot_simhash, repetition, token_count
-from tickhouse.llm.common import key_remainder, read_table
+from tickhouse.llm import (
+    chunk_dedup,
+    hilbert_pack,
+    nbsvm,
+    pii,
+    pivot_simhash,
+    ppm,
+    repetition,
+    token_count,
+    varbyte,
+)
+from tickhouse.llm.common import key_remainder, read_table, ship
+from tickhouse.session import new_scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,11 +39,22 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.over_limit(counts, TOKEN_LIMIT)
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code lengths of every document under the corpus model."""
+    return ppm.model_scores(read_table(spark, sf_dir), key_remainder("doc_id", 5) != 1)
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data spans of every document, plain and disguised."""
     return pii.personal_data(read_table(spark, sf_dir))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed along the Hilbert curve."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return hilbert_pack.packed(read_table(spark, sf_dir), path)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicate groups of all documents by chunk recipes."""
     return chunk_dedup.exact_dedup(read_table(spark, sf_dir))
@@ -42,6 +65,14 @@ def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_coverage(read_table(spark, sf_dir))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as token files in key order and read back."""
+    folder = new_scratch_dir(spark, "token-files")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    varbyte.write_tokens(read_table(spark, sf_dir), folder, path)
+    return varbyte.read_tokens(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> nbsvm.Model:
     """Learned from labelled ``docs`` outside the held-out fold."""
     return nbsvm.fit(docs, read_table(spark, sf_dir, "labels"), key_remainder("doc_id", 4) != 2)
@@ -64,13 +95,27 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_simhash.near_duplicates(read_table(spark, sf_dir))
 
 
+def shipped(query: Query) -> Query:
+    """The query, run after the package is with the Python workers."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f
+    f.__name__: shipped(f)
     for f in (
         op1_token_counts,
+        op2_language_model,
         op3_personal_data,
+        op4_packing,
         op5_exact_dedup,
         op6_repetition,
+        op8_token_files,
         op9_quality,
         op10_simhash,
     )
