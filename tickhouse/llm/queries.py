@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tickhouse.llm import (
     chunk_dedup,
+    gumbel,
     hilbert_pack,
     nbsvm,
     pii,
@@ -65,6 +66,22 @@ def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_coverage(read_table(spark, sf_dir))
 
 
+def op7_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled segmentations of every document, decoded again."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rows = gumbel.decoded(gumbel.segmentations(read_table(spark, sf_dir), path), path)
+    return rows.select(
+        "doc_id",
+        "sample",
+        "n_tokens",
+        F.crc32("ids").alias("ids_crc32"),
+        "log_prob",
+        "perturbed",
+        "log_inclusion",
+        (F.crc32(F.col("text").cast("binary")) == F.col("text_crc32")).alias("round_trip"),
+    )
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as token files in key order and read back."""
     folder = new_scratch_dir(spark, "token-files")
@@ -115,6 +132,7 @@ QUERIES: dict[str, Query] = {
         op4_packing,
         op5_exact_dedup,
         op6_repetition,
+        op7_sampled_pieces,
         op8_token_files,
         op9_quality,
         op10_simhash,
