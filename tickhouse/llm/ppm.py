@@ -14,13 +14,15 @@ context every byte not yet excluded is equally likely.  Code lengths are
 pretrained, from all training texts, and add up per document.
 
 *Distribution*: documents are dealt into blocks of about ``BLOCK_BYTES`` by
-a hash.  Each block lists its distinct words and n-grams with their training
-counts; these lists, not texts, meet in one aggregation per word and n-gram.
-A context's totals, its distinct followers and what it excludes from the
-shorter one are sums over the aggregated n-grams.  Each block then gets the
-part of the trie and of the word counts that its own texts ask for, and is
-scored in numpy.  Nothing is broadcast, no task holds more than its block
-and its answers; the lists grow with the corpus.
+a hash.  A block lists its distinct (ORDER + 1)-grams and words with their
+training counts, in one packed row per bucket.  An n-gram's bucket is a hash
+of the three bytes before its last one, so a bucket holds every context of
+three and more bytes it needs; what lies below follows from the counts of
+three-byte strings, of which there are at most 2^24 (the only model data that
+reach the driver and travel with the tasks).  Per bucket the lists are summed
+as they stream by; then the sums meet the lists again and each block's list
+goes back to it with code lengths and word counts.  A task holds one block
+and its answers, or one bucket of the model; the lists grow with the corpus.
 
 Cases: a null or empty text is the end symbol alone; rows for which
 ``train_when`` is not true are only scored; with no training rows every byte
@@ -30,24 +32,27 @@ gives no rows; further columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickhouse.llm import wordarrays as wa
-from tickhouse.llm.common import BOOL, DOUBLE, LONG, fields, stored, text_slices
+from tickhouse.llm.common import BINARY, BOOL, DOUBLE, LONG, arrow_type, stored, text_slices
 
 ORDER = 5  # an n-gram and a text's number share 64 bits, so 5 is the most
-#: marks the rows of words among a block's answers
-WORD = -1
-BLOCK_BYTES = 48 << 20
-#: for parallelism: never fewer blocks than this, however small the table
-MIN_BLOCKS = 16
+BLOCK_BYTES = 32 << 20
+SLICE = 1 << 20
+#: for parallelism: never fewer blocks and buckets than these, however small the table
+MIN_BLOCKS, MIN_BUCKETS = 16, 64
+#: bytes of the context that name the bucket, and of the strings counted for all
+SHARED = 3
 END = 0xFF
 
 
@@ -76,10 +81,43 @@ def coded_grams(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return code
 
 
+def packed(codes: np.ndarray) -> bytes:
+    """Ascending n-gram codes, byte plane by byte plane, compressed."""
+    planes = codes.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return zstandard.compress(planes.tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<u8")
+
+
+def numbers(values: np.ndarray) -> bytes:
+    return zstandard.compress(values.astype("<i8").tobytes(), 1)
+
+
+def longs(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), "<i8")
+
+
+def summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes, ascending, with their summed counts."""
+    names, where = np.unique(codes, return_inverse=True)
+    return names, np.bincount(where, weights=counts, minlength=len(names)).astype(np.int64)
+
+
 def suffixes(codes: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The last n bytes of the n-grams, distinct, with their summed counts."""
-    short, where = np.unique(codes & np.uint64((1 << 8 * n) - 1), return_inverse=True)
-    return short, np.bincount(where, weights=counts, minlength=len(short)).astype(np.int64)
+    return summed(codes & np.uint64((1 << 8 * n) - 1), counts)
+
+
+def gram_buckets(codes: np.ndarray, buckets: int) -> np.ndarray:
+    context = (codes >> np.uint64(8)) & np.uint64((1 << 8 * SHARED) - 1)
+    return (wa.mix(context + wa.U(1)) % wa.U(buckets)).astype(np.int64)
+
+
+def word_buckets(words: list[bytes], buckets: int) -> np.ndarray:
+    return np.array([zlib.crc32(w) % buckets for w in words], np.int64)
 
 
 class Part:
@@ -115,106 +153,195 @@ class Part:
 def parts_of(rows: pa.Table) -> Iterator[tuple[int, Part]]:
     """The block's texts in slices: number of the first row, and the part."""
     texts = rows["text"].combine_chunks()
-    for at, n in text_slices(texts, rows=1 << 16):
+    for at, n in text_slices(texts, SLICE, rows=1 << 16):
         yield at, Part(texts.slice(at, n).to_pylist())
 
 
-TERMS = T.StructType(
-    [
-        T.StructField("block", T.LongType()),
-        T.StructField("size", T.IntegerType()),  # bytes of an n-gram; 0: a word
-        T.StructField("code", T.LongType()),
-        T.StructField("word", T.BinaryType()),
-        T.StructField("n", T.LongType()),
-    ]
+def schema_of(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, k) for n, k in kinds.items()])
+
+
+#: a block's n-grams (ascending) and words (joined by blanks) of a bucket
+LIST = schema_of(
+    bucket=LONG, block=LONG, codes=BINARY, counts=BINARY, words=BINARY, word_counts=BINARY
 )
+#: a bucket's part of the model; ``low``: strings of SHARED bytes, to be summed over buckets
+MODEL = schema_of(
+    bucket=LONG, codes=BINARY, counts=BINARY, words=BINARY, word_counts=BINARY, tokens=LONG,
+    kinds=LONG, low_codes=BINARY, low_counts=BINARY,
+)
+ANSWER = schema_of(block=LONG, codes=BINARY, lengths=BINARY, words=BINARY, word_counts=BINARY)
+SCORES = schema_of(held_out=BOOL, n_tokens=LONG, n_known=LONG, base_score=DOUBLE, score=DOUBLE)
+
+
+def arrow_schema(kinds: T.StructType) -> pa.Schema:
+    return pa.schema([(f.name, arrow_type(f.dataType)) for f in kinds.fields])
+
+
+def listed(
+    block: int,
+    codes: np.ndarray,
+    counts: np.ndarray,
+    words: list[bytes],
+    word_counts: np.ndarray,
+    buckets: int,
+) -> pa.Table:
+    """Lists of n-grams and words as one row per bucket."""
+    rows = []
+    of_gram, of_word = gram_buckets(codes, buckets), word_buckets(words, buckets)
+    grams, terms = np.argsort(of_gram, kind="stable"), np.argsort(of_word, kind="stable")
+    gram_cut = np.searchsorted(of_gram[grams], np.arange(buckets + 1))
+    word_cut = np.searchsorted(of_word[terms], np.arange(buckets + 1))
+    for b in range(buckets):
+        g, w = grams[gram_cut[b] : gram_cut[b + 1]], terms[word_cut[b] : word_cut[b + 1]]
+        if len(g) or len(w):
+            rows.append(
+                {
+                    "bucket": b,
+                    "block": block,
+                    "codes": packed(codes[g]),
+                    "counts": numbers(counts[g]),
+                    "words": zstandard.compress(b" ".join([words[i] for i in w]), 1),
+                    "word_counts": numbers(word_counts[w]),
+                }
+            )
+    return pa.Table.from_pylist(rows, schema=arrow_schema(LIST))
 
 
-def block_terms(rows: pa.Table) -> pa.Table:
+def block_lists(rows: pa.Table, buckets: int) -> pa.Table:
     """The words and n-grams of a block with their counts in its training rows."""
-    block = rows["block"][0].as_py()
     train = np.array(rows["train"].to_pylist(), bool)
-    counted: Counter[bytes] = Counter({b"": int(train.sum())})  # the end
-    found = []
+    counted: Counter[bytes] = Counter()
+    codes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for at, part in parts_of(rows):
         learn = train[at : at + part.n]
-        weight = np.bincount(
-            part.word, weights=learn[part.word_doc], minlength=len(part.words)
-        ).astype(np.int64)
-        counted.update(dict(zip(part.words, weight.tolist(), strict=True)))
+        weight = np.bincount(part.word, weights=learn[part.word_doc], minlength=len(part.words))
+        counted.update(dict(zip(part.words, weight.astype(np.int64).tolist(), strict=True)))
         weight = np.bincount(part.gram, weights=learn[part.gram_doc], minlength=len(part.codes))
-        found.append((part.codes, weight))
-    codes, where = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)
-    counts = np.bincount(
-        where, weights=np.concatenate([w for _, w in found]), minlength=len(codes)
-    ).astype(np.int64)
-    parts = [
-        (0, np.zeros(len(counted), np.int64), list(counted), np.array(list(counted.values()))),
-    ]
-    for n in range(ORDER + 1, 0, -1):
-        short, total = suffixes(codes, counts, n)
-        parts.append((n, short.astype(np.int64), None, total))
-        if n > 1:  # contexts that no coded symbol ends: asked for, not counted
-            context = np.unique(codes >> np.uint64(8) & np.uint64((1 << 8 * (n - 1)) - 1))
-            more = np.setdiff1d(context, suffixes(codes, counts, n - 1)[0])
-            parts.append((n - 1, more.astype(np.int64), None, np.zeros(len(more), np.int64)))
-    return pa.concat_tables(
-        pa.table(
-            {
-                "block": pa.array(np.full(len(code), block)),
-                "size": pa.array(np.full(len(code), size), pa.int32()),
-                "code": pa.array(code),
-                "word": pa.array(word, pa.binary()) if word is not None else pa.nulls(len(code), pa.binary()),
-                "n": pa.array(n, pa.int64()),
-            }
+        codes, counts = summed(
+            np.concatenate([codes, part.codes]), np.concatenate([counts, weight])
         )
-        for size, code, word, n in parts
-    )
+    word_counts = np.array(list(counted.values()), np.int64)
+    return listed(rows["block"][0].as_py(), codes, counts, list(counted), word_counts, buckets)
 
 
-def context_totals(grams: DataFrame) -> DataFrame:
-    """Per context (size, code): followers' total, their number, and the total
-    that the same followers have behind the context without its first byte."""
-    seen = grams.where("n > 0")
-    shorter = seen.select((F.col("size") + 1).alias("size"), F.col("code").alias("tail"), F.col("n").alias("m"))
-    follow = seen.select(
-        "size",
-        F.shiftright("code", 8).alias("context"),
-        # the n-gram without its first byte
-        F.col("code").bitwiseAND(F.expr("shiftleft(1L, 8 * (size - 1)) - 1")).alias("tail"),
-        "n",
-    )
-    return (
-        follow.join(shorter, ["size", "tail"], "left")
-        .groupBy((F.col("size") - 1).alias("size"), F.col("context").alias("code"))
-        .agg(
-            F.sum("n").alias("total"),
-            F.count("*").alias("distinct_followers"),
-            F.coalesce(F.sum("m"), F.lit(0)).alias("excluded"),
+class Sums:
+    """A bucket's n-grams and words, summed over the blocks' lists."""
+
+    def __init__(self, bucket: int):
+        self.bucket = bucket
+        self.codes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.words: Counter[bytes] = Counter()
+
+    def add(self, codes: bytes, counts: bytes, words: bytes, word_counts: bytes) -> None:
+        new, n = unpacked(codes), longs(counts)
+        learned = n > 0
+        self.codes, self.counts = summed(
+            np.concatenate([self.codes, new[learned]]), np.concatenate([self.counts, n[learned]])
         )
+        names = zstandard.decompress(words).split()
+        for name, count in zip(names, longs(word_counts).tolist(), strict=True):
+            if count:
+                self.words[name] += count
+
+    def row(self) -> pa.RecordBatch:
+        totals = np.array(list(self.words.values()), np.int64)
+        low, low_counts = suffixes(self.codes, self.counts, SHARED)
+        row = {
+            "bucket": self.bucket,
+            "codes": packed(self.codes),
+            "counts": numbers(self.counts),
+            "words": zstandard.compress(b" ".join(self.words), 1),
+            "word_counts": numbers(totals),
+            "tokens": int(totals.sum()),
+            "kinds": len(totals),
+            "low_codes": packed(low),
+            "low_counts": numbers(low_counts),
+        }
+        return pa.RecordBatch.from_pylist([row], schema=arrow_schema(MODEL))
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Row by row, so that one row's payload is held at a time beside its batch."""
+    for batch in batches:
+        for i in range(len(batch)):
+            yield tuple(column[i].as_py() for column in batch.columns)
+
+
+def summed_lists(lists: DataFrame) -> DataFrame:
+    """One row per bucket: the model's part of it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: Sums | None = None
+        for bucket, *payload in rows_of(batches):
+            if now is None or now.bucket != bucket:
+                if now is not None:
+                    yield now.row()
+                now = Sums(bucket)
+            now.add(*payload)
+        if now is not None:
+            yield now.row()
+
+    return (
+        lists.repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .select("bucket", "codes", "counts", "words", "word_counts")
+        .mapInArrow(run, MODEL)
     )
 
 
-class Trie:
-    """The part of the trie a block asks for; lookups by sorted codes."""
+def low_counts(model: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of all strings of SHARED bytes (at most 2^24), codes ascending."""
 
-    def __init__(self, rows: pa.Table, top: tuple[int, int]):
-        size = rows["size"].to_numpy()
-        columns = {
-            name: rows[name].to_numpy().astype(np.int64)
-            for name in ("code", "n", "total", "distinct_followers", "excluded")
-        }
-        self.by_size = {}
-        for n in range(ORDER + 2):
-            own = np.flatnonzero(size == n)
-            own = own[np.argsort(columns["code"][own].astype(np.uint64))]
-            self.by_size[n] = {k: v[own] for k, v in columns.items()}
-        root = dict(code=0, n=0, total=top[0], distinct_followers=top[1], excluded=0)
-        self.by_size[0] = {k: np.array([v]) for k, v in root.items()}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for codes, counts in rows_of(batches):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(unpacked(codes).astype(np.int64)), pa.array(longs(counts))],
+                names=["code", "n"],
+            )
+
+    rows = (
+        model.select("low_codes", "low_counts")
+        .mapInArrow(run, "code long, n long")
+        .groupBy("code")
+        .agg(F.sum("n").alias("n"))
+        .toPandas()
+        .sort_values("code")
+    )
+    return rows["code"].to_numpy().astype(np.uint64), rows["n"].to_numpy().astype(np.int64)
+
+
+class Trie:
+    """Counts of a bucket's strings and totals of its contexts, by length."""
+
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, low: tuple[np.ndarray, np.ndarray]):
+        grams = {ORDER + 1: (codes, counts), SHARED: low}
+        for n in [*range(ORDER, SHARED, -1), *range(SHARED - 1, 0, -1)]:
+            grams[n] = suffixes(*grams[n + 1], n)
+        self.by_size = {n: {"code": c, "n": k} for n, (c, k) in grams.items()}
+        self.by_size[0] = {"code": np.zeros(1, np.uint64), "n": np.zeros(1, np.int64)}
+        for n in range(ORDER + 1):
+            # of the contexts of n bytes: the followers' total, their number, and the total
+            # that the same followers have behind the context without its first byte
+            follow, own = grams[n + 1]
+            shorter = np.zeros(len(follow), np.int64)
+            if n:
+                (shorter,) = self.get(n, follow & np.uint64((1 << 8 * n) - 1), "n")
+            context, where = np.unique(follow >> np.uint64(8), return_inverse=True)
+            facts = {"total": own, "distinct_followers": np.ones(len(follow)), "excluded": shorter}
+            table = self.by_size[n]
+            codes = np.union1d(table["code"], context)
+            new = {"code": codes, "n": np.zeros(len(codes), np.int64)}
+            new["n"][np.searchsorted(codes, table["code"])] = table["n"]
+            at = np.searchsorted(codes, context)
+            for name, weights in facts.items():
+                new[name] = np.zeros(len(codes), np.int64)
+                new[name][at] = np.bincount(where, weights=weights, minlength=len(context))
+            self.by_size[n] = new
 
     def get(self, n: int, codes: np.ndarray, *names: str) -> list[np.ndarray]:
         table = self.by_size[n]
-        known = table["code"].astype(np.uint64)
+        known = table["code"]
         if not len(known):
             return [np.zeros(len(codes), np.int64) for _ in names]
         at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
@@ -243,37 +370,71 @@ class Trie:
         return result
 
 
-SCORES = fields(held_out=BOOL, n_tokens=LONG, n_known=LONG, base_score=DOUBLE, score=DOUBLE)
+def answered(lists: DataFrame, model: DataFrame, low: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Each block's lists with code lengths and counts of the whole corpus."""
+    none = F.lit(None)
+    asked = lists.select(
+        "bucket", "block", "codes", none.cast("binary").alias("counts"), "words",
+        none.cast("binary").alias("word_counts"),
+    )
+    known = model.select(
+        "bucket", none.cast("long").alias("block"), "codes", "counts", "words", "word_counts"
+    )
+    both = (
+        known.unionByName(asked)
+        .repartition("bucket")
+        .sortWithinPartitions("bucket", F.col("block").asc_nulls_first())  # the sums come first
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie: Trie | None = None
+        counts: dict[bytes, int] = {}
+        for _, block, codes, n, words, total in rows_of(batches):
+            names = zstandard.decompress(words).split()
+            if block is None:
+                trie = Trie(unpacked(codes), longs(n), low)
+                counts = dict(zip(names, longs(total).tolist(), strict=True))
+                continue
+            own = np.array([counts.get(w, 0) for w in names], np.int64)
+            row = {
+                "block": block,
+                "codes": codes,
+                "lengths": trie.log10(unpacked(codes)).astype("<f8").tobytes(),
+                "words": words,
+                "word_counts": numbers(own),
+            }
+            yield pa.RecordBatch.from_pylist([row], schema=arrow_schema(ANSWER))
+
+    return both.mapInArrow(run, ANSWER)
 
 
-def block_scores(
-    rows: pa.Table, answers: pa.Table, tokens: int, kinds: int, top: tuple[int, int]
-) -> pa.Table:
-    """The scores of a block's rows; ``top``: total and followers of the empty context."""
-    is_word = answers["size"].to_numpy() == WORD
-    of_word = answers.filter(pa.array(is_word)).select(["word", "n"])
-    counts = of_word["n"].to_numpy()
-    names = of_word["word"].to_pylist()
-    log = dict(
-        zip(names, np.log10((counts + 0.5) / (tokens + 0.5 * (kinds + 1))).tolist(), strict=True)
-    )
-    known = {w for w, c in zip(names, counts.tolist(), strict=True) if c > 0}
-    trie = Trie(answers.filter(pa.array(~is_word)), top)
-    end = (log[b""], int(b"" in known))
+def block_scores(rows: pa.Table, answers: pa.Table, tokens: int, kinds: int, ends: int) -> pa.Table:
+    """The scores of a block's rows; ``ends``: how often the end was learned."""
+    codes = np.concatenate([unpacked(x.as_py()) for x in answers["codes"]])
+    lengths = np.concatenate([np.frombuffer(x.as_py(), "<f8") for x in answers["lengths"]])
+    order = np.argsort(codes)
+    codes, lengths = codes[order], lengths[order]
+    counts: dict[bytes, int] = {}
+    for words, own in zip(answers["words"], answers["word_counts"], strict=True):
+        names = zstandard.decompress(words.as_py()).split()
+        counts.update(zip(names, longs(own.as_py()).tolist(), strict=True))
+
+    def share(c: np.ndarray) -> np.ndarray:
+        return np.log10((c + 0.5) / (tokens + 0.5 * (kinds + 1)))
+
     columns: dict[str, list[np.ndarray]] = {f.name: [] for f in SCORES.fields[1:]}
     for _, part in parts_of(rows):
         n = part.n
-        value = np.array([log[w] for w in part.words])[part.word]
-        hit = np.array([w in known for w in part.words])[part.word]
+        own = np.array([counts[w] for w in part.words], np.int64)
+        known = np.bincount(part.word_doc, weights=(own > 0)[part.word], minlength=n)
+        base = np.bincount(part.word_doc, weights=share(own)[part.word], minlength=n)
         columns["n_tokens"].append(part.n_words + 1)
-        columns["n_known"].append(
-            np.bincount(part.word_doc, weights=hit, minlength=n).astype(np.int64) + end[1]
-        )
-        columns["base_score"].append(
-            np.bincount(part.word_doc, weights=value, minlength=n) + end[0]
+        columns["n_known"].append(known.astype(np.int64) + (ends > 0))
+        columns["base_score"].append(base + share(np.array(ends)))
+        per_gram = lengths[np.searchsorted(codes, part.codes)]
+        columns["score"].append(
+            np.bincount(part.gram_doc, weights=per_gram[part.gram], minlength=n)
         )
-        lengths = trie.log10(part.codes)[part.gram]
-        columns["score"].append(np.bincount(part.gram_doc, weights=lengths, minlength=n))
     return pa.table(
         {
             "key": rows["key"],
@@ -296,58 +457,23 @@ def model_scores(
         F.col(text).cast("binary").alias("text"),
         F.coalesce(train_when, F.lit(False)).alias("train"),
     )
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(MIN_BLOCKS, -(-size // block_bytes))
+    size, ends = rows.agg(F.sum(F.octet_length("text")), F.count_if("train")).first()
+    blocks = max(MIN_BLOCKS, -(-(size or 0) // block_bytes))
+    buckets = max(MIN_BUCKETS, min(4 * blocks, 4096))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("key", "text"), F.lit(blocks)))
-    terms = stored(dealt.groupBy("block").applyInArrow(block_terms, TERMS), "terms")
-
-    # words: every block's row gets the count over all blocks (one row a block and word)
-    word = Window.partitionBy("word")
-    counted = stored(
-        terms.where("size = 0").select(
-            "block",
-            "word",
-            F.sum("n").over(word).alias("n"),
-            (F.min("block").over(word) == F.col("block")).alias("first"),
-        ),
-        "words",
-    )
-    totals = counted.where("first").agg(F.sum("n"), F.count_if(F.col("n") > 0)).first()
-    tokens, kinds = totals[0] or 0, totals[1] or 0
 
-    grams = stored(
-        terms.where("size > 0").groupBy("size", "code").agg(F.sum("n").alias("n")), "grams"
-    )
-    none = F.lit(0).cast("long")
-    facts = ("total", "distinct_followers", "excluded")
-    nodes = stored(
-        grams.join(context_totals(grams), ["size", "code"], "full").select(
-            "size", "code", *[F.coalesce(c, none).alias(c) for c in ("n", *facts)]
-        ),
-        "nodes",
-    )
-    top = nodes.where("size = 0").select("total", "distinct_followers").first() or (0, 0)
-    answers = (
-        terms.where("size > 0")
-        .select("block", "size", "code")
-        .join(nodes, ["size", "code"])
-        .select("block", "size", "code", F.lit(None).cast("binary").alias("word"), "n", *facts)
-        .unionByName(
-            counted.select(
-                "block",
-                F.lit(WORD).alias("size"),
-                none.alias("code"),
-                "word",
-                "n",
-                *[none.alias(c) for c in facts],
-            )
-        )
-    )
-    root = tuple(top)
+    def lists_of(block: pa.Table) -> pa.Table:
+        return block_lists(block, buckets)
+
+    lists = stored(dealt.groupBy("block").applyInArrow(lists_of, LIST), "lists")
+    model = stored(summed_lists(lists), "model")
+    tokens, kinds = model.agg(F.sum("tokens"), F.sum("kinds")).first()
+    tokens, kinds = (tokens or 0) + ends, (kinds or 0) + (ends > 0)
+    answers = answered(lists, model, low_counts(model))
     schema = T.StructType([T.StructField("key", rows.schema["key"].dataType), *SCORES.fields])
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        return block_scores(left, right, tokens, kinds, root)
+        return block_scores(left, right, tokens, kinds, ends)
 
     return (
         dealt.groupBy("block")
