@@ -106,7 +106,8 @@ def exact_groups(
 ) -> DataFrame:
     """Distinct (key, text, tie) rows with copies, keep_id, group_size, kept."""
     recipes = verified(stored(chunk_recipes(docs, key, text, tie_break, chunk_hash), "recipes"))
-    groups = (
+    # written, so that the join below deals both sides itself and can split a hot list
+    groups = stored(
         recipes.groupBy("parts")
         .agg(
             F.max(F.struct("key", "tie")).alias("keep"),
@@ -114,7 +115,8 @@ def exact_groups(
             F.count("*").alias("members"),
         )
         .where("members > 1")
-        .drop("members")
+        .drop("members"),
+        "groups",
     )
     own = F.struct("key", "tie")
     return (
