@@ -34,7 +34,6 @@ not read.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -46,16 +45,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickhouse.llm import wordarrays as wa
-from tickhouse.llm.common import BINARY, DOUBLE, LONG, STRING, fields, text_slices, texts_of
+from tickhouse.llm.common import BINARY, BOOL, DOUBLE, LONG, STRING, fields, text_slices, texts_of
 from tickhouse.llm.token_count import MARK, bytes_of, piece_kind
 
 SAMPLES = 2
 ALPHA = 1.0
 SEED = 11
-SLICE = 2 << 20
+SLICE = 1 << 20
+#: slots of distinct units a worker remembers from slice to slice (only saves time)
+REMEMBERED = 400_000
 ROOT, STEP, LEAVE, PICK = range(4)  # what a random number is for
 
 
+FILTER = wa.U((1 << 18) - 1)
+
+
 class Pieces:
     """A model's pieces as tables; built once per worker process."""
 
@@ -69,7 +73,8 @@ class Pieces:
         self.byte_id = np.array([byte[f"<0x{b:02X}>"] for b in range(256)])
         self.byte_weight = -alpha * np.log(size + 2.0)
         self.longest = max(map(len, ordinary))
-        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.units: Units | None = None
+        self.by_length: dict[int, tuple[np.ndarray, ...]] = {}
         for n in range(1, self.longest + 1):
             own = [p for p in ordinary if len(p) == n]
             if own:
@@ -79,7 +84,9 @@ class Pieces:
                 order = np.argsort(keys)
                 ids = np.array([ordinary[p] for p in own])[order]
                 rank = np.array([-sp.get_score(int(i)) for i in ids])
-                self.by_length[n] = (keys[order], ids, -alpha * np.log(rank + 2.0))
+                maybe = np.zeros(1 << 18, bool)  # a quick no for most other strings
+                maybe[(keys & FILTER).astype(np.int64)] = True
+                self.by_length[n] = (maybe, keys[order], ids, -alpha * np.log(rank + 2.0))
         pairs = {(a, b) for p in ordinary for a, b in zip(p, p[1:], strict=False)}
         bound = sorted({c for pair in pairs for c in pair})
         number = {c: i + 1 for i, c in enumerate(bound)}
@@ -99,12 +106,48 @@ class Pieces:
         self.raw_start = np.cumsum(self.raw_size) - self.raw_size
         self.raw = np.frombuffer(b"".join(raw), np.uint8)
 
+    def decode_all(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The bytes of many texts' ids in a row."""
+        size = self.raw_size[ids]
+        data = self.raw[ranges(self.raw_start[ids], size)].tobytes()
+        ends = np.append(0, np.cumsum(size))[np.append(0, np.cumsum(counts))].tolist()
+        return [data[s:e][1:] for s, e in zip(ends, ends[1:], strict=False)]
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of a text's ids, without the mark put in front."""
         size = self.raw_size[ids]
         return self.raw[ranges(self.raw_start[ids], size)].tobytes()[1:]
 
 
+class Units:
+    """Edge tables of distinct units, remembered by a worker until full."""
+
+    def __init__(self, longest: int, room: int):
+        self.keys = np.zeros(0, wa.U)  # ascending
+        self.start = np.zeros(0, np.int64)  # first slot of each
+        self.used, self.room = 0, room
+        self.log = np.empty((room, longest), np.float32)
+        self.running = np.empty((room, longest), np.float32)
+        self.ids = np.empty((room, longest), np.int32)
+        self.other = np.empty(room)  # share of all edges but the likeliest
+
+    def unknown(self, names: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.arange(len(names))
+        at = np.minimum(np.searchsorted(self.keys, names), len(self.keys) - 1)
+        return np.flatnonzero(self.keys[at] != names)
+
+    def add(self, names: np.ndarray, length: np.ndarray, *tables: np.ndarray) -> None:
+        rows = slice(self.used, self.used + len(tables[0]))
+        for own, new in zip((self.log, self.running, self.ids, self.other), tables, strict=True):
+            own[rows] = new
+        keys = np.concatenate([self.keys, names])
+        start = np.concatenate([self.start, self.used + np.cumsum(length + 1) - length - 1])
+        order = np.argsort(keys)
+        self.keys, self.start = keys[order], start[order]
+        self.used = rows.stop
+
+
 @lru_cache(maxsize=2)
 def pieces(path: str, alpha: float = ALPHA) -> Pieces:
     return Pieces(path, alpha)
@@ -152,48 +195,65 @@ class Lattice:
         self.unit_end = np.append(self.unit[1:], n)[: len(self.unit)]
         size = self.unit_end - self.unit
         hashed = PointHash(points)
-        _, first, which = np.unique(
+        names, first, which = np.unique(
             hashed(self.unit, self.unit_end), return_index=True, return_inverse=True
         )
+        if own.units is None:
+            own.units = Units(own.longest, REMEMBERED)
+        new = own.units.unknown(names)
         length = size[first]
-        ends = np.cumsum(length + 1)
-        start = ends - length - 1
+        if own.units.used + int((length[new] + 1).sum()) > own.units.room:
+            new = np.arange(len(names))
+            own.units = Units(own.longest, max(REMEMBERED, int((length + 1).sum())))
+        if len(new):
+            tables = self._tables(hashed, self.unit[first[new]], length[new])
+            own.units.add(names[new], length[new], *tables)
+        units = own.units
+        self.log, self.running, self.ids = units.log, units.running, units.ids
+        self.other = units.other
+        start = units.start[np.searchsorted(units.keys, names)]
         self.slot = np.repeat(start[which], size) + ranges(np.zeros(len(size), np.int64), size)
-        self._tables(hashed, self.unit[first], length, start)
 
-    def _tables(self, hashed: PointHash, at: np.ndarray, length: np.ndarray, start: np.ndarray) -> None:
+    def _tables(self, hashed: PointHash, at: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The tables of units, slot by slot: see ``Units``."""
         own, longest = self.own, self.own.longest
         slots = int((length + 1).sum())
         left = np.repeat(length, length + 1) - ranges(np.zeros(len(length), np.int64), length + 1)
-        place = np.repeat(at, length + 1) + np.repeat(length, length + 1) - left
-        longest = min(longest, int(length.max(initial=1)))
-        weight = np.full((slots, longest), -np.inf, np.float32)
-        self.ids = np.full((slots, longest), -1, np.int32)
-        for n, (keys, ids, weights) in own.by_length.items():
-            if n > longest:
-                break
+        place = np.repeat(at + length, length + 1) - left
+        log = np.full((slots, longest), -np.inf, np.float32)
+        found_ids = np.full((slots, longest), -1, np.int32)
+        widest = 1
+        for n, (maybe, keys, ids, weights) in own.by_length.items():
             rows = np.flatnonzero(left >= n)
             key = hashed(place[rows], place[rows] + n)
+            some = np.flatnonzero(maybe[(key & FILTER).astype(np.int64)])
+            rows, key = rows[some], key[some]
+            if not len(rows):
+                continue
             found = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            hit = keys[found] == key
-            weight[rows[hit], n - 1] = weights[found[hit]]
-            self.ids[rows[hit], n - 1] = ids[found[hit]]
-        lone = np.flatnonzero((left > 0) & (self.ids[:, 0] < 0))
-        weight[lone, 0] = own.byte_weight * utf8_size(self.points[place[lone]])
+            hit = np.flatnonzero(keys[found] == key)
+            widest = n if len(hit) else widest
+            log[rows[hit], n - 1] = weights[found[hit]]
+            found_ids[rows[hit], n - 1] = ids[found[hit]]
+        lone = np.flatnonzero((left > 0) & (found_ids[:, 0] < 0))
+        log[lone, 0] = own.byte_weight * utf8_size(self.points[place[lone]])
         # log of the summed weight of all ways from a slot to its unit's end
         total = np.zeros(slots + longest)
         order = np.argsort(left, kind="stable")
         bounds = np.searchsorted(left[order], np.arange(1, int(length.max(initial=0)) + 2))
-        ahead = np.arange(1, longest + 1)
-        for s, e in zip(bounds, bounds[1:], strict=False):
-            rows = order[s:e]
-            value = weight[rows] + total[rows[:, None] + ahead]
+        for far, (s, e) in enumerate(zip(bounds, bounds[1:], strict=False), start=1):
+            rows, reach = order[s:e], min(far, widest)
+            value = log[rows, :reach] + total[rows[:, None] + np.arange(1, reach + 1)]
             top = value.max(axis=1)
             total[rows] = top + np.log(np.exp(value - top[:, None]).sum(axis=1))
-        self.log = weight  # edges leaving the unit have none
-        for n in range(longest):
-            self.log[:, n] += total[n + 1 : n + 1 + slots] - total[:slots]
-        self.running = np.cumsum(np.exp(self.log, dtype=np.float32), axis=1)
+        for n in range(widest):  # edges leaving the unit have no weight
+            log[:, n] += total[n + 1 : n + 1 + slots] - total[:slots]
+        running = np.empty_like(log)
+        np.cumsum(np.exp(log[:, :widest]), axis=1, out=running[:, :widest])
+        running[:, widest:] = running[:, widest - 1 : widest]
+        share = np.exp(log[:, :widest], dtype="f8")
+        share[np.arange(slots), share.argmax(axis=1)] = 0
+        return log, running, found_ids, share.sum(axis=1)
 
 
 def utf8_size(points: np.ndarray) -> np.ndarray:
@@ -241,12 +301,10 @@ class Sampler:
         first = np.searchsorted(token, lattice.begin[self.doc[nodes]])
         sums = np.append(0.0, before)
         lead = sums[at] - sums[first]
-        taken = np.exp(lattice.log[lattice.slot[nodes], path[nodes] - 1].astype("f8"))
-        rest = 1 - taken
-        close = np.flatnonzero(rest < 1e-3)  # lost to rounding there: sum the other edges
-        others = np.exp(lattice.log[lattice.slot[nodes[close]]].astype("f8"))
-        others[np.arange(len(close)), path[nodes[close]] - 1] = 0
-        rest[close] = others.sum(axis=1)
+        slot = lattice.slot[nodes]
+        taken = np.exp(lattice.log[slot, path[nodes] - 1].astype("f8"))
+        # exact where the likeliest edge is taken: the share of all others
+        rest = np.where(taken > 0.5, lattice.other[slot], 1 - taken)
         with np.errstate(divide="ignore"):
             mass = lead + np.log(rest)
             noise = np.log(-np.log(self.random(self.doc[nodes], nodes, turn, LEAVE)))
@@ -365,7 +423,7 @@ RESULTS = fields(
     log_prob=DOUBLE,
     perturbed=DOUBLE,
     log_inclusion=DOUBLE,
-    text_crc32=LONG,
+    decodes=BOOL,
     ids=BINARY,
 )
 
@@ -388,8 +446,8 @@ def segmentations(
     text: str = "text",
 ) -> DataFrame:
     """One row per document and sample: key, sample (1 ..), n_tokens, log_prob,
-    perturbed, log_inclusion, text_crc32 (of the text with marks as blanks),
-    ids (unsigned 16 bit, little endian)."""
+    perturbed, log_inclusion, decodes (whether the ids decode to the text, marks
+    as blanks), ids (unsigned 16 bit, little endian)."""
     source = docs.select(
         F.col(key).alias("key"), F.col(text).cast("string").alias("text"), F.xxhash64(key).alias("seed")
     )
@@ -405,13 +463,14 @@ def segmentations(
                 paths, values, threshold = Sampler(lattice, rows.column(2).to_numpy(), seed).run(
                     samples
                 )
-                crc = np.array([zlib.crc32(t.replace(MARK, " ").encode()) for t in texts])
+                plain = [t.replace(MARK, " ").encode() for t in texts]
                 for turn, path in enumerate(paths):
                     there = np.flatnonzero(values[turn] > -np.inf)
                     ids, sizes, log = token_ids(lattice, path)
                     ends = 2 * np.cumsum(sizes)
                     raw = ids.astype("<u2").tobytes()
                     starts = ends - 2 * sizes
+                    back = own.decode_all(ids, sizes)
                     yield pa.RecordBatch.from_arrays(
                         [
                             rows.column(0).take(pa.array(there)),
@@ -420,7 +479,7 @@ def segmentations(
                             pa.array(log[there]),
                             pa.array(values[turn][there]),
                             pa.array(log_inclusion(log, threshold)[there]),
-                            pa.array(crc[there], pa.int64()),
+                            pa.array([back[i] == plain[i] for i in there], pa.bool_()),
                             pa.array([raw[starts[i] : ends[i]] for i in there], pa.binary()),
                         ],
                         names=schema.names,
