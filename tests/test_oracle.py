@@ -12,14 +12,13 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
+from tickhouse.plans.catalog import ORACLE_SQL, QUERIES
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 from check_oracle import TABLES, rows_of, spark_type  # noqa: E402
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+SQL = ORACLE_SQL
 
 
 @pytest.fixture(scope="module")

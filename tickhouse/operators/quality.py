@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PASSED, FAILED, WARNING = "PASSED", "FAILED", "WARNING"
 
@@ -139,7 +140,13 @@ def dq_report(
         if fail is not None:
             row_aggs.append(F.count_if(fail).alias(f"_f{i}"))
         elif ck.kind == "freshness":
-            row_aggs.append(F.max(F.col(ck.columns[0]).cast("date")).alias(f"_f{i}"))
+            # a column that holds no dates has no newest date: the check warns
+            dated = isinstance(
+                df.schema[ck.columns[0]].dataType,
+                (T.DateType, T.TimestampType, T.TimestampNTZType),
+            )
+            day = F.col(ck.columns[0]).cast("date") if dated else F.lit(None).cast("date")
+            row_aggs.append(F.max(day).alias(f"_f{i}"))
 
     if unique_keys:
         grouped = df.groupBy(*unique_keys[0]).agg(F.count(F.lit(1)).alias("_n"), *row_aggs)
@@ -162,31 +169,30 @@ def dq_report(
         col = ck.columns[0]
         if ck.kind == "unique":
             failed = F.coalesce(F.col("_dup"), F.lit(0))
-            details = F.format_string(
-                f"Composite key {_py_list(ck.columns)}: %d duplicate rows", failed
-            )
+            before, after = f"Composite key {_py_list(ck.columns)}: ", " duplicate rows"
+            details = _around(before, failed, after)
         elif ck.kind == "freshness":
             limit = ck.params[0]
             newest = F.col(f"_f{i}")
             age = F.coalesce(F.datediff(ref_day, newest), F.lit(limit + 1))
             failed = F.when(age <= limit, F.lit(0)).otherwise(F.lit(1))
-            details = F.format_string(
-                f"Most recent date: %s, age: %d days (max {limit})",
+            details = F.concat(
+                F.lit("Most recent date: "),
                 F.coalesce(newest.cast("string"), F.lit("None")),
-                age,
+                _around(", age: ", age, f" days (max {limit})"),
             )
         else:
             failed = F.coalesce(F.col(f"_f{i}"), F.lit(0))
             if ck.kind == "not_null":
-                text = f"Column '{col}': %d nulls found"
+                before, after = f"Column '{col}': ", " nulls found"
             elif ck.kind == "positive":
-                text = f"Column '{col}': %d non-positive values"
+                before, after = f"Column '{col}': ", " non-positive values"
             elif ck.kind == "range":
                 lo, hi = ck.params
-                text = f"Column '{col}': %d values outside [{lo}, {hi}]"
+                before, after = f"Column '{col}': ", f" values outside [{lo}, {hi}]"
             else:
-                text = "%d records where high < low"
-            details = F.format_string(text, failed)
+                before, after = "", " records where high < low"
+            details = _around(before, failed, after)
         records.append(_record(ck, rows, failed, details, table_name))
 
     report = totals.select(F.inline(F.array(*records)))
@@ -196,6 +202,11 @@ def dq_report(
     return report.withColumn("executed_at", stamp)
 
 
+def _around(before: str, number: Column, after: str) -> Column:
+    """A fixed text around a number; names in it may hold any character."""
+    return F.concat(F.lit(before), number.cast("string"), F.lit(after))
+
+
 def dq_summary(report: DataFrame) -> DataFrame:
     """Totals over a report: passed, failed, warnings; warnings still pass."""
     return report.agg(
@@ -234,15 +245,16 @@ MODEL_TESTS = {
 def _model_tests(df: DataFrame, model: str, not_null_cols, key_cols) -> DataFrame:
     nulls = [F.count_if(F.col(c).isNull()).alias(f"_nn_{c}") for c in not_null_cols]
     if key_cols:
-        # symbol || '-' || cast(trade_date as varchar): NULL when any part is
-        any_null = F.lit(False)
+        # the tested key is symbol || '-' || date, NULL when a part is; a date's text
+        # has a fixed width, so the key columns themselves group the same rows and
+        # keep the partitioning they already have
+        whole = F.lit(True)
         for c in key_cols:
-            any_null = any_null | F.col(c).isNull()
-        key = F.when(~any_null, F.concat_ws("-", *[F.col(c).cast("string") for c in key_cols]))
-        grouped = df.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("_n"), *nulls)
+            whole = whole & F.col(c).isNotNull()
+        grouped = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"), *nulls)
         totals = grouped.agg(
             *[F.sum(f"_nn_{c}").alias(f"_nn_{c}") for c in not_null_cols],
-            F.count_if((F.col("_n") > 1) & F.col("_key").isNotNull()).alias("_dups"),
+            F.count_if((F.col("_n") > 1) & whole).alias("_dups"),
         )
     else:
         totals = df.agg(*nulls)

@@ -83,7 +83,11 @@ def latest_valid_bars(raw: DataFrame) -> DataFrame:
     most one row per map task.
     """
     order = latest_first("ingested_at", rest=["open", "high", "low", "close", "volume"])
-    w = Window.partitionBy(F.col("symbol"), F.col("date").cast("date")).orderBy(*order)
+    # cast only where needed: a window over the plain column leaves a partitioning
+    # that later steps on (symbol, date) recognise
+    if not isinstance(raw.schema["date"].dataType, T.DateType):
+        raw = raw.withColumn("date", F.col("date").cast("date"))
+    w = Window.partitionBy("symbol", "date").orderBy(*order)
     return (
         raw.where(valid_price_predicate(require_high_ge_low=False))
         .withColumn("_rn", F.row_number().over(w))

@@ -10,6 +10,7 @@ one-row check summary.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -29,6 +30,8 @@ from tickhouse.operators.weekly import weekly_performance
 from tickhouse.sources.files import DAILY_DIR, read_raw
 from tickhouse.sources.tables import VersionedTable, layer_path
 
+log = logging.getLogger(__name__)
+
 SILVER_SORT = ["symbol", "date"]
 MART_TABLES = ("fact_daily_performance", "agg_weekly_performance")
 
@@ -137,9 +140,12 @@ def _refresh_silver(
 
 def load_gold(spark: SparkSession, root: str, loaded_at=None) -> int:
     """Rebuild the Gold per-symbol summary from Silver (overwrite)."""
-    silver = VersionedTable(spark, layer_path(root, "silver")).read()
-    gold = gold_daily_summary(silver, loaded_at=loaded_at)
-    return VersionedTable(spark, layer_path(root, "gold")).overwrite(gold)
+    silver_t = VersionedTable(spark, layer_path(root, "silver"))
+    gold = gold_daily_summary(silver_t.read(), loaded_at=loaded_at)
+    built_from = (silver_t.commit_record() or {}).get("meta", {}).get("bronze_version")
+    return VersionedTable(spark, layer_path(root, "gold")).overwrite(
+        gold, meta={"bronze_version": built_from}
+    )
 
 
 def refresh_staging(spark: SparkSession, root: str) -> int:
@@ -192,7 +198,7 @@ def build_marts(spark: SparkSession, root: str, updated_at=None, incremental: bo
         fact_table.overwrite(fact, sort_by=["symbol", "trade_date"], meta=meta)
     written = fact_table.read()
     weekly = weekly_performance(written, grain="week", updated_at=updated_at)
-    VersionedTable(spark, layer_path(root, "marts", MART_TABLES[1])).overwrite(weekly)
+    VersionedTable(spark, layer_path(root, "marts", MART_TABLES[1])).overwrite(weekly, meta=meta)
 
 
 # Trailing rows an appended bar needs: 49 closes for the 50-row average,
@@ -272,13 +278,12 @@ def _extend_fact(
 
 def _stream_into_bronze(
     spark: SparkSession, raw_root: str, root: str, loaded_at, timestamp_type
-) -> DataFrame | None:
-    """Stream newly landed daily files into Bronze; the rows it appended."""
+) -> None:
+    """Stream newly landed daily files into Bronze."""
     from tickhouse.schemas import raw_daily_schema
     from tickhouse.streaming.bronze_stream import bronze_stream
 
     bronze_t = VersionedTable(spark, layer_path(root, "bronze"))
-    before = bronze_t.latest_version()
     schema = raw_daily_schema(timestamp_type)
     landing = T.StructType(schema.fields + [T.StructField("ingest_date", T.DateType())])
     bronze_stream(
@@ -289,13 +294,32 @@ def _stream_into_bronze(
         columns=schema.fieldNames(),
         loaded_at=loaded_at,
     )
-    after = bronze_t.latest_version()
-    if after is None or after == before:
+
+
+def _pending_rows(spark: SparkSession, root: str, run_models: bool) -> DataFrame | None:
+    """Bronze rows that some layer has not absorbed yet; None when there are none.
+
+    Every layer's commit names the Bronze version it was built from, so a run
+    that broke off after Bronze, Silver or Gold is taken up by the next one,
+    also when nothing new has landed since.
+    """
+    bronze_t = VersionedTable(spark, layer_path(root, "bronze"))
+    latest = bronze_t.latest_version()
+    if latest is None:
         return None
-    if before is None:
-        return bronze_t.read(after)
-    inc = bronze_t.increment(before, upto=after)
-    return None if inc is None else inc[0]
+    layers = [layer_path(root, "silver"), layer_path(root, "gold")]
+    if run_models:
+        layers += [layer_path(root, "marts", name) for name in MART_TABLES]
+    absorbed = []
+    for path in layers:
+        record = VersionedTable(spark, path).commit_record() or {}
+        absorbed.append(record.get("meta", {}).get("bronze_version"))
+    if all(version == latest for version in absorbed):
+        return None
+    if None in absorbed:
+        return bronze_t.read(latest)
+    inc = bronze_t.increment(min(absorbed), upto=latest)
+    return bronze_t.read(latest) if inc is None else inc[0]
 
 
 def run_medallion(
@@ -330,7 +354,8 @@ def run_medallion(
     if stream:
         if not isinstance(raw, str) or symbols or ingest_date:
             raise ValueError("stream=True takes a landed raw root, without symbols/ingest_date")
-        new_rows = _stream_into_bronze(spark, raw, root, loaded_at, timestamp_type)
+        _stream_into_bronze(spark, raw, root, loaded_at, timestamp_type)
+        new_rows = _pending_rows(spark, root, run_models)
         if new_rows is None:
             return {"status": "no_data", "symbols_processed": 0}
         rows, processed = new_rows.agg(F.count(F.lit(1)), F.count_distinct("symbol")).first()
@@ -357,21 +382,25 @@ def run_medallion(
 
     load_gold(spark, root, loaded_at=loaded_at)
 
-    models_status = "skipped"
+    models_status, models_error = "skipped", None
     if run_models:
         try:
             build_marts(spark, root, updated_at=loaded_at)
             models_status = "success"
-        except Exception:  # noqa: BLE001 - reported, as the reference does
-            models_status = "failed"
+        except Exception as error:  # noqa: BLE001 - reported in the summary
+            log.exception("building the marts failed")
+            models_status, models_error = "failed", f"{type(error).__name__}: {error}"
 
-    return {
+    summary = {
         "status": "completed",
         "symbols_processed": processed,
         "total_symbols": len(symbols) if symbols else processed,
         "dq_summary": dq,
         "models_status": models_status,
     }
+    if models_error:
+        summary["models_error"] = models_error
+    return summary
 
 
 def main(argv: list[str] | None = None) -> dict:

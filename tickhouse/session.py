@@ -72,6 +72,8 @@ def scratch_root(spark: SparkSession) -> str:
             "spark.checkpoint.dir", None
         )
     if not root:
+        if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tickhouse-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

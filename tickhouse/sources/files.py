@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,8 +76,8 @@ def read_raw(
 
     ``kind`` is ``daily`` or ``history``.  ``timestamp_type`` is the type
     ``ingested_at`` was written with (TIMESTAMP by default).
-    ``ingest_date`` (daily only) keeps one landing day; it is a partition
-    filter, so only that day's folders are listed and read.
+    ``ingest_date`` (daily only) keeps one landing day: only that day's
+    folders are named, listed and read; a day without folders is empty.
     """
     if kind == "daily":
         schema = raw_daily_schema(timestamp_type)
@@ -88,11 +89,17 @@ def read_raw(
         path = f"{root.rstrip('/')}/{HISTORY_DIR}"
     else:
         raise ValueError(f"kind must be 'daily' or 'history', got {kind!r}")
-    df = spark.read.schema(full).parquet(path)
-    if ingest_date is not None:
-        if kind != "daily":
-            raise ValueError("ingest_date applies to daily raw bars only")
-        df = df.where(F.col("ingest_date") == F.lit(ingest_date))
+    if ingest_date is None:
+        return spark.read.schema(full).parquet(path).select(*schema.fieldNames())
+    if kind != "daily":
+        raise ValueError("ingest_date applies to daily raw bars only")
+    day = f"{path}/symbol=*/ingest_date={ingest_date.isoformat()}"
+    try:
+        df = spark.read.schema(full).option("basePath", path).parquet(day)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)  # nothing landed that day
     return df.select(*schema.fieldNames())
 
 

@@ -33,12 +33,36 @@ def _volume(frame: DataFrame) -> Column:
     return col.cast("bigint")
 
 
+def _trading_date(frame: DataFrame, exchange_tz: str | None) -> Column:
+    col = _field(frame, "date")
+    name = HISTORY_FIELDS["date"]
+    instant = name in frame.columns and isinstance(frame.schema[name].dataType, T.TimestampType)
+    if exchange_tz is not None and instant:
+        # wall-clock time at the exchange, whatever the session's zone
+        col = F.convert_timezone(F.lit("UTC"), F.lit(exchange_tz), _utc_wall_clock(col))
+    return F.to_date(col)
+
+
+def _utc_wall_clock(instant: Column) -> Column:
+    return F.convert_timezone(
+        F.current_timezone(), F.lit("UTC"), instant.cast(T.TimestampNTZType())
+    )
+
+
 def parse_history_frame(
     frame: DataFrame,
     symbol: Column | str = "symbol",
     ingested_at: Column | str | None = None,
+    exchange_tz: str | None = None,
 ) -> DataFrame:
-    """Vendor frame -> raw history bars (see module doc)."""
+    """Vendor frame -> raw history bars (see module doc).
+
+    ``exchange_tz`` names the zone in which an instant (TIMESTAMP) is turned
+    into the trading date; without it that is UTC.  Dates and wall-clock
+    times (DATE, TIMESTAMP_NTZ) are taken as they are.  Prices round half
+    up on the decimal value, so a tie such as 2.00005 becomes 2.0001 also
+    where its binary value lies below it.
+    """
     sym = F.col(symbol) if isinstance(symbol, str) else symbol
     if ingested_at is None:
         stamp = F.current_timestamp()
@@ -52,7 +76,7 @@ def parse_history_frame(
 
     return frame.select(
         sym.alias("symbol"),
-        F.to_date(_field(frame, "date")).alias("date"),
+        _trading_date(frame, exchange_tz).alias("date"),
         price("open").alias("open"),
         price("high").alias("high"),
         price("low").alias("low"),

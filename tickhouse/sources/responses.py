@@ -93,7 +93,9 @@ def _staged(responses: DataFrame, body: str, symbol: str, ingested_at) -> DataFr
         .select(
             "symbol",
             "ingested_at",
-            F.col("_doc")[_CORRUPT].isNotNull().alias("_malformed"),
+            # no document at all (NULL or empty body: a truncated download) is a
+            # reject too; only a document without a series may be silent
+            (F.col("_doc").isNull() | F.col("_doc")[_CORRUPT].isNotNull()).alias("_malformed"),
             F.map_entries(F.col("_doc")[RESPONSE_SERIES_KEY]).alias("_raw_entries"),
         )
         .withColumn(

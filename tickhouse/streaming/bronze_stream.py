@@ -13,12 +13,15 @@ continuously running stream (``trigger(processingTime=...)``).
 
 from __future__ import annotations
 
+import json
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tickhouse.operators.medallion import bronze_frame
 from tickhouse.schemas import RAW_DAILY
-from tickhouse.sources.tables import VersionedTable
+from tickhouse.sources.tables import VersionedTable, _Fs
 
 
 def bronze_stream(
@@ -53,19 +56,25 @@ def bronze_stream(
         landed = landed.select(*columns)
     bronze = bronze_frame(landed, loaded_at=loaded_at)
     table = VersionedTable(spark, table_path)
-    app_id = f"bronze-stream:{checkpoint}"
+    progress = _Fs(spark, checkpoint)
     seen: list[int] = []
 
     def _append(batch: DataFrame, batch_id: int) -> None:
+        # the query's own id, kept in its checkpoint: a fresh checkpoint at the same
+        # place starts batch numbers anew under another id
+        query_id = json.loads(progress.read_text("metadata"))["id"]
         table.append(
-            batch, merge_schema=True, txn=(app_id, batch_id), time_column="_bronze_loaded_at"
+            batch,
+            merge_schema=True,
+            txn=(f"bronze-stream:{query_id}", batch_id),
+            time_column="_bronze_loaded_at",
         )
         seen.append(batch_id)
 
     writer = (
         bronze.writeStream.foreachBatch(_append)
         .option("checkpointLocation", checkpoint)
-        .queryName(f"bronze_stream_{abs(hash(checkpoint)) % 10**8}")
+        .queryName(f"bronze_stream_{zlib.crc32(checkpoint.encode()):08x}")
     )
     if available_now:
         query = writer.trigger(availableNow=True).start()
