@@ -53,7 +53,7 @@ ALPHA = 1.0
 SEED = 11
 SLICE = 1 << 20
 #: slots of distinct units a worker remembers from slice to slice (only saves time)
-REMEMBERED = 400_000
+REMEMBERED = 1_200_000
 ROOT, STEP, LEAVE, PICK = range(4)  # what a random number is for
 
 
