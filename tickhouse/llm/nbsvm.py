@@ -249,7 +249,8 @@ def fit(
     train = stored(
         docs.where(train_when)
         .select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-        .join(named, "key")
+        # by a shuffle at every size: labels grow with the corpus
+        .join(named.hint("merge"), "key")
         .select(
             "text",
             "label",
