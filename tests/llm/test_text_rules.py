@@ -199,6 +199,38 @@ def test_plain_prose_stays(text):
     assert pii.find_all(text) == [] and pii.mask(text) == text
 
 
+DISGUISE_PARTS = [
+    *pii.DIGIT_WORDS, "plus", "double", "triple", "dash", "hyphen", "point", "dot", "at", "Dot", "AT", "AT ", "one",
+    "john", "example", "com", "ch", "the", "x", "1", "7", "192", "0199", "555", "@", ".", ",", "-", " - ", " , ", "[",
+    "]", "(", ")", "{", ">", "+", "\n", "  ", "–", "\u200b", "ſ", "\u212a", "İ", "１", "٣", "．", "о", "é",
+    " at ", " dot ", " [at] ", " (dot) ", "john at example.com", "one,four", "192 dot 168 dot 1 dot 10",
+    "eight dot eight", " zero-one",
+]
+
+
+@settings(max_examples=3000, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(DISGUISE_PARTS), st.sampled_from([" ", " ", " ", ""])), max_size=24))
+def test_shortcut_changes_nothing(parts):
+    text = "".join(a + b for a, b in parts)
+    assert pii.find_all(text) == pii.find_all(text, shortcut=False)
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "span"),
+    [
+        ("mail john at example.com now", "email", "john at example.com"),
+        ("plus one,four,one,five,five,five,five,zero,one,nine,nine", "phone",
+         "plus one,four,one,five,five,five,five,zero,one,nine,nine"),
+        ("ring (plus one four one five five five five zero one nine nine)", "phone",
+         "plus one four one five five five five zero one nine nine"),
+        ("tel:plus 1 4 1 5 5 5 5 0 1 9 9", "phone", "plus 1 4 1 5 5 5 5 0 1 9 9"),
+    ],
+)
+def test_plain_ascii_disguises_reach_the_transducers(text, kind, span):
+    for other in (text, text + " – "):
+        assert (kind, span) in [(k, other[s:e]) for k, s, e in pii.find_all(other)]
+
+
 def test_personal_data_cases(docs, collected, empty):
     rows = pii.personal_data(docs).collect()
     assert len(rows) == len(collected)

@@ -15,9 +15,9 @@ Two passes over each whole text:
    touches a span already found, but for those of its own kind that it
    contains and continues.  Base spans always stay.
 
-A text that holds no trigger (no such character, no run of digit words, no
-spelled "dot" or bracketed "at") cannot change under the transducers and is
-not rewritten.
+Each transducer runs only where its hint holds, a looser pattern that every
+match of it contains, taken on the text the earlier transducers left; a text
+without any is not rewritten.
 
 Spans count code points, end exclusive.  Row-local: no shuffle.
 
@@ -102,8 +102,8 @@ def find(text: str) -> list[Span]:
 LOOKALIKES = {
     "a": "аα", "c": "сϲ", "d": "ԁ", "e": "еҽ", "g": "ɡ", "h": "һ", "i": "іιı", "j": "ј",
     "k": "κк", "l": "ӏ", "m": "м", "n": "ո", "o": "оοօ", "p": "рρ", "q": "ԛ", "r": "г",
-    "s": "ѕ", "t": "т", "u": "υս", "v": "ν", "w": "ԝ", "x": "хχ", "y": "уγ", "z": "ᴢ",
-    "A": "АΑ", "B": "ВΒ", "C": "СϹ", "E": "ЕΕ", "H": "НΗ", "I": "ІΙ", "J": "Ј", "K": "КΚ",
+    "s": "ѕſ", "t": "т", "u": "υս", "v": "ν", "w": "ԝ", "x": "хχ", "y": "уγ", "z": "ᴢ",
+    "A": "АΑ", "B": "ВΒ", "C": "СϹ", "E": "ЕΕ", "H": "НΗ", "I": "ІΙİ", "J": "Ј", "K": "КΚK",
     "M": "МΜ", "N": "Ν", "O": "ОΟ", "P": "РΡ", "S": "Ѕ", "T": "ТΤ", "X": "ХΧ", "Y": "ҮΥ",
     "Z": "Ζ", ".": "。．｡․‧", "-": "‐‑‒–—−", "@": "﹫", "+": "﹢",
 }
@@ -143,21 +143,24 @@ _UNIT = rf"(?:(?:double|triple)[ -]+)?(?:{_WORD}|[0-9])"
 _JOIN = r"(?:[ ]*[-,][ ]*|[ ]+(?:dash|hyphen)[ ]+|[ ]+(?:dot|point)[ ]+|[ ]+)"
 #: at least seven spelled or written digits in a row, one of them spelled
 SPELLED = re.compile(
-    rf"(?<![A-Za-z0-9])(?:plus[ ]+)?{_UNIT}(?:{_JOIN}{_UNIT}){{6,}}(?![A-Za-z0-9])", re.IGNORECASE
+    rf"(?<![A-Za-z0-9])(?:plus[ ]+)?{_UNIT}(?:{_JOIN}{_UNIT}){{6,}}(?![A-Za-z0-9])", re.IGNORECASE | re.ASCII
+)
+TOKEN = re.compile(rf"plus[ ]+|double|triple|{_WORD}|[0-9]|dot|point|dash|hyphen|-", re.IGNORECASE | re.ASCII)
+#: in lower case, what every run with a letter holds: a digit word on its own,
+#: or a written digit beside one of the other words of a run
+SPELLED_HINT = re.compile(
+    rf"(?<![a-z0-9])(?:(?:{_WORD})(?![a-z0-9])|plus[ ]+[0-9]|(?:double|triple)[ -]+[0-9])"
+    r"|[0-9][ ]+(?:dash|hyphen|dot|point)[ ]+[0-9]"
 )
-TOKEN = re.compile(rf"plus[ ]+|double|triple|{_WORD}|[0-9]|dot|point|dash|hyphen|-", re.IGNORECASE)
-#: how a spelled digit of a run can look as a blank-separated word
-DIGIT_FORMS = {w + tail for w in DIGIT_WORDS for tail in ("", ",")}
-HYPHENED = re.compile(rf"-(?:{_WORD})\b|\b(?:{_WORD})-")
 
 _B, _E = r"[ ]*[\[({<][ ]*", r"[ ]*[\])}>][ ]*"
-BRACKET_AT = re.compile(rf"(?<=[A-Za-z0-9]){_B}(?:at|@){_E}(?=[A-Za-z0-9])", re.IGNORECASE)
-BRACKET_DOT = re.compile(rf"(?<=[A-Za-z0-9]){_B}(?:dot|\.){_E}(?=[A-Za-z0-9])", re.IGNORECASE)
+BRACKET_AT = re.compile(rf"(?<=[A-Za-z0-9]){_B}(?:at|@){_E}(?=[A-Za-z0-9])", re.IGNORECASE | re.ASCII)
+BRACKET_DOT = re.compile(rf"(?<=[A-Za-z0-9]){_B}(?:dot|\.){_E}(?=[A-Za-z0-9])", re.IGNORECASE | re.ASCII)
 #: "name at host dot tld" with plain words: only as a whole address
 WORDED = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:(?:[.]|[ ]+dot[ ]+)[A-Za-z0-9_%+-]+)*"
     r"(?:[ ]+at[ ]+|@)[A-Za-z0-9-]+(?:(?:[.]|[ ]+dot[ ]+)[A-Za-z0-9-]+)+(?![A-Za-z0-9-])",
-    re.IGNORECASE,
+    re.IGNORECASE | re.ASCII,
 )
 #: plain words are an address only under these top-level names, and not
 #: where the words around "at" are those of a sentence
@@ -165,8 +168,10 @@ TOP_LEVEL = {
     "com", "org", "net", "edu", "gov", "info", "io", "co", "uk", "de", "fr", "es", "eu", "us",
 }
 SENTENCE = {"the", "a", "an", "this", "that", "our", "my", "your", "his", "her", "its", "their"}
-WORDED_TOKEN = re.compile(r"[ ]+(at|dot)[ ]+", re.IGNORECASE)
+WORDED_TOKEN = re.compile(r"[ ]+(at|dot)[ ]+", re.IGNORECASE | re.ASCII)
 BRACKET_HINT = re.compile(r"[\[({<][ ]*(?:at|@|dot|\.)[ ]*[\])}>]")
+#: in lower case, a spelled "at" before a dotted name
+WORDED_HINT = re.compile(r" at[ ]+[a-z0-9-]+(?:[.]|[ ]+dot[ ]+)[a-z0-9-]")
 
 
 class Tape:
@@ -227,42 +232,39 @@ def _spelled(match: re.Match) -> list[tuple[int, int, str]]:
     return edits  # blanks before a token go with it
 
 
-def normalised(text: str) -> Tape | None:
-    """The deobfuscated text with its source map; None if nothing can change."""
-    odd = (
-        not text.isascii()
-        and maybe_odd().search(text) is not None
-        and odd_characters().search(text) is not None
-    )
-    low = text.lower()
-    worded = " dot " in low and (" at " in low or "@" in low)
-    spelled = not DIGIT_FORMS.isdisjoint(low.split()) or ("-" in low and HYPHENED.search(low))
-    if not (odd or worded or spelled or BRACKET_HINT.search(low)):
-        return None
+def normalised(text: str, shortcut: bool = True) -> Tape | None:
+    """The deobfuscated text with its source map; None if nothing can change.
+
+    Without ``shortcut`` every transducer runs; the result is the same text.
+    """
     tape = Tape(text)
-    if odd:
+    if not text.isascii() and (not shortcut or maybe_odd().search(text)):
         table = character_map()
         tape.rewrite([(m.start(), m.end(), table[m.group()]) for m in odd_characters().finditer(text)])
-    runs = [m for m in SPELLED.finditer(tape.text) if re.search("[A-Za-z]", m.group())]
-    tape.rewrite([edit for m in runs for edit in _spelled(m)])
-    for pattern, sign in ((BRACKET_AT, "@"), (BRACKET_DOT, ".")):
-        tape.rewrite([(m.start(), m.end(), sign) for m in pattern.finditer(tape.text)])
-    signs = {"at": "@", "dot": "."}
-    tape.rewrite(
-        [
-            (w.start(), w.end(), signs[w.group(1).lower()])
-            for m in WORDED.finditer(tape.text)
-            if _worded_address(m.group().lower())
-            for w in WORDED_TOKEN.finditer(tape.text, m.start(), m.end())
-        ]
-    )
-    return tape
-
-
-def find_all(text: str, base: list[Span] | None = None) -> list[Span]:
+    if not shortcut or SPELLED_HINT.search(tape.text.lower()):
+        runs = [m for m in SPELLED.finditer(tape.text) if re.search("[A-Za-z]", m.group())]
+        tape.rewrite([edit for m in runs for edit in _spelled(m)])
+    if not shortcut or BRACKET_HINT.search(tape.text.lower()):
+        for pattern, sign in ((BRACKET_AT, "@"), (BRACKET_DOT, ".")):
+            tape.rewrite([(m.start(), m.end(), sign) for m in pattern.finditer(tape.text)])
+    low = tape.text.lower()
+    if not shortcut or WORDED_HINT.search(low) or (" dot " in low and "@" in low):
+        signs = {"at": "@", "dot": "."}
+        tape.rewrite(
+            [
+                (w.start(), w.end(), signs[w.group(1).lower()])
+                for m in WORDED.finditer(tape.text)
+                if _worded_address(m.group().lower())
+                for w in WORDED_TOKEN.finditer(tape.text, m.start(), m.end())
+            ]
+        )
+    return None if tape.text == text else tape
+
+
+def find_all(text: str, base: list[Span] | None = None, shortcut: bool = True) -> list[Span]:
     """Base spans and those only the normalised text shows, by kind, then start."""
     spans = list(find(text) if base is None else base)
-    tape = normalised(text)
+    tape = normalised(text, shortcut)
     if tape is not None:
         taken = list(spans)
         for kind, s, e in find(tape.text):
