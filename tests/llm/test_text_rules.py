@@ -231,6 +231,45 @@ def test_plain_ascii_disguises_reach_the_transducers(text, kind, span):
         assert (kind, span) in [(k, other[s:e]) for k, s, e in pii.find_all(other)]
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "span"),
+    [
+        ("host 192 dot 168 dot 1 dot 10 is up", "ip", "192 dot 168 dot 1 dot 10"),
+        ("dns eight dot eight dot eight dot eight.", "ip", "eight dot eight dot eight dot eight"),
+        ("dns eight [dot] eight [dot] eight (dot) eight.", "ip", "eight [dot] eight [dot] eight (dot) eight"),
+        ("dns 8.eight.8.eight", "ip", "8.eight.8.eight"),
+        ("i have one 192 dot 168 dot one dot one zero", "ip", "192 dot 168 dot one dot one zero"),
+        ("plus one four one five 555 0199", "phone", "plus one four one five 555 0199"),
+        ("ring plus one (four one five) five five five 0199", "phone",
+         "plus one (four one five) five five five 0199"),
+        ("+1 415 555 double zero 12", "phone", "+1 415 555 double zero 12"),
+        ("pay 4111 one one one one 1111,1111", "card", "4111 one one one one 1111,1111"),
+    ],
+)
+def test_spelled_numbers(text, kind, span):
+    assert (kind, span) in [(k, text[s:e]) for k, s, e in pii.find_all(text)]
+    assert span not in pii.mask(text)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "256 dot 168 dot 1 dot 10",
+        "chapter one dot two dot three",
+        "one, two, three, 44 and 555 dot",
+        "version 2 point 5, then one more",
+        "plus one for 555 0199",
+    ],
+)
+def test_numbers_that_are_no_identifiers_stay(text):
+    assert pii.find_all(text) == [] and pii.normalised(text) is None
+
+
+def test_an_unconfirmed_run_breaks_no_other_disguise():
+    text = "nine 9 ９.100.100.100"
+    assert [(k, text[s:e]) for k, s, e in pii.find_all(text)] == [("ip", "９.100.100.100")]
+
+
 def test_personal_data_cases(docs, collected, empty):
     rows = pii.personal_data(docs).collect()
     assert len(rows) == len(collected)

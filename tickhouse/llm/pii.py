@@ -8,9 +8,10 @@ Two passes over each whole text:
 2. *Deobfuscation*: transducers rewrite the text while keeping, for every
    character they write, the source range it came from:
    characters (full-width forms, look-alike letters, digits of other
-   scripts, invisible characters) -> spelled digits ("four one one ...",
-   with double/triple, plus, dash) -> "at" and "dot" disguises in brackets
-   or as words.  The same patterns run on the normalised text, and each
+   scripts, invisible characters) -> "at" and "dot" in brackets -> spelled
+   numbers ("four one one 555", "192 dot 168 dot 1 dot 10", with
+   double/triple, plus, dash), where an address, card or phone results ->
+   "at" and "dot" as words.  The same patterns run on the normalised text, and each
    match is mapped back to source characters.  A match is added unless it
    touches a span already found, but for those of its own kind that it
    contains and continues.  Base spans always stay.
@@ -145,7 +146,12 @@ _JOIN = r"(?:[ ]*[-,][ ]*|[ ]+(?:dash|hyphen)[ ]+|[ ]+(?:dot|point)[ ]+|[ ]+)"
 SPELLED = re.compile(
     rf"(?<![A-Za-z0-9])(?:plus[ ]+)?{_UNIT}(?:{_JOIN}{_UNIT}){{6,}}(?![A-Za-z0-9])", re.IGNORECASE | re.ASCII
 )
-TOKEN = re.compile(rf"plus[ ]+|double|triple|{_WORD}|[0-9]|dot|point|dash|hyphen|-", re.IGNORECASE | re.ASCII)
+#: any run of spelled digits and written numbers
+RUN = re.compile(
+    rf"(?<![A-Za-z0-9])(?:plus[ ]+)?(?:{_UNIT}|[0-9]+)(?:{_JOIN}(?:{_UNIT}|[0-9]+))*(?![A-Za-z0-9])",
+    re.IGNORECASE | re.ASCII,
+)
+TOKEN = re.compile(rf"plus[ ]+|double|triple|{_WORD}|[0-9]+|dot|point|dash|hyphen|-", re.IGNORECASE | re.ASCII)
 #: in lower case, what every run with a letter holds: a digit word on its own,
 #: or a written digit beside one of the other words of a run
 SPELLED_HINT = re.compile(
@@ -210,11 +216,15 @@ def _worded_address(match: str) -> bool:
 
 
 def _spelled(match: re.Match) -> list[tuple[int, int, str]]:
-    """One edit for a run of spelled digits: each token keeps its own range."""
+    """The edits of one run: each token keeps its own range.
+
+    Blanks and commas go, but one blank stays beside a number of several digits.
+    """
     edits: list[tuple[int, int, str]] = []
-    repeat, at = 1, match.start()
+    at, begin, repeat, before = match.start(), None, 1, ""
     for token in TOKEN.finditer(match.string, match.start(), match.end()):
         word = token.group().strip().lower()
+        begin = token.start() if begin is None else begin
         if word in ("double", "triple"):
             repeat = 2 if word == "double" else 3
             continue
@@ -226,10 +236,35 @@ def _spelled(match: re.Match) -> list[tuple[int, int, str]]:
             new = "+"
         else:
             new = DIGIT_WORDS.get(word, word) * repeat
-            repeat = 1
-        edits.append((at, token.end(), new))
-        at = token.end()
-    return edits  # blanks before a token go with it
+        if begin > at:
+            numbers = [w for w in (before, word) if w.isdigit() or w in DIGIT_WORDS]
+            apart = len(numbers) == 2 and any(len(w) > 1 and w.isdigit() for w in numbers)
+            edits.append((at, begin, " " if apart else ""))
+        if new != match.string[begin : token.end()]:
+            edits.append((begin, token.end(), new))
+        at, begin, repeat, before = token.end(), None, 1, word
+    return edits
+
+
+def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
+    """Edits of the runs that make an address, card or phone when all runs are
+    rewritten, and of those with seven spelled digits in a row."""
+    runs = [(m, _spelled(m)) for m in RUN.finditer(text) if re.search("[A-Za-z]", m.group())]
+    if not runs:
+        return []
+    trial = Tape(text)
+    trial.rewrite([edit for _, edits in runs for edit in edits])
+    used = bytearray(len(text))
+    for kind, s, e in find(trial.text):
+        if kind != "email":
+            s, e = trial.start[s], trial.end[e - 1]
+            used[s:e] = b"\1" * (e - s)
+    return [
+        edit
+        for m, edits in runs
+        if 1 in used[m.start() : m.end()] or SPELLED.search(text, m.start(), m.end())
+        for edit in edits
+    ]
 
 
 def normalised(text: str, shortcut: bool = True) -> Tape | None:
@@ -241,12 +276,11 @@ def normalised(text: str, shortcut: bool = True) -> Tape | None:
     if not text.isascii() and (not shortcut or maybe_odd().search(text)):
         table = character_map()
         tape.rewrite([(m.start(), m.end(), table[m.group()]) for m in odd_characters().finditer(text)])
-    if not shortcut or SPELLED_HINT.search(tape.text.lower()):
-        runs = [m for m in SPELLED.finditer(tape.text) if re.search("[A-Za-z]", m.group())]
-        tape.rewrite([edit for m in runs for edit in _spelled(m)])
     if not shortcut or BRACKET_HINT.search(tape.text.lower()):
         for pattern, sign in ((BRACKET_AT, "@"), (BRACKET_DOT, ".")):
             tape.rewrite([(m.start(), m.end(), sign) for m in pattern.finditer(tape.text)])
+    if not shortcut or SPELLED_HINT.search(tape.text.lower()):
+        tape.rewrite(_spelled_edits(tape.text))
     low = tape.text.lower()
     if not shortcut or WORDED_HINT.search(low) or (" dot " in low and "@" in low):
         signs = {"at": "@", "dot": "."}
