@@ -270,6 +270,50 @@ def test_an_unconfirmed_run_breaks_no_other_disguise():
     assert [(k, text[s:e]) for k, s, e in pii.find_all(text)] == [("ip", "９.100.100.100")]
 
 
+@pytest.mark.parametrize(
+    "span",
+    [
+        "jane at posteo dot ch", "jane at posteo dot it", "jane at posteo dot nl", "jane at posteo dot example",
+        "jane dot doe at mail dot posteo dot museum", "jane@posteo dot ch", "jane at posteo.ch",
+        "JANE AT POSTEO DOT CH", "jane at posteo dot xn--p1ai", "jane at posteo dot one", "jane at the-post dot my",
+    ],
+)
+@pytest.mark.parametrize("around", ["{}", "mail {}, now", "look at the dot, {}.", "reach me at {} at noon"])
+def test_worded_addresses_under_any_domain(span, around):
+    text = around.format(span)
+    assert ("email", span) in [(k, text[s:e]) for k, s, e in pii.find_all(text)]
+    assert span not in pii.mask(text)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "look at the dot product",
+        "we met at noon.Then we left",
+        "we met at noon.It was late",
+        "see it at three dot five or at 3 dot five",
+        "ring at example dot 7",
+        "meet me at a dot b",
+    ],
+)
+def test_sentences_with_at_stay(text):
+    assert pii.find_all(text) == [] and pii.mask(text) == text
+
+
+def test_the_later_of_two_addresses_that_meet():
+    for text, span in [
+        ("look at jane.doe@posteo.com", "jane.doe@posteo.com"),
+        ("reach me at jane dot doe at posteo dot ch", "jane dot doe at posteo dot ch"),
+        ("look at the dot jane at posteo dot ch", "the dot jane at posteo dot ch"),
+    ]:
+        assert [(k, text[s:e]) for k, s, e in pii.find_all(text)] == [("email", span)]
+
+
+def test_long_dot_chains_end():
+    text = "dot " * 200_000 + "@ jane at posteo dot ch" + " at" * 100_000 + " " * 200_000 + "x"
+    assert "jane at posteo dot ch" in [text[s:e] for _, s, e in pii.find_all(text)]
+
+
 def test_personal_data_cases(docs, collected, empty):
     rows = pii.personal_data(docs).collect()
     assert len(rows) == len(collected)

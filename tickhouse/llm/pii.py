@@ -162,17 +162,30 @@ SPELLED_HINT = re.compile(
 _B, _E = r"[ ]*[\[({<][ ]*", r"[ ]*[\])}>][ ]*"
 BRACKET_AT = re.compile(rf"(?<=[A-Za-z0-9]){_B}(?:at|@){_E}(?=[A-Za-z0-9])", re.IGNORECASE | re.ASCII)
 BRACKET_DOT = re.compile(rf"(?<=[A-Za-z0-9]){_B}(?:dot|\.){_E}(?=[A-Za-z0-9])", re.IGNORECASE | re.ASCII)
-#: "name at host dot tld" with plain words: only as a whole address
-WORDED = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:(?:[.]|[ ]+dot[ ]+)[A-Za-z0-9_%+-]+)*"
-    r"(?:[ ]+at[ ]+|@)[A-Za-z0-9-]+(?:(?:[.]|[ ]+dot[ ]+)[A-Za-z0-9-]+)+(?![A-Za-z0-9-])",
+#: "name at host dot tld" with plain words: the sign, the host after it, and
+#: the name before it, read backwards
+AT = re.compile(r"(?<! ) +at(?= )|@", re.IGNORECASE | re.ASCII)
+HOST = re.compile(r"[ ]*([A-Za-z0-9-]+(?:(?:[.]|[ ]+dot[ ]+)[A-Za-z0-9-]+)+)", re.IGNORECASE | re.ASCII)
+NAME_BACK = re.compile(
+    r"[A-Za-z0-9_%+-]+(?:(?:[.]|[ ]+tod[ ]+)[A-Za-z0-9_%+-]+)*(?![A-Za-z0-9._%+-])",
     re.IGNORECASE | re.ASCII,
 )
-#: plain words are an address only under these top-level names, and not
-#: where the words around "at" are those of a sentence
-TOP_LEVEL = {
-    "com", "org", "net", "edu", "gov", "info", "io", "co", "uk", "de", "fr", "es", "eu", "us",
-}
+BEFORE_SIGN = re.compile(r"[A-Za-z0-9._%+-]*@[A-Za-z0-9-]+[.][A-Za-z0-9-]")
+TOP_LEVEL_FORM = re.compile(r"[A-Za-z]{2,}|xn--[A-Za-z0-9-]+", re.IGNORECASE | re.ASCII)
+#: a spelled "at" with plain dots only ("at example.com") is an address only
+#: under these top-level names: well-known ones and those of countries
+TOP_LEVEL = {"com", "org", "net", "edu", "gov", "info", "io", "co", "uk", "de", "fr", "es", "eu", "us"}
+COUNTRIES = set(
+    "ac ad ae af ag ai al am ao aq ar as at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bw "
+    "by bz ca cc cd cf cg ch ci ck cl cm cn cr cu cv cw cx cy cz dj dk dm do dz ec ee eg er et fi fj fk "
+    "fm fo ga gd ge gf gg gh gi gl gm gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu id ie il im in iq ir "
+    "is it je jm jo jp ke kg kh ki km kn kp kr kw ky kz la lb lc li lk lr ls lt lu lv ly ma mc md me mg "
+    "mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx my mz na nc ne nf ng ni nl no np nr nu nz om pa pe pf "
+    "pg ph pk pl pm pn pr ps pt pw py qa re ro rs ru rw sa sb sc sd se sg sh si sk sl sm sn so sr ss st "
+    "su sv sx sy sz tc td tf tg th tj tk tl tm tn to tr tt tv tw tz ua ug uy uz va vc ve vg vi vn vu wf "
+    "ws ye yt za zm zw".split()
+)
+#: nor is it one where the words after "at" are those of a sentence
 SENTENCE = {"the", "a", "an", "this", "that", "our", "my", "your", "his", "her", "its", "their"}
 WORDED_TOKEN = re.compile(r"[ ]+(at|dot)[ ]+", re.IGNORECASE | re.ASCII)
 BRACKET_HINT = re.compile(r"[\[({<][ ]*(?:at|@|dot|\.)[ ]*[\])}>]")
@@ -204,15 +217,45 @@ class Tape:
         self.text, self.start, self.end = "".join(parts), start, end
 
 
-def _worded_address(match: str) -> bool:
-    """Whether a match of WORDED is an address spelled with words."""
-    host = re.split("[ ]+at[ ]+|@", match)[-1]
-    labels = re.split("[ ]+dot[ ]+|[.]", host)
-    return (
-        WORDED_TOKEN.search(match) is not None
-        and labels[-1] in TOP_LEVEL
-        and SENTENCE.isdisjoint(labels[:-1])
-    )
+def _worded_host(host: str, sign: str) -> bool:
+    """Whether a host after "at" or "@" makes an address."""
+    labels = re.split("[ ]+dot[ ]+|[.]", host, flags=re.IGNORECASE)
+    last = labels[-1].lower()
+    if not TOP_LEVEL_FORM.fullmatch(last):
+        return False
+    if sign == "@":
+        return True
+    low = [label.lower() for label in labels]
+    if not SENTENCE.isdisjoint(low[:-1]) or all(x.isdigit() or x in DIGIT_WORDS for x in low):
+        return False
+    # "noon.It" is the end of a sentence
+    plain = last in TOP_LEVEL or (last in COUNTRIES and not labels[-1].istitle())
+    return plain or " " in host
+
+
+def worded_addresses(text: str) -> list[tuple[int, int]]:
+    """Ranges of the addresses spelled with words; of two that meet, the later
+    ("reach me at jane dot doe at example dot com")."""
+    found: list[tuple[int, int]] = []
+    back = ""
+    for sign in reversed(list(AT.finditer(text))):
+        host = HOST.match(text, sign.end())
+        # a host follows "@" at once; what runs on to a plain address is its name
+        if (
+            host is None
+            or (sign.group() == "@" and host.start(1) > sign.end())
+            or (found and host.end() > found[-1][0])
+            or BEFORE_SIGN.match(text, host.end())
+            or not _worded_host(host.group(1), sign.group())
+        ):
+            continue
+        back = back or text[::-1]
+        name = NAME_BACK.match(back, len(text) - sign.start())
+        if name is not None:
+            start = len(text) - name.end()
+            if WORDED_TOKEN.search(text, start, host.end()):
+                found.append((start, host.end()))
+    return found[::-1]
 
 
 def _spelled(match: re.Match) -> list[tuple[int, int, str]]:
@@ -287,9 +330,8 @@ def normalised(text: str, shortcut: bool = True) -> Tape | None:
         tape.rewrite(
             [
                 (w.start(), w.end(), signs[w.group(1).lower()])
-                for m in WORDED.finditer(tape.text)
-                if _worded_address(m.group().lower())
-                for w in WORDED_TOKEN.finditer(tape.text, m.start(), m.end())
+                for s, e in worded_addresses(tape.text)
+                for w in WORDED_TOKEN.finditer(tape.text, s, e)
             ]
         )
     return None if tape.text == text else tape
