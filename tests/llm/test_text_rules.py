@@ -426,3 +426,25 @@ def test_dual_coordinate_descent_separates():
     values = [np.ones(2) for _ in rows]
     w = nbsvm.descend(rows, values, np.array(sign), np.full(len(rows), 1.0), 10)
     assert all(y * (w[x].sum() + w[10]) > 0.5 for x, y in zip(rows, sign, strict=True))
+
+
+def test_repeats_keep_their_part_of_the_sample(spark, monkeypatch):
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 40))
+    hot = spark.range(20_000).orderBy(place).first()["id"]  # its hash is under any share
+    others = [(i, f"text {i} of {i % 7}") for i in range(30_000, 32_000)]
+    rows = [(hot, "the hot text")] * 1000 + others
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    labels = spark.createDataFrame([(k, k % 2) for k in {k for k, _ in rows}], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(nbsvm, "fit_sample", lambda slots, label, ratio, cost: seen.append((slots, label)))
+    for _ in range(2):
+        nbsvm.fit(docs, labels, F.lit(True), sample=300)
+    _, hot_slots, _ = nbsvm.indicators(pa.array(["the hot text"]), nbsvm.DIM)
+    counts = [sum(np.array_equal(s, hot_slots) for s in slots) for slots, _ in seen]
+    assert 250 <= len(seen[0][0]) <= 300
+    assert counts[0] == counts[1] and 80 <= counts[0] <= 101
+    for a, b in zip(seen[0][0], seen[1][0], strict=True):
+        assert np.array_equal(a, b)
+    # with room for all, every row is there
+    nbsvm.fit(docs, labels, F.lit(True), sample=4000)
+    assert len(seen[2][0]) == 3000 and sum(np.array_equal(s, hot_slots) for s in seen[2][0]) == 1000

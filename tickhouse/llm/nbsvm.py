@@ -27,6 +27,7 @@ are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -200,7 +201,21 @@ def slot_counts(train: DataFrame, dim: int) -> np.ndarray:
 
 
 def sampled(train: DataFrame, share: float, dim: int, limit: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Slots and labels of the rows whose key hash lies below ``share``."""
+    """Slots and labels of about ``share`` of the rows, ``limit`` at most.
+
+    Rows are chosen by the hash of key and text.  Of ``n`` equal rows
+    ``n * share`` are taken, rounded up or down by the hash, so repeats keep
+    their part of the sample; each distinct row is collected once.
+    """
+    place = F.pmod("row", F.lit(1 << 40)) / F.lit(float(1 << 40))
+    chosen = (
+        train.groupBy("row", "label")
+        .agg(F.count("*").alias("copies"))
+        .select("row", "label", F.floor(F.col("copies") * F.lit(min(share, 1.0)) + place).alias("take"))
+        .where("take >= 1")
+        .orderBy("row", "label")
+        .limit(limit)
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,21 +225,30 @@ def sampled(train: DataFrame, share: float, dim: int, limit: int) -> tuple[list[
                 cut = np.searchsorted(doc, np.arange(1, n))
                 parts = [p.astype("<u4").tobytes() for p in np.split(slot, cut)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(parts, pa.binary()), batch.column(1).slice(at, n), batch.column(2).slice(at, n)],
-                    names=["slots", "label", "place"],
+                    [pa.array(parts, pa.binary()), *[batch.column(i).slice(at, n) for i in (1, 2, 3)]],
+                    names=["slots", "label", "row", "take"],
                 )
 
     rows = (
-        train.where(F.col("place") < F.lit(share))
-        .select("text", "label", "place")
-        .mapInArrow(run, "slots binary, label int, place double")
+        # ``limit`` rows of three numbers at most
+        train.join(F.broadcast(chosen), ["row", "label"])
+        .groupBy("row", "label", "take")
+        .agg(F.min("text").alias("text"))
+        .select("text", "label", "row", "take")
+        .mapInArrow(run, "slots binary, label int, row long, take long")
         .collect()
     )
-    rows.sort(key=lambda r: (r["place"], r["label"], bytes(r["slots"])))
-    rows = rows[:limit]
+    rows.sort(key=lambda r: (r["row"], r["label"]))
+    slots = [np.frombuffer(r["slots"], "<u4").astype(np.int64) for r in rows]
+    # the repeats are dealt among the others
+    order = sorted(
+        (zlib.crc32(b"%d %d" % (r["row"], nth)), i, nth)
+        for i, r in enumerate(rows)
+        for nth in range(min(r["take"], limit))
+    )[:limit]
     return (
-        [np.frombuffer(r["slots"], "<u4").astype(np.int64) for r in rows],
-        np.array([r["label"] for r in rows], dtype=np.int64),
+        [slots[i] for _, i, _ in order],
+        np.array([rows[i]["label"] for _, i, _ in order], dtype=np.int64),
     )
 
 
@@ -254,7 +278,7 @@ def fit(
         .select(
             "text",
             "label",
-            (F.pmod(F.xxhash64("key"), F.lit(1 << 40)) / F.lit(float(1 << 40))).alias("place"),
+            F.xxhash64("key", "text").alias("row"),
         ),
         "labelled",
     )
