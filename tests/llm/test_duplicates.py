@@ -195,6 +195,15 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert got == {i: 0 for i in range(1, 201)} | {1000 + i: 1000 for i in range(1, 300)}
 
 
+@pytest.mark.parametrize("one_of", [chunk_dedup.distinct_documents, pivot_simhash.representatives])
+def test_nulls_in_different_columns_leave_one_row(spark, one_of):
+    text = "one and the same text of a few words"
+    rows = [(1, text, None, "x"), (1, text, "x", None), (1, text, None, "x"), (2, "another text", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = [tuple(r) for r in one_of(docs).collect()]
+    assert sorted(r[0] for r in got) == [1, 2] and set(got) <= set(rows)
+
+
 def test_representatives(docs, collected, empty):
     got = pivot_simhash.representatives(docs)
     assert got.columns == docs.columns

@@ -30,7 +30,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickhouse.llm.common import stored
+from tickhouse.llm.common import row_hash, stored
 
 MIN_CHUNK, MAX_CHUNK = 512, 4096
 
@@ -160,7 +160,7 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
     others = [c for c in docs.columns if c not in (key, text)]
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in [*others, text]])
+    tie = row_hash([F.col(f"`{c}`") for c in [*others, text]])
     kept = (
         exact_groups(docs, key, text, tie)
         .where("kept")
@@ -177,6 +177,7 @@ def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
         & (rows["digest"] == kept["digest"])
         & rows[f"row.{key}"].eqNullSafe(kept["key"])
     )
-    found = rows.join(kept, same).select("row", "copies")
+    found = rows.join(kept, same).select("row", rows["tie"], rows["digest"], "copies")
     single = found.where("copies = 1").select("row.*")
-    return single.unionByName(found.where("copies > 1").select("row.*").distinct())
+    repeated = found.where("copies > 1").withColumn("key", F.col(f"row.`{key}`"))
+    return single.unionByName(repeated.dropDuplicates(["key", "tie", "digest"]).select("row.*"))

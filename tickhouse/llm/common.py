@@ -72,6 +72,11 @@ def key_remainder(key: str | Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % F.lit(divisor)
 
 
+def row_hash(columns: list[Column]) -> Column:
+    """Hash of a row that also tells which columns are null (xxhash64 skips nulls)."""
+    return F.xxhash64(*columns, *[c.isNull() for c in columns])
+
+
 def text_slices(
     column: pa.Array, limit: int = SLICE_BYTES, rows: int = 1 << 20
 ) -> Iterator[tuple[int, int]]:

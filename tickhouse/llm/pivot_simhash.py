@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickhouse.llm.common import LONG, fields, map_texts, stored, texts_of
+from tickhouse.llm.common import LONG, fields, map_texts, row_hash, stored, texts_of
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
 PIVOTS = 16
@@ -319,7 +319,7 @@ def representatives(
     own = F.struct(
         F.col(key).isNull().alias("none"),
         F.col(key).alias("key"),
-        F.xxhash64(*columns).alias("tag"),
+        row_hash(columns).alias("tag"),
     )
     prints = stored(
         fingerprints(docs.select(own.alias("own"), F.col(text).alias("text")), "own", "text", shingle),
@@ -337,6 +337,6 @@ def representatives(
         .select("best.own", "best.copies")
     )
     rows = docs.select(F.struct(*columns).alias("row"), own.alias("own"))
-    found = rows.join(stay, "own").select("row", "copies")
+    found = rows.join(stay, "own").select("row", "own", "copies")
     single = found.where("copies = 1").select("row.*")
-    return single.unionByName(found.where("copies > 1").select("row.*").distinct())
+    return single.unionByName(found.where("copies > 1").dropDuplicates(["own"]).select("row.*"))
