@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from bars import SF_SMALL
 from tickhouse.operators.medallion import silver_frame
 from tickhouse.plans import flow
 from tickhouse.sources.adapter import raw_bars

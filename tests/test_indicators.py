@@ -8,55 +8,54 @@ from decimal import Decimal
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, rows_by
+from bars import N_BARS, SF_SMALL, rows_by
 from tickhouse.operators.indicators import fact_daily_performance, price_indicators
 from tickhouse.operators.staging import clean_staging
 from tickhouse.sources.adapter import raw_bars
 
 D = dt.date
 
-# Hand-computed goldens (exact decimal arithmetic) for two symbols:
-# (daily_return_pct, daily_price_change, ma_7d, avg_volume_21d, volatility_21d)
+# Computed with exact decimals, apart from the library, for each bar:
+# (daily_return_pct, daily_price_change, ma_7d, avg_volume_21d, volatility_21d, high volume)
 GOLDEN = {
-    ("AAPL", D(2025, 1, 2)): (None, None, 154.3, 98500000.0, None),
-    ("AAPL", D(2025, 1, 3)): (1.6202, Decimal("2.50"), 155.55, 92850000.0, None),
-    ("AAPL", D(2025, 1, 6)): (0.7015, Decimal("1.10"), 156.3333, 92600000.0, 0.6496),
-    ("AAPL", D(2025, 1, 7)): (0.95, Decimal("1.50"), 157.1, 95850000.0, 0.4752),
-    ("AAPL", D(2025, 1, 8)): (0.8783, Decimal("1.40"), 157.84, 94460000.0, 0.4023),
-    ("MSFT", D(2025, 1, 2)): (None, None, 316.4, 45200000.0, None),
-    ("MSFT", D(2025, 1, 3)): (0.885, Decimal("2.80"), 317.8, 41950000.0, None),
-    ("MSFT", D(2025, 1, 6)): (0.8145, Decimal("2.60"), 319.1333, 42000000.0, 0.0499),
-    ("MSFT", D(2025, 1, 7)): (0.7147, Decimal("2.30"), 320.375, 43725000.0, 0.0856),
-    ("MSFT", D(2025, 1, 8)): (0.7405, Decimal("2.40"), 321.6, 43240000.0, 0.0769),
+    ("KOPA", D(2023, 3, 2)): (None, None, 12.8, 410, None, False),
+    ("KOPA", D(2023, 3, 3)): (3.5156, "0.45", 13.025, 533, None, False),
+    ("KOPA", D(2023, 3, 6)): (-9.0566, "-1.20", 12.7, 1015, 8.8899, True),
+    ("KOPA", D(2023, 3, 7)): (3.3195, "0.40", 12.6375, 941, 7.2026, False),
+    ("KOPA", D(2023, 3, 8)): (0.0, "0.00", 12.6, 814, 5.8926, False),
+    ("KOPA", D(2023, 3, 9)): (11.6466, "1.45", 12.8167, 1085, 7.4712, True),
+    ("LIND", D(2023, 3, 6)): (5.067, "43.50", 869.0833, 117, 2.6017, True),
+    ("LIND", D(2023, 3, 9)): (-0.887, "-7.75", 872.875, 93, 2.8441, False),
+    ("MURR", D(2023, 3, 7)): (6.698, "0.2135", 3.2303, 8106250, 4.7909, True),
+    ("MURR", D(2023, 3, 8)): (-4.1458, "-0.1410", 3.2362, 8251000, 4.9726, False),
 }
 
 
 def test_indicator_goldens(sample_bars):
     ind = price_indicators(clean_staging(sample_bars))
     got = rows_by(ind, "symbol", "trade_date")
-    assert len(got) == 20
-    for key, (ret, chg, ma7, avgv, vol) in GOLDEN.items():
+    assert len(got) == N_BARS
+    for key, (ret, chg, ma7, avgv, vol, busy) in GOLDEN.items():
         r = got[key]
         assert r["daily_return_pct"] == ret, key
-        assert (r["daily_price_change"] is None and chg is None) or r["daily_price_change"] == chg
-        assert r["ma_7d"] == ma7
+        assert r["daily_price_change"] == (None if chg is None else Decimal(chg))
         # fewer than 7 rows: all frames coincide
-        assert r["ma_21d"] == ma7 and r["ma_50d"] == ma7
+        assert r["ma_7d"] == r["ma_21d"] == r["ma_50d"] == ma7
         assert r["avg_volume_21d"] == avgv
         assert r["volatility_21d"] == vol
         assert r["trend_signal"] == "NEUTRAL"
-        assert r["high_volume_flag"] is False
+        assert r["high_volume_flag"] is busy, key
 
 
 def test_staging_types_and_dedup(spark, sample_bars):
     later = sample_bars.withColumn("ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 HOUR"))
     newer = later.withColumn("close", F.col("close") + 1)
     stg = clean_staging(sample_bars.unionByName(newer))
-    assert stg.count() == 20
+    assert stg.count() == N_BARS
     types = dict(stg.dtypes)
     assert types["open_price"] == "decimal(18,4)" and types["trade_date"] == "date"
-    row = stg.where("symbol = 'AAPL' and trade_date = date'2025-01-02'").first()
-    assert row["close_price"] == Decimal("155.3000")  # newest load wins
+    row = stg.where("symbol = 'KOPA' and trade_date = date'2023-03-06'").first()
+    assert row["close_price"] == Decimal("13.0500")  # newest load wins
 
 
 def test_staging_filters_before_dedup(spark, sample_bars):
@@ -65,7 +64,7 @@ def test_staging_filters_before_dedup(spark, sample_bars):
         "ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 HOUR")
     ).withColumn("open", F.lit(-1.0))
     stg = clean_staging(sample_bars.unionByName(newer_bad))
-    assert stg.count() == 20
+    assert stg.count() == N_BARS
     assert stg.agg(F.min("open_price")).first()[0] > 0
 
 

@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import SF_CHECK, rows_by
+from bars import N_BARS, SF_CHECK, rows_by
 from tickhouse.operators.medallion import bronze_frame, gold_daily_summary, silver_frame
 from tickhouse.operators.staging import clean_staging
 from tickhouse.sources.adapter import raw_bars
@@ -14,10 +14,9 @@ from tickhouse.sources.adapter import raw_bars
 # Fixed goldens computed with exact decimals from the sample bars:
 # latest_close, avg_close, std_close (6 dp), avg_volume, total_volume, high, low
 GOLD = {
-    "AAPL": (160.8, 157.84, 2.490582, 94460000.0, 472300000, 161.2, 149.5),
-    "MSFT": (326.5, 321.6, 3.971775, 43240000.0, 216200000, 327.0, 309.0),
-    "GOOGL": (152.4, 148.58, 3.141178, 50820000.0, 254100000, 153.0, 139.5),
-    "AMZN": (198.1, 194.08, 3.444851, 66600000.0, 333000000, 199.0, 184.0),
+    "KOPA": (13.9, 12.816667, 0.666083, 1085.0, 6510, 14.1, 11.65),
+    "LIND": (866.0, 872.875, 20.432052, 92.5, 555, 910.0, 838.0),
+    "MURR": (3.33, 3.251833, 0.101482, 47270000 / 6, 47270000, 3.445, 3.0025),
 }
 
 
@@ -31,8 +30,8 @@ def test_gold_goldens(sample_bars):
         assert round(r["std_close"], 6) == std
         assert r["avg_volume"] == avgv and r["total_volume"] == totv
         assert (r["all_time_high"], r["all_time_low"]) == (hi, lo)
-        assert r["total_records"] == 5
-        assert str(r["latest_date"]) == "2025-01-08" and str(r["earliest_date"]) == "2025-01-02"
+        assert r["total_records"] == 6
+        assert str(r["latest_date"]) == "2023-03-09" and str(r["earliest_date"]) == "2023-03-02"
 
 
 def test_bronze_metadata(sample_bars):
@@ -52,18 +51,18 @@ def test_silver_dedups_before_filtering(spark):
 
 
 def test_silver_newest_bad_row_drops_key(spark, sample_bars):
-    newer_bad = sample_bars.where("symbol = 'AAPL' and date = date'2025-01-02'").withColumn(
+    newer_bad = sample_bars.where("symbol = 'LIND' and date = date'2023-03-03'").withColumn(
         "ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 HOUR")
     ).withColumn("high", F.lit(1.0))
     bronze = bronze_frame(sample_bars.unionByName(newer_bad), loaded_at=F.col("ingested_at"),
                           source_file="s")
     silver = silver_frame(bronze)
-    assert silver.count() == 19
-    assert silver.where("symbol = 'AAPL' and date = date'2025-01-02'").count() == 0
+    assert silver.count() == N_BARS - 1
+    assert silver.where("symbol = 'LIND' and date = date'2023-03-03'").count() == 0
     # staging falls back to the older good row instead
     stg = clean_staging(sample_bars.unionByName(newer_bad.withColumn("open", F.lit(-1.0))))
-    row = stg.where("symbol = 'AAPL' and trade_date = date'2025-01-02'").first()
-    assert row["high_price"] == Decimal("155.8000")
+    row = stg.where("symbol = 'LIND' and trade_date = date'2023-03-03'").first()
+    assert row["high_price"] == Decimal("859.0000")
 
 
 def test_bronze_source_file_default(spark, tmp_path, sample_bars):
@@ -82,7 +81,7 @@ def test_silver_survivor_of_identical_bars_is_deterministic(spark):
     """Same bar in two files loaded at one instant: the larger file name wins."""
     import datetime as dt
 
-    bar = ("AAPL", dt.date(2025, 1, 2), 1.0, 2.0, 0.5, 1.5, 10, dt.datetime(2025, 1, 2))
+    bar = ("KOPA", dt.date(2023, 3, 2), 1.0, 2.0, 0.5, 1.5, 10, dt.datetime(2025, 1, 2))
     schema = ("symbol string, date date, open double, high double, low double, "
               "close double, volume bigint, ingested_at timestamp, src string")
     bars = spark.createDataFrame([(*bar, "a.parquet"), (*bar, "b.parquet")], schema)

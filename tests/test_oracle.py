@@ -12,7 +12,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from bars import SF_SMALL
 from tickhouse.plans.catalog import ORACLE_SQL, QUERIES
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))

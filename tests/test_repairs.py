@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import SF_SMALL
+from bars import SF_SMALL
 from tickhouse.operators import quality as dq
 from tickhouse.plans import flow
 from tickhouse.sources.adapter import raw_bars

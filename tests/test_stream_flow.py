@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from bars import SF_SMALL
 from tickhouse.plans.flow import run_medallion
 from tickhouse.sources.adapter import raw_bars
 from tickhouse.sources.tables import VersionedTable, layer_path, layer_status

@@ -7,7 +7,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, rows_by
+from bars import N_BARS, SF_SMALL, rows_by
 from tickhouse.operators.indicators import fact_daily_performance, price_indicators
 from tickhouse.operators.staging import clean_staging
 from tickhouse.operators.weekly import weekly_performance
@@ -18,10 +18,12 @@ D = dt.date
 # (trading_days, open, high, low, close, return_pct, total_volume,
 #  avg_daily_return, up_days, down_days)
 GOLDEN = {
-    ("AAPL", D(2024, 12, 30)): (2, "150.25", "157.20", "149.50", "156.80", 4.3594, 185700000, 1.6202, 1, 0),
-    ("AAPL", D(2025, 1, 6)): (3, "156.00", "161.20", "155.20", "160.80", 3.0769, 286600000, 0.8433, 3, 0),
-    ("MSFT", D(2024, 12, 30)): (2, "310.50", "320.00", "309.00", "319.20", 2.8019, 83900000, 0.885, 1, 0),
-    ("MSFT", D(2025, 1, 6)): (3, "319.00", "327.00", "318.00", "326.50", 2.3511, 132300000, 0.7566, 3, 0),
+    ("KOPA", D(2023, 2, 27)): (2, "12.40", "13.60", "12.10", "13.25", 6.8548, 1065, 3.5156, 1, 0),
+    ("KOPA", D(2023, 3, 6)): (4, "13.30", "14.10", "11.65", "13.90", 4.5113, 5445, 1.4774, 2, 1),
+    ("LIND", D(2023, 2, 27)): (2, "871.00", "880.50", "838.00", "858.50", -1.4351, 164, 1.3877, 1, 0),
+    ("LIND", D(2023, 3, 6)): (4, "861.25", "910.00", "860.00", "866.00", 0.5515, 391, 0.2560, 1, 3),
+    ("MURR", D(2023, 2, 27)): (2, "3.1416", "3.25", "3.0025", "3.12", -0.6875, 12350000, -2.8794, 0, 1),
+    ("MURR", D(2023, 3, 6)): (4, "3.11", "3.4450", "3.0950", "3.33", 7.0740, 34920000, 1.7157, 3, 1),
 }
 
 
@@ -32,7 +34,7 @@ def _fact(df):
 def test_week_grain_goldens(sample_bars):
     wk = weekly_performance(_fact(sample_bars), grain="week")
     got = rows_by(wk, "symbol", "week_start")
-    assert len(got) == 8
+    assert len(got) == len(GOLDEN)
     for key, exp in GOLDEN.items():
         r = got[key]
         days, o, h, lo, c, ret, vol, avg_ret, up, down = exp
@@ -48,13 +50,13 @@ def test_week_grain_goldens(sample_bars):
 
 def test_day_grain_is_one_row_per_day(sample_bars):
     day = weekly_performance(_fact(sample_bars), grain="day")
-    assert day.count() == 20
+    assert day.count() == N_BARS
     assert day.where("trading_days != 1").count() == 0
-    r = rows_by(day.where("symbol = 'AAPL' and first_trade_date = date'2025-01-07'"), "symbol")
-    r = r[("AAPL",)]
+    r = rows_by(day.where("symbol = 'KOPA' and first_trade_date = date'2023-03-07'"), "symbol")
+    r = r[("KOPA",)]
     # week's open and close, but that day's high and volume
-    assert r["week_open"] == Decimal("156.0000") and r["week_close"] == Decimal("160.8000")
-    assert r["week_high"] == Decimal("160.5000") and r["total_volume"] == 105600000
+    assert r["week_open"] == Decimal("13.3000") and r["week_close"] == Decimal("13.9000")
+    assert r["week_high"] == Decimal("12.4500") and r["total_volume"] == 720
 
 
 def test_week_totals_equal_daily_totals(spark):
