@@ -18,3 +18,20 @@ def test_every_query_of_the_library_has_an_oracle():
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(QUERIES) <= set(qs)
     assert set(sql) <= set(qs)
+
+
+def test_a_missing_library_leaves_the_others(monkeypatch):
+    """Optional modules that cannot be imported take no library query with them."""
+    import importlib
+
+    from tickhouse.plans.catalog import QUERIES
+
+    real = importlib.import_module
+
+    def broken(name, *args):
+        if name.startswith(("tickhouse.llm", "corpus_pipeline")):
+            raise ImportError(name)
+        return real(name, *args)
+
+    monkeypatch.setattr(entry.importlib, "import_module", broken)
+    assert set(entry.queries()) == set(QUERIES) == set(entry.oracle_sql())
