@@ -60,10 +60,10 @@ def near_rows(words):
     r = random.Random(3)
     passage = " ".join(r.choices(words, k=40))
     out = []
-    for n in (3, 4, 6, 7, 9, 10, 12, 15, 20, 40, 90, 300, 2000):
+    for n in (3, 4, 7, 10, 15, 40, 300, 2000):
         text = " ".join(r.choices(words, k=n))
         out.append(text)
-        out += [edited(text, s, share) for s in range(4) for share in (0.005, 0.01, 0.02, 0.04)]
+        out += [edited(text, s, share) for s in range(2) for share in (0.005, 0.01, 0.02, 0.04)]
         out += [text.upper(), f"{text} end", f"{passage} {text}", f"{text} {passage}"]
         step = text
         for s in range(6):  # each close to the one before
@@ -86,7 +86,8 @@ def test_equals_all_pairs(spark, near_rows):
     assert result(got) == brute(near_rows)
 
 
-def test_groups_over_several_cells_give_the_same(spark, words):
+def test_groups_over_several_cells_give_the_same(spark, words, monkeypatch):
+    monkeypatch.setattr(partenum, "STARS", 1)
     r = random.Random(8)
     base = " ".join(r.choices(words, k=60))
     rows = list(enumerate([edited(base, s, 0.04) for s in range(60)]))

@@ -54,7 +54,11 @@ from tickhouse.llm.wordarrays import RangeHash, U, mix, per_doc, windows, words_
 
 SHINGLE, PERCENT = 4, 85
 PARTS, SKIP = 3, 1
-#: Members of one side of a cell in the second round.
+#: Bits for each difference allowed, in the sketches of pairs and of cells.
+FINE, COARSE = 16, 4
+#: Rounds in which each group is compared with a leader.
+STARS = 4
+#: Members of a block in the last round; a cell holds two blocks.
 CELL = 2048
 
 
@@ -282,10 +286,10 @@ def distinct_groups(rows: DataFrame) -> DataFrame:
 # --- sketches and verification ------------------------------------------------------
 
 
-def sketch_bits(size: int, bands: Bands) -> int:
-    """Bits of a set's sketch: a power of two, 16 for each difference allowed."""
+def sketch_bits(size: int, bands: Bands, each: int) -> int:
+    """Bits of a set's sketch: a power of two, at least ``each`` for a difference allowed."""
     k = int(bands.difference(np.array(size), np.array(size)))
-    return 64 << max(0, (16 * k // 64)).bit_length()
+    return 64 << (each * k // 64).bit_length()
 
 
 def sketch(values: np.ndarray, bits: int) -> np.ndarray:
@@ -309,7 +313,7 @@ def folded(words: np.ndarray, length: int) -> np.ndarray:
 def _needed_sets(
     docs: DataFrame, named: DataFrame, needed: DataFrame, seed: int, key: str, text: str, shingle: int, percent: int
 ) -> DataFrame:
-    """(cls, size, sketch, shingles) of the needed classes, read again from one document each."""
+    """(cls, size, coarse, sketch, shingles) of the needed classes, read again from one document each."""
     one = named.join(needed, "cls").groupBy("cls").agg(F.min("key").alias("least")).select("least")
     source = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     texts = source.join(one.distinct(), F.col("key").eqNullSafe(F.col("least")), "semi").select("text")
@@ -322,24 +326,31 @@ def _needed_sets(
                 names = set_names(values, first, seed)[0].view(np.int64)
                 sets = [values[s:e] for s, e in itertools.pairwise(first.tolist())]
                 sizes = np.diff(first)
+                fine = [
+                    sketch(v, sketch_bits(s, bands, FINE))
+                    for v, s in zip(sets, sizes.tolist(), strict=True)
+                ]
+                coarse = [
+                    folded(w, sketch_bits(s, bands, COARSE) // 64)
+                    for w, s in zip(fine, sizes.tolist(), strict=True)
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(names),
                         pa.array(sizes),
-                        pa.array(
-                            [
-                                sketch(v, sketch_bits(s, bands)).tobytes()
-                                for v, s in zip(sets, sizes.tolist(), strict=True)
-                            ],
-                            pa.binary(),
-                        ),
-                        pa.array([v.tobytes() for v in sets], pa.binary()),
+                        *[
+                            pa.array([v.tobytes() for v in each], pa.binary())
+                            for each in (coarse, fine, sets)
+                        ],
                     ],
-                    names=["cls", "size", "sketch", "shingles"],
+                    names=["cls", "size", "coarse", "sketch", "shingles"],
                 )
 
-    sets = texts.mapInArrow(run, fields(cls=LONG, size=LONG, sketch=BINARY, shingles=BINARY))
-    return sets.join(needed, "cls", "semi").dropDuplicates(["cls"])
+    sets = texts.mapInArrow(
+        run, fields(cls=LONG, size=LONG, coarse=BINARY, sketch=BINARY, shingles=BINARY)
+    )
+    # rows that share a key bring further sets along, which harms nothing
+    return sets.where("size > 0").dropDuplicates(["cls"])
 
 
 EDGES = fields(u=LONG, v=LONG)
@@ -398,41 +409,48 @@ def _labels(classes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def _stars(groups: DataFrame) -> DataFrame:
-    """Each member with the leader of its group, once."""
+def _open_groups(groups: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(sig, cls, n, label, leads) of the groups in more than one component.
+
+    The leader of a group is its member of the smallest hash.
+    """
     order = F.xxhash64("cls")  # of one long: a bijection, so leaders are unique
-    leaders = groups.groupBy("sig").agg(F.min(order).alias("first"))
-    marked = groups.join(leaders, "sig").withColumn("leads", order == F.col("first"))
-    leads = marked.where("leads").select("sig", F.col("cls").alias("u"))
+    labelled = (
+        groups.withColumn("label", F.col("cls")) if labels is None else groups.join(labels, "cls")
+    )
+    open_ = (
+        labelled.groupBy("sig")
+        .agg(F.min(order).alias("first"), F.min("label").alias("a"), F.max("label").alias("b"))
+        .where("a != b")
+    )
+    return labelled.join(open_.select("sig", "first"), "sig").select(
+        "sig", "cls", "n", "label", (order == F.col("first")).alias("leads")
+    )
+
+
+def _stars(marked: DataFrame) -> DataFrame:
+    """The members of other components than their group's leader's, with it, once."""
+    leads = marked.where("leads").select("sig", F.col("cls").alias("u"), F.col("label").alias("l"))
     return (
         marked.where("not leads")
-        .select("sig", F.col("cls").alias("v"))
+        .select("sig", F.col("cls").alias("v"), "label")
         .join(leads, "sig")
+        .where("label != l")
         .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
         .distinct()
     )
 
 
-def _open_cells(groups: DataFrame, labels: DataFrame, cell: int = CELL) -> DataFrame:
-    """(cell, side, cls, label) of groups in more than one component, in cells of two blocks.
+def _cells(marked: DataFrame, cell: int = CELL) -> DataFrame:
+    """(sig, low, high, cls, label): open groups in cells of two blocks of members.
 
     A group of up to ``cell`` members is one cell; of a larger one any two
     blocks of its members meet in one cell.
     """
-    labelled = groups.join(labels, "cls")
-    open_ = (
-        labelled.groupBy("sig")
-        .agg(F.min("label").alias("a"), F.max("label").alias("b"))
-        .where("a != b")
-        .select("sig")
-    )
-    rows = labelled.join(open_, "sig").withColumn(
-        "blocks", F.ceil(F.col("n") / F.lit(cell)).cast("long")
-    )
+    rows = marked.withColumn("blocks", F.ceil(F.col("n") / F.lit(cell)).cast("long"))
     block = F.pmod(F.xxhash64(F.lit(7), "cls"), F.col("blocks"))
-    rows = rows.withColumn("block", block)
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    return rows.withColumn("other", other).select(
+    return rows.withColumn("block", block).withColumn("other", other).select(
         "sig",
         F.least("block", "other").alias("low"),
         F.greatest("block", "other").alias("high"),
@@ -441,23 +459,27 @@ def _open_cells(groups: DataFrame, labels: DataFrame, cell: int = CELL) -> DataF
     )
 
 
+CLOSE = fields(u=LONG, v=LONG, sig=LONG)
+
+
 def _close_pairs(cells: DataFrame, sets: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Pairs of different components whose sketches allow a link.
+    """(u, v, sig): pairs of different components whose sketches allow a link.
 
-    With ``forest`` only those that join the components of a cell, closest
-    pairs first.
+    With ``forest``, cells with more such pairs than members give only those
+    that join their components, closest first, and their signature beside
+    them: they are not done.
     """
     keys = ["sig", "low", "high"]
     rows = (
-        cells.join(sets.select("cls", "size", "sketch"), "cls")
+        cells.join(sets.select("cls", "size", "coarse"), "cls")
         .repartition(*keys)
         .sortWithinPartitions(*keys, "size", "cls")
-        .select(*keys, "cls", "label", "size", "sketch")
+        .select(*keys, "cls", "label", "size", "coarse")
     )
 
     def solve(part: pa.Table) -> pa.RecordBatch:
         cls, label, size = (part[c].to_numpy() for c in ("cls", "label", "size"))
-        words = [np.frombuffer(s.as_buffer(), "<u8") for s in part["sketch"].combine_chunks()]
+        words = [np.frombuffer(s.as_buffer(), "<u8") for s in part["coarse"].combine_chunks()]
         us, vs, far = [], [], []
         lengths = np.array([len(w) for w in words])
         for length in np.unique(lengths):  # pairs whose shorter sketch has this length
@@ -480,7 +502,8 @@ def _close_pairs(cells: DataFrame, sets: DataFrame, percent: int, forest: bool)
         none = np.zeros(0, np.int64)
         u = np.concatenate(us) if us else none
         v = np.concatenate(vs) if vs else none
-        if forest and len(u):
+        left = forest and len(u) > len(cls)
+        if left:
             distance = np.concatenate(far)
             names, index = np.unique(label, return_inverse=True)
             root = list(range(len(names)))
@@ -499,8 +522,9 @@ def _close_pairs(cells: DataFrame, sets: DataFrame, percent: int, forest: bool)
                     kept.append(e)
             u, v = u[kept], v[kept]
         a, b = cls[u], cls[v]
+        name = pa.array([int(part["sig"][0].as_py()) if left else None] * len(a), pa.int64())
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["u", "v"]
+            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), name], names=CLOSE.names
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -522,26 +546,40 @@ def _close_pairs(cells: DataFrame, sets: DataFrame, percent: int, forest: bool)
         if held:
             yield solve(pa.Table.from_batches(held))
 
-    return rows.mapInArrow(run, EDGES).distinct()
+    return rows.mapInArrow(run, CLOSE)
 
 
 def class_labels(groups: DataFrame, sets: DataFrame, percent: int, cell: int = CELL) -> DataFrame:
     """(cls, label) of all classes that share a signature with another."""
     classes = sets.select("cls")
-    tested = stored(_stars(groups), "star-pairs")
-    links = stored(verified(tested, sets, percent), "star-links")
-    for forest in (True, False):
-        labels = stored(_labels(classes, links), "labels")
-        pairs = _close_pairs(_open_cells(groups, labels, cell), sets, percent, forest)
-        pairs = stored(pairs.join(tested, ["u", "v"], "anti"), "close-pairs")
+    none = sets.sparkSession.createDataFrame([], EDGES)
+    tested = links = none
+    labels: DataFrame | None = None
+
+    def settle(pairs: DataFrame) -> bool:
+        nonlocal tested, links, labels
+        pairs = stored(pairs.join(tested, ["u", "v"], "anti"), "pairs")
         if pairs.isEmpty():
-            # a forest without a new pair may have chosen tested ones only
-            if not forest:
-                return labels
-            continue
-        links = stored(links.unionByName(verified(pairs, sets, percent)), "links")
-        tested = stored(tested.unionByName(pairs), "tested")
-    return _labels(classes, links)
+            return False
+        tested = tested.unionByName(pairs)
+        links = links.unionByName(stored(verified(pairs, sets, percent), "links"))
+        labels = stored(_labels(classes, links), "labels")
+        return True
+
+    for _ in range(STARS):
+        marked = stored(_open_groups(groups, labels), "open-groups")
+        if marked.isEmpty():
+            break
+        settle(_stars(marked))
+        groups = marked.where("not leads").select("sig", "cls", "n")  # leaders are done
+    for forest in (True, False):
+        marked = stored(_open_groups(groups, labels), "open-groups")
+        if marked.isEmpty():
+            break
+        close = stored(_close_pairs(_cells(marked, cell), sets, percent, forest), "close-pairs")
+        settle(close.select("u", "v").distinct())
+        groups = groups.join(close.select("sig").distinct(), "sig", "semi")  # not done
+    return classes.withColumn("label", F.col("cls")) if labels is None else labels
 
 
 def jaccard_components(
