@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -448,3 +449,69 @@ def test_repeats_keep_their_part_of_the_sample(spark, monkeypatch):
     # with room for all, every row is there
     nbsvm.fit(docs, labels, F.lit(True), sample=4000)
     assert len(seen[2][0]) == 3000 and sum(np.array_equal(s, hot_slots) for s in seen[2][0]) == 1000
+
+
+# --- linear patterns, bounded samples ------------------------------------------
+
+
+def test_base_spans_are_those_of_the_plain_patterns():
+    r = random.Random(6)
+    for _ in range(20_000):
+        text = "".join(r.choices("a1.@-+ 9(_%", k=r.randint(0, 40)))
+        plain = [
+            (kind, m.start(), m.end())
+            for kind, pattern, good in pii.PATTERNS
+            for m in pattern.finditer(text)
+            if good(m.group())
+        ]
+        assert pii.find(text) == plain, text
+
+
+@pytest.mark.parametrize(
+    "unit",
+    ["1", "a", ".", " ", "at ", "a@", "1.", "a.", "+1", "-", "jane dot ", "(at) ", "1 ", "a@a."],
+)
+def test_long_unbroken_runs_take_linear_time(unit):
+    """A quadratic scan of these would take minutes to hours."""
+    text = f"x 1.2 b@c.de {unit * (300_000 // len(unit))} 1.2.3.4 j@k.lm"
+    began = time.perf_counter()
+    spans = pii.find_all(text)
+    assert time.perf_counter() - began < 10
+    assert ("email", 6, 12) in spans
+
+
+def test_the_sample_is_bounded_in_bytes(spark):
+    rows = [(i, f"{'word ' * 200}{i}", i % 2) for i in range(60)]
+    frame = spark.createDataFrame(rows, "row long, text string, label int")
+    all_rows = nbsvm.sampled(frame, 1.0, 64, 100, 1 << 20)
+    assert len(all_rows.label) == 60
+    few = nbsvm.sampled(frame, 1.0, 64, 100, 10_100)
+    assert len(few.label) == 10
+    assert [few.row(i).tolist() for i in range(10)] and len(few.first) == 11
+
+
+def test_weights_are_those_of_a_plain_support_vector_machine():
+    """Dual coordinate descent against projected gradient steps on the whole dual."""
+    r = np.random.default_rng(5)
+    dim, n = 40, 120
+    rows = [np.unique(r.integers(0, dim, 8)) for _ in range(n)]
+    sign = np.where([row.min() < 3 or r.random() < 0.2 for row in rows], 1.0, -1.0)
+    ratio = r.standard_normal(dim)
+    values = nbsvm._Scaled(rows, ratio)
+    cost = np.where(sign > 0, 0.7, 0.4)
+    got = nbsvm.descend(rows, values, sign, cost, dim, epochs=3000)
+    dense = np.zeros((n, dim + 1))
+    for i, row in enumerate(rows):
+        dense[i, row] = ratio[row] / np.sqrt(len(row))
+    dense[:, dim] = 1.0
+    gram = (dense * sign[:, None]) @ (dense * sign[:, None]).T
+    dual, step = np.zeros(n), 1.0 / np.linalg.eigvalsh(gram)[-1]
+    for _ in range(60_000):
+        dual = np.clip(dual + step * (1 - gram @ dual), 0, cost)
+    want = (dual * sign) @ dense
+
+    def loss(w):
+        return w @ w / 2 + (cost * np.maximum(0, 1 - sign * (dense @ w))).sum()
+
+    assert loss(got) <= loss(want) * 1.001
+    assert np.abs(dense @ got - dense @ want).max() < 0.05

@@ -11,7 +11,8 @@ the driver).
 
 *Support vectors*: indicators scaled by the ratios, hinge loss, fitted by
 dual coordinate descent on a bounded sample of labelled training rows
-(``SAMPLE`` rows, chosen by a hash of the key; classes weighted to balance).
+(``SAMPLE`` rows and ``SAMPLE_BYTES`` of text at most, chosen by a hash of key
+and text; classes weighted to balance).
 A fifth of the sample is held back to turn margins into probabilities by a
 logistic fit.
 
@@ -28,19 +29,19 @@ are not read.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickhouse.llm import wordarrays as wa
 from tickhouse.llm.common import DOUBLE, buffer_of, fields, map_texts, stored, text_slices
 
 DIM = 1 << 18
-SAMPLE = 8192
+SAMPLE, SAMPLE_BYTES = 8192, 64 << 20
 THRESHOLD = 0.7
 ALPHA = 1.0
 COST = 1.0
@@ -123,7 +124,7 @@ class Model(NamedTuple):
 
 def descend(
     rows: list[np.ndarray],
-    values: list[np.ndarray],
+    values: Sequence[np.ndarray],
     sign: np.ndarray,
     cost: np.ndarray,
     dim: int,
@@ -133,16 +134,17 @@ def descend(
     """Hinge-loss weights (the last one is the bias) by dual coordinate descent."""
     weights = np.zeros(dim + 1)
     dual = np.zeros(len(rows))
-    norm = np.array([v @ v + 1.0 for v in values])
+    norm = np.array([values[i] @ values[i] + 1.0 for i in range(len(rows))])
     order = np.random.default_rng(seed)
     for _ in range(epochs):
         moved = 0.0
         for i in order.permutation(len(rows)):
-            margin = sign[i] * (weights[rows[i]] @ values[i] + weights[dim])
+            value = values[i]
+            margin = sign[i] * (weights[rows[i]] @ value + weights[dim])
             new = min(max(dual[i] - (margin - 1.0) / norm[i], 0.0), cost[i])
             step = (new - dual[i]) * sign[i]
             if step:
-                weights[rows[i]] += step * values[i]
+                weights[rows[i]] += step * value
                 weights[dim] += step
                 dual[i] = new
                 moved = max(moved, abs(step))
@@ -200,21 +202,42 @@ def slot_counts(train: DataFrame, dim: int) -> np.ndarray:
     return counts
 
 
-def sampled(train: DataFrame, share: float, dim: int, limit: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Slots and labels of about ``share`` of the rows, ``limit`` at most.
+class Sample(NamedTuple):
+    """The slots of all sampled rows end to end; row i has [first[i], first[i + 1])."""
 
-    Rows are chosen by the hash of key and text.  Of ``n`` equal rows
-    ``n * share`` are taken, rounded up or down by the hash, so repeats keep
-    their part of the sample; each distinct row is collected once.
+    slots: np.ndarray
+    first: np.ndarray
+    label: np.ndarray
+
+    def row(self, i: int) -> np.ndarray:
+        return self.slots[self.first[i] : self.first[i + 1]]
+
+
+def sampled(train: DataFrame, share: float, dim: int, limit: int, limit_bytes: int) -> Sample:
+    """About ``share`` of the rows, at most ``limit`` of them and ``limit_bytes`` of text.
+
+    Rows are chosen in the order of their hash of key and text.  Of ``n``
+    equal rows ``n * share`` are taken, rounded up or down by the hash, so
+    repeats keep their part of the sample; each distinct row is collected once.
     """
     place = F.pmod("row", F.lit(1 << 40)) / F.lit(float(1 << 40))
+    in_order = Window.orderBy("row", "label").rowsBetween(Window.unboundedPreceding, 0)
     chosen = (
         train.groupBy("row", "label")
-        .agg(F.count("*").alias("copies"))
-        .select("row", "label", F.floor(F.col("copies") * F.lit(min(share, 1.0)) + place).alias("take"))
+        .agg(F.count("*").alias("copies"), F.max(F.octet_length("text")).alias("bytes"))
+        .select(
+            "row",
+            "label",
+            F.floor(F.col("copies") * F.lit(min(share, 1.0)) + place).alias("take"),
+            "bytes",
+        )
         .where("take >= 1")
         .orderBy("row", "label")
         .limit(limit)
+        # a window over ``limit`` rows of four numbers
+        .withColumn("held", F.sum("bytes").over(in_order))
+        .where(F.col("held") <= F.lit(limit_bytes))
+        .select("row", "label", "take")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,20 +259,24 @@ def sampled(train: DataFrame, share: float, dim: int, limit: int) -> tuple[list[
         .agg(F.min("text").alias("text"))
         .select("text", "label", "row", "take")
         .mapInArrow(run, "slots binary, label int, row long, take long")
-        .collect()
+        .toArrow()
+        .sort_by([("row", "ascending"), ("label", "ascending")])
     )
-    rows.sort(key=lambda r: (r["row"], r["label"]))
-    slots = [np.frombuffer(r["slots"], "<u4").astype(np.int64) for r in rows]
+    names, labels, takes = (rows[c].to_numpy() for c in ("row", "label", "take"))
     # the repeats are dealt among the others
     order = sorted(
-        (zlib.crc32(b"%d %d" % (r["row"], nth)), i, nth)
-        for i, r in enumerate(rows)
-        for nth in range(min(r["take"], limit))
+        (zlib.crc32(b"%d %d" % (name, nth)), i, nth)
+        for i, (name, take) in enumerate(zip(names.tolist(), takes.tolist(), strict=True))
+        for nth in range(min(take, limit))
     )[:limit]
-    return (
-        [slots[i] for _, i, _ in order],
-        np.array([rows[i]["label"] for _, i, _ in order], dtype=np.int64),
-    )
+    chosen_rows = np.array([i for _, i, _ in order], np.int64)
+    column = rows["slots"].combine_chunks()
+    sizes = np.array([len(column[i].as_buffer()) // 4 for i in chosen_rows.tolist()], np.int64)
+    ends = np.append(0, np.cumsum(sizes))
+    slots = np.empty(int(ends[-1]), np.uint32)  # one array: its memory goes back as a whole
+    for at, i in enumerate(chosen_rows.tolist()):
+        slots[ends[at] : ends[at + 1]] = np.frombuffer(column[i].as_buffer(), "<u4")
+    return Sample(slots, ends, labels[chosen_rows].astype(np.int64))
 
 
 def fit(
@@ -261,6 +288,7 @@ def fit(
     label: str = "quality",
     dim: int = DIM,
     sample: int = SAMPLE,
+    sample_bytes: int = SAMPLE_BYTES,
     cost: float = COST,
 ) -> Model:
     """Learn from the labelled rows for which ``train_when`` (on the key) holds."""
@@ -290,13 +318,27 @@ def fit(
     ratio = np.log((counts[1, :dim] + ALPHA) / (ones + 2 * ALPHA)) - np.log(
         (counts[0, :dim] + ALPHA) / (zeros + 2 * ALPHA)
     )
-    slots, label_of = sampled(train, sample / float(zeros + ones), dim, sample)
-    return fit_sample(slots, label_of, ratio, cost)
+    chosen = sampled(train, sample / float(zeros + ones), dim, sample, sample_bytes)
+    rows = [chosen.row(i) for i in range(len(chosen.label))]
+    return fit_sample(rows, chosen.label, ratio, cost)
+
+
+class _Scaled(Sequence):
+    """The values of each row's slots, made when they are needed."""
+
+    def __init__(self, rows: list[np.ndarray], ratio: np.ndarray):
+        self.rows, self.ratio = rows, ratio
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.ratio[self.rows[i]] / np.sqrt(max(len(self.rows[i]), 1))
 
 
 def fit_sample(slots: list[np.ndarray], label: np.ndarray, ratio: np.ndarray, cost: float) -> Model:
     dim = len(ratio)
-    values = [ratio[s] / np.sqrt(max(len(s), 1)) for s in slots]
+    values = _Scaled(slots, ratio)
     back = np.arange(len(slots)) % 5 == 4
     if len(set(label[~back])) < 2 or len(set(label[back])) < 2:
         back = np.zeros(len(slots), bool)  # too few rows to hold any back
@@ -304,9 +346,8 @@ def fit_sample(slots: list[np.ndarray], label: np.ndarray, ratio: np.ndarray, co
     ones = max(int(label[use].sum()), 1)
     zeros = max(len(use) - ones, 1)
     costs = np.where(label[use] == 1, cost * len(use) / (2 * ones), cost * len(use) / (2 * zeros))
-    weights = descend(
-        [slots[i] for i in use], [values[i] for i in use], 2.0 * label[use] - 1, costs, dim
-    )
+    used = [slots[i] for i in use]
+    weights = descend(used, _Scaled(used, ratio), 2.0 * label[use] - 1, costs, dim)
     rest = np.flatnonzero(back) if back.any() else use
     margin = np.array([weights[slots[i]] @ values[i] + weights[dim] for i in rest])
     slope, offset = logistic(margin, label[rest].astype(float))

@@ -198,8 +198,8 @@ def write_tokens(
 
         size = write_file(f"{folder}/{name}", parts())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([x]) for x in (name, sums[0], sums[1], size)],
-            names=["name", "docs", "ids", "bytes"],
+            [pa.array([x]) for x in (task[0], name, sums[0], sums[1], size)],
+            names=["task", "name", "docs", "ids", "bytes"],
         )
 
     written = (
@@ -207,11 +207,11 @@ def write_tokens(
         .repartitionByRange(files, F.col("key").asc_nulls_first(), "tie")
         .sortWithinPartitions(F.col("key").asc_nulls_first(), "tie")
         .select(F.col("key").cast("long").alias("key"), "ids", F.spark_partition_id().alias("task"))
-        .mapInArrow(write, "name string, docs long, ids long, bytes long")
+        .mapInArrow(write, "task int, name string, docs long, ids long, bytes long")
         .collect()
     )
     before, entries = 0, []
-    for row in sorted(written):
+    for row in sorted(written, key=lambda r: r["task"]):  # by number: names need not sort like it
         entries.append({**row.asDict(), "before": before})
         before += row["ids"]
     index = {"files": entries, "ids": order[counts[order] > 0].tolist()}
