@@ -44,12 +44,8 @@ INDICATOR_COLUMNS = [
 ]
 
 
-def _by_symbol():
-    return Window.partitionBy("symbol").orderBy(F.col("trade_date").asc_nulls_last())
-
-
-def _trailing(rows: int):
-    return _by_symbol().rowsBetween(-(rows - 1), Window.currentRow)
+def _along(by: tuple[str, ...]):
+    return Window.partitionBy(*by).orderBy(F.col("trade_date").asc_nulls_last())
 
 
 def daily_return(close: str = "close_price", prev: str = "prev_close") -> F.Column:
@@ -74,16 +70,24 @@ def high_volume_flag(
     return F.coalesce(F.col(volume) > F.col(avg) * F.lit(factor), F.lit(False))
 
 
-def price_indicators(stg: DataFrame) -> DataFrame:
+def price_indicators(stg: DataFrame, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
     """Lag, return, moving averages, volatility, trend and volume flag.
 
+    ``by`` are the columns that tell one history from another; those besides
+    the symbol are kept after the indicator columns.
+
     The volatility reads the *rounded* daily return, as the model does,
     so the return is materialised before the framed aggregates.
     Averages are exact means over integer ticks, rounded half-up (see
     ``functions.exact_mean``); short frames at the start of a history are
     averaged over the rows they have.
     """
-    with_lag = stg.withColumn("prev_close", F.lag("close_price").over(_by_symbol()))
+    along = _along(by)
+
+    def _trailing(rows: int):
+        return along.rowsBetween(-(rows - 1), Window.currentRow)
+
+    with_lag = stg.withColumn("prev_close", F.lag("close_price").over(along))
     with_ret = with_lag.withColumn("daily_return_pct", daily_return()).withColumn(
         "daily_price_change", F.col("close_price") - F.col("prev_close")
     )
@@ -106,6 +110,7 @@ def price_indicators(stg: DataFrame) -> DataFrame:
         trend_signal().alias("trend_signal"),
         high_volume_flag().alias("high_volume_flag"),
         "ingested_at",
+        *[c for c in by if c != "symbol"],
     )
 
 

@@ -27,10 +27,9 @@ from tickhouse.plans import oracle
 from tickhouse.plans.flow import (
     build_marts,
     load_bronze,
-    load_silver,
-    refresh_staging,
     run_medallion,
 )
+from tickhouse.plans.monthly import MonthLayers
 from tickhouse.session import new_scratch_dir
 from tickhouse.sources.adapter import raw_bars
 from tickhouse.sources.files import (
@@ -111,22 +110,41 @@ def q_silver_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping Bronze loads; Silver refreshed incrementally after each."""
-    root = new_scratch_dir(spark, "lakehouse")
+    """Two overlapping Bronze loads; the touched months of Silver follow each."""
+    layers = MonthLayers(spark, new_scratch_dir(spark, "lakehouse"))
     for frame, when in _overlapping_loads(raw_bars(spark, sf_dir)):
-        load_bronze(spark, frame, root, loaded_at=when, source_file=oracle.SOURCE_FILE)
-        load_silver(spark, root, loaded_at=fixed_loaded_at())
-    return VersionedTable(spark, layer_path(root, "silver")).read()
+        months = layers.load_bars(frame, loaded_at=when, source_file=oracle.SOURCE_FILE)
+        layers.refresh_silver(months, loaded_at=fixed_loaded_at())
+    return layers.silver.read()
 
 
 def q_stg_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping Bronze loads; the staging source refreshed after each."""
-    root = new_scratch_dir(spark, "lakehouse")
+    """Two overlapping Bronze loads; the touched months of staging follow each."""
+    layers = MonthLayers(spark, new_scratch_dir(spark, "lakehouse"))
     for frame, when in _overlapping_loads(raw_bars(spark, sf_dir)):
-        load_bronze(spark, frame, root, loaded_at=when, source_file=oracle.SOURCE_FILE)
-        refresh_staging(spark, root)
-    latest = VersionedTable(spark, layer_path(root, "staging", "latest_bars")).read()
-    return stage_types(latest)
+        layers.refresh_staged(layers.load_bars(frame, when, oracle.SOURCE_FILE))
+    return stage_types(layers.staged.read())
+
+
+def _backdated(spark: SparkSession, sf_dir: str) -> MonthLayers:
+    """All layers after the bars from the split date on, then those before it
+    but for the seventh day of each month, then those days."""
+    raw = raw_bars(spark, sf_dir)
+    layers = MonthLayers(spark, new_scratch_dir(spark, "lakehouse"))
+    late, seventh = F.col("date") >= F.lit(SPLIT_DATE), F.dayofmonth("date") == 7
+    for frame in (raw.where(late), raw.where(~late & ~seventh), raw.where(~late & seventh)):
+        layers.refresh(layers.load_bars(frame, source_file=oracle.SOURCE_FILE))
+    return layers
+
+
+def q_fact_backdated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact mart after backdated bars: only the intervals they reach are redone."""
+    return _backdated(spark, sf_dir).fact.read()
+
+
+def q_weekly_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly mart after backdated bars: only the weeks with redone rows."""
+    return _backdated(spark, sf_dir).weekly.read()
 
 
 def q_fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,6 +411,8 @@ QUERIES: dict[str, Query] = {
     "price_indicators": q_price_indicators,
     "fact_daily_performance": q_fact_daily_performance,
     "fact_incremental": q_fact_incremental,
+    "fact_backdated": q_fact_backdated,
+    "weekly_incremental": q_weekly_incremental,
     "weekly_performance": q_weekly_performance,
     "weekly_performance_day_grain": q_weekly_performance_day_grain,
     "silver_prices": q_silver_prices,
@@ -427,6 +447,8 @@ ORACLE_SQL: dict[str, str] = {
     "price_indicators": oracle.IND_SQL,
     "fact_daily_performance": oracle.FACT_SQL,
     "fact_incremental": oracle.FACT_SQL,
+    "fact_backdated": oracle.FACT_SQL,
+    "weekly_incremental": oracle.WEEKLY_WEEK_SQL,
     "weekly_performance": oracle.WEEKLY_WEEK_SQL,
     "weekly_performance_day_grain": oracle.WEEKLY_DAY_SQL,
     "silver_prices": oracle.SILVER_SQL,
