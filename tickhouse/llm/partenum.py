@@ -359,7 +359,7 @@ EDGES = fields(u=LONG, v=LONG)
 def verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) that link: sketches first, then the sets."""
 
-    def filtered(column: str, check, rows: DataFrame) -> DataFrame:
+    def filtered(rows: DataFrame, sets: DataFrame, column: str, check) -> DataFrame:
         for side in ("u", "v"):
             rows = rows.join(
                 sets.select(
@@ -395,7 +395,13 @@ def verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         both = len(np.intersect1d(x, y, assume_unique=True))
         return 100 * both >= percent * (m + n - both)
 
-    return filtered("shingles", linked, filtered("sketch", possible, edges))
+    left = stored(filtered(edges, sets, "sketch", possible), "possible-links")
+    # only the sets of these pairs travel; Spark broadcasts the list of them where it is small
+    named = stored(
+        left.select(F.explode(F.array("u", "v")).alias("cls")).distinct(), "possible-classes"
+    )
+    few = stored(sets.select("cls", "size", "shingles").join(named, "cls", "semi"), "possible-sets")
+    return filtered(left, few, "shingles", linked)
 
 
 # --- rounds ------------------------------------------------------------------------
