@@ -207,7 +207,7 @@ def write_tokens(
         .repartitionByRange(files, F.col("key").asc_nulls_first(), "tie")
         .sortWithinPartitions(F.col("key").asc_nulls_first(), "tie")
         .select(F.col("key").cast("long").alias("key"), "ids", F.spark_partition_id().alias("task"))
-        .mapInArrow(write, "task int, name string, docs long, ids long, bytes long")
+        .mapInArrow(write, "task long, name string, docs long, ids long, bytes long")
         .collect()
     )
     before, entries = 0, []
