@@ -1,0 +1,121 @@
+"""Silver kept by a stream: equal to the batch rule, whatever lands when."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickhouse.operators.medallion import bronze_frame, silver_frame
+from tickhouse.plans.monthly import MonthLayers
+from tickhouse.sources.months import MonthTable
+from tickhouse.streaming.silver_stream import silver_stream
+
+SCHEMA = (
+    "symbol string, date date, open double, high double, low double, close double, "
+    "volume bigint, ingested_at timestamp"
+)
+DAY = dt.date(2024, 1, 30)
+
+
+def bar(symbol, day, close, hour, high=None):
+    date = None if day is None else DAY + dt.timedelta(days=day)
+    return (symbol, date, close, close + 1 if high is None else high, close - 0.5, close, 10,
+            dt.datetime(2025, 1, 1, hour))
+
+
+def loaded(hour):
+    return F.lit(dt.datetime(2025, 2, 1, hour)).cast("timestamp")
+
+
+def content(df):
+    columns = sorted(c for c in df.columns if c != "_silver_loaded_at")
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+
+
+class Run:
+    def __init__(self, spark, root):
+        self.spark, self.layers, self.place = spark, MonthLayers(spark, str(root)), str(root / "ckpt")
+
+    def land(self, rows, hour):
+        frame = self.spark.createDataFrame(rows, SCHEMA)
+        self.schema = bronze_frame(frame, loaded(hour), "f").schema
+        self.layers.load_bars(frame, loaded(hour), "f")
+
+    def stream(self, **how):
+        return silver_stream(
+            self.spark, self.layers.bronze, self.layers.silver, self.place, self.schema, **how
+        )
+
+    def check(self):
+        assert content(self.layers.silver.read()) == content(silver_frame(self.layers.bronze.read()))
+
+
+FIRST = [bar("A", d, 5.0 + d, 0) for d in range(4)] + [
+    bar("B", 0, 9.0, 0), bar(None, 1, 3.0, 0), bar("C", None, 4.0, 0), bar("A", 1, 7.5, 1),
+]
+#: A correction, one that makes the key invalid, a new key, an unnamed symbol, a late older copy.
+SECOND = [bar("A", 0, 6.25, 2), bar("A", 2, 8.0, 2, high=1.0), bar("D", 3, 2.0, 2),
+          bar(None, 1, 3.5, 2), bar("C", None, 4.5, 2)]
+
+
+def test_two_parts_with_a_restart_equal_the_batch_rule(spark, tmp_path):
+    run = Run(spark, tmp_path)
+    run.land(FIRST, 1)
+    assert run.stream() == 1
+    run.check()
+    before = {m: run.layers.silver.files(m) for m in (202401, 202402, None)}
+    assert run.stream() == 0  # a start without new files changes nothing
+    assert {m: run.layers.silver.files(m) for m in before} == before
+    run.land(SECOND, 2)
+    run.stream(max_files_per_trigger=1)
+    run.check()
+    # rows loaded earlier than what the state holds change nothing, in a later file too
+    run.land([bar("A", 0, 99.0, 3), bar("B", 0, 98.0, 3)], 0)
+    run.stream()
+    run.check()
+    assert 99.0 not in [r.close for r in run.layers.silver.read().collect()]
+
+
+def test_a_batch_that_broke_off_while_replacing_is_made_good(spark, tmp_path, monkeypatch):
+    run = Run(spark, tmp_path)
+    run.land(FIRST, 1)
+    run.stream()
+    run.land(SECOND, 2)
+
+    def lost(self, rows, months):
+        """The old months are gone, the new ones not there."""
+        for month in months:
+            folder = self._folder(month)
+            system, path = self._files()
+            system.delete(path(folder), True)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(MonthTable, "replace", lost)
+        with pytest.raises(Exception, match="lost"):
+            run.stream()
+    assert run.layers.silver.files(202402) == set()
+    assert run.stream() == 1
+    run.check()
+
+
+def test_one_day_leaves_other_months_alone(spark, tmp_path):
+    run = Run(spark, tmp_path)
+    run.land(FIRST, 1)
+    run.stream()
+    january = run.layers.silver.files(202401)
+    run.land([bar("B", 3, 1.5, 2)], 2)
+    run.stream()
+    run.check()
+    assert run.layers.silver.files(202401) == january
+
+
+def test_a_bronze_without_rows(spark, tmp_path):
+    run = Run(spark, tmp_path)
+    run.land([bar("A", 0, -1.0, 0)], 1)  # one invalid row: Silver has none
+    run.stream()
+    run.land([bar("A", 0, 2.0, 1)], 2)
+    run.stream()
+    run.check()

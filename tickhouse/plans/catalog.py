@@ -43,6 +43,7 @@ from tickhouse.sources.history import parse_history_frame
 from tickhouse.sources.responses import parse_daily_responses, responses_from_bars
 from tickhouse.sources.tables import VersionedTable, layer_path
 from tickhouse.streaming.bronze_stream import bronze_stream
+from tickhouse.streaming.silver_stream import silver_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,6 +119,29 @@ def q_silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.silver.read()
 
 
+def q_medallion_stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping Bronze loads streamed into Silver, the stream started anew after each."""
+    layers = MonthLayers(spark, new_scratch_dir(spark, "lakehouse"))
+    checkpoint = new_scratch_dir(spark, "checkpoint")
+    for frame, when in _overlapping_loads(raw_bars(spark, sf_dir)):
+        layers.load_bars(frame, loaded_at=when, source_file=oracle.SOURCE_FILE)
+        schema = bronze_frame(frame, when, oracle.SOURCE_FILE).schema
+        silver_stream(
+            spark, layers.bronze, layers.silver, checkpoint, schema, loaded_at=fixed_loaded_at()
+        )
+    return layers.silver.read()
+
+
+def q_gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping Bronze loads; Gold's moments of the touched months follow each."""
+    layers = MonthLayers(spark, new_scratch_dir(spark, "lakehouse"))
+    for frame, when in _overlapping_loads(raw_bars(spark, sf_dir)):
+        months = layers.load_bars(frame, loaded_at=when, source_file=oracle.SOURCE_FILE)
+        layers.refresh_silver(months, loaded_at=fixed_loaded_at())
+        layers.refresh_moments(months)
+    return _round_gold(layers.gold())
+
+
 def q_stg_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two overlapping Bronze loads; the touched months of staging follow each."""
     layers = MonthLayers(spark, new_scratch_dir(spark, "lakehouse"))
@@ -417,6 +441,8 @@ QUERIES: dict[str, Query] = {
     "weekly_performance_day_grain": q_weekly_performance_day_grain,
     "silver_prices": q_silver_prices,
     "silver_incremental": q_silver_incremental,
+    "medallion_stream_silver": q_medallion_stream_silver,
+    "gold_incremental": q_gold_incremental,
     "gold_daily_summary": q_gold_daily_summary,
     "list_symbols": q_list_symbols,
     "symbol_detail": q_symbol_detail,
@@ -453,6 +479,8 @@ ORACLE_SQL: dict[str, str] = {
     "weekly_performance_day_grain": oracle.WEEKLY_DAY_SQL,
     "silver_prices": oracle.SILVER_SQL,
     "silver_incremental": oracle.SILVER_INCREMENTAL_SQL,
+    "medallion_stream_silver": oracle.SILVER_INCREMENTAL_SQL,
+    "gold_incremental": oracle.GOLD_INCREMENTAL_SQL,
     "gold_daily_summary": oracle.GOLD_SQL,
     "list_symbols": oracle.GOLD_SQL,
     "symbol_detail": oracle.SYMBOL_DETAIL_SQL,

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tickhouse.operators.indicators import fact_daily_performance, price_indicators
 from tickhouse.operators.intervals import changed_keys, redo_intervals, redone_rows
 from tickhouse.operators.medallion import bronze_frame, silver_frame
+from tickhouse.operators.moments import MONTH_START, month_moments, summary_of_moments
 from tickhouse.operators.staging import RAW_BAR_COLUMNS, latest_valid_bars, stage_types
 from tickhouse.operators.weekly import weekly_performance
 from tickhouse.session import new_scratch_dir
@@ -41,6 +42,7 @@ class MonthLayers:
         self.pending = f"{root.rstrip('/')}/staging/changed_bars"
         self.bronze = table("bronze/daily_prices", "date")
         self.silver = table("silver/daily_prices", "date")
+        self.moments = table("gold/month_moments", MONTH_START)
         self.staged = table("staging/latest_bars", "date")
         self.fact = table("marts/fact_daily_performance", "trade_date")
         self.weekly = table("marts/agg_weekly_performance", "week_start")
@@ -57,6 +59,14 @@ class MonthLayers:
     def refresh_silver(self, months: Months, loaded_at=None) -> None:
         self.silver.replace(silver_frame(self.bronze.read(months), loaded_at=loaded_at), months)
 
+    def refresh_moments(self, months: Months) -> None:
+        """Replace Gold's moments of these months by those of Silver as it is now."""
+        self.moments.replace(month_moments(self.silver.read(months)), months)
+
+    def gold(self, loaded_at=False) -> DataFrame:
+        """The per-symbol summary, from one row per symbol and month."""
+        return summary_of_moments(self.moments.read(), loaded_at)
+
     def refresh_staged(self, months: Months) -> None:
         """Rewrite the months of staging; the keys of changed bars wait in a folder for the marts."""
         new = latest_valid_bars(self.bronze.read(months).select(*RAW_BAR_COLUMNS))
@@ -139,9 +149,10 @@ class MonthLayers:
         self.weekly.replace(stay.unionByName(new), months)
 
     def refresh(self, months: Months, loaded_at=None, updated_at=False) -> None:
-        """Silver, staging and both marts after bars of ``months`` were loaded."""
+        """Silver, Gold, staging and both marts after bars of ``months`` were loaded."""
         if months:
             self.refresh_silver(months, loaded_at)
+            self.refresh_moments(months)
             self.refresh_staged(months)
         folders = self.waiting()
         if folders:
