@@ -34,13 +34,14 @@ from tickhouse.session import new_scratch_dir
 from tickhouse.sources.adapter import raw_bars
 from tickhouse.sources.files import (
     read_prices_csv,
+    read_prices_csv_checked,
     read_raw,
     write_prices_csv,
     write_raw_daily,
     write_raw_history,
 )
 from tickhouse.sources.history import parse_history_frame
-from tickhouse.sources.responses import parse_daily_responses, responses_from_bars
+from tickhouse.sources.responses import parse_daily_responses, response_documents
 from tickhouse.sources.tables import VersionedTable, layer_path
 from tickhouse.streaming.bronze_stream import bronze_stream
 from tickhouse.streaming.silver_stream import silver_stream
@@ -284,17 +285,17 @@ def q_safe_divide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    responses = responses_from_bars(raw_bars(spark, sf_dir))
+    responses = response_documents(raw_bars(spark, sf_dir), oracle.RESPONSE_SECONDS)
     return parse_daily_responses(responses, ingested_at="ingested_at")
 
 
 def q_parse_daily_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bars encoded as API responses and parsed back (accepted rows)."""
+    """Bars encoded as API responses of many dates and parsed back (accepted rows)."""
     return _parsed(spark, sf_dir)[0]
 
 
 def q_parse_daily_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses rejected whole because a field does not parse."""
+    """Responses rejected whole because a field of one of their dates does not parse."""
     return _parsed(spark, sf_dir)[1]
 
 
@@ -340,6 +341,31 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_prices_csv(spark, path, timestamp_type=NTZ)
 
 
+def _checked_csv(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Bars as CSV lines, some of them damaged, read with their rejects."""
+    close = F.coalesce(F.col("close").cast("decimal(18,4)").cast("string"), F.lit("n/a"))
+    cut = F.col("close").isNotNull() & (F.col("volume") < 0)
+    dated = F.col("close").isNotNull() & (F.col("volume") >= 0) & (F.col("open") < 0)
+    date = F.concat(F.when(dated, F.lit("D")).otherwise(F.lit("")), F.date_format("date", "yyyy-MM-dd"))
+    prices = [F.col(c).cast("decimal(18,4)").cast("string") for c in ("open", "high", "low")]
+    # concat_ws leaves nulls out: a cut line ends after its sixth field
+    volume = F.when(~cut, F.col("volume").cast("string"))
+    line = F.concat_ws(",", "symbol", date, *prices, close, volume)
+    path = new_scratch_dir(spark, "csv-lines")
+    raw_bars(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return read_prices_csv_checked(spark, path, timestamp_type=NTZ, header=False)
+
+
+def q_csv_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The good lines of CSV files that hold bad ones too."""
+    return _checked_csv(spark, sf_dir)[0]
+
+
+def q_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bad lines of CSV files, with their text and what is wrong with them."""
+    return _checked_csv(spark, sf_dir)[1].drop("source_file")
+
+
 def q_bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw landing loaded into a Bronze versioned table (file column left out)."""
     raw_root = new_scratch_dir(spark, "raw")
@@ -459,6 +485,8 @@ QUERIES: dict[str, Query] = {
     "raw_daily_roundtrip": q_raw_daily_roundtrip,
     "raw_history_roundtrip": q_raw_history_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_accepted": q_csv_accepted,
+    "csv_rejects": q_csv_rejects,
     "bronze_load": q_bronze_load,
     "bronze_schema_merge": q_bronze_schema_merge,
     "table_snapshot": q_table_snapshot,
@@ -497,6 +525,8 @@ ORACLE_SQL: dict[str, str] = {
     "raw_daily_roundtrip": oracle.RAW_SQL,
     "raw_history_roundtrip": oracle.HISTORY_SQL,
     "csv_roundtrip": oracle.CSV_SQL,
+    "csv_accepted": oracle.CSV_ACCEPTED_SQL,
+    "csv_rejects": oracle.CSV_REJECTS_SQL,
     "bronze_load": oracle.BRONZE_LOAD_SQL,
     "bronze_schema_merge": oracle.SCHEMA_MERGE_SQL,
     "table_snapshot": oracle.RAW_SQL,

@@ -126,3 +126,60 @@ def write_prices_csv(df: DataFrame, path: str) -> str:
     cols = [f.name for f in SAMPLE_CSV.fields]
     df.select(*cols).write.mode("overwrite").option("header", True).csv(path)
     return path
+
+
+BAD_LINE = "_bad_line"
+FIELD_COUNT = "field_count"
+
+
+def read_prices_csv_checked(
+    spark: SparkSession,
+    path: str,
+    timestamp_type: T.DataType | None = None,
+    header: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """``(bars, rejects)`` of CSV files in the sample shape; a bad line ends nothing.
+
+    ``bars`` are those lines whose seven fields all parse; an empty field is
+    null, as in ``read_prices_csv``.  ``rejects`` has one row per other line:
+    ``line`` (its text), ``reason`` (``field_count``, or ``bad_`` and the first
+    field that does not parse) and ``source_file``.  Repeated lines stay
+    repeated, empty lines are skipped, a file of a header only gives no rows.
+
+    One scan each, no shuffle: lines are read as text and parsed by
+    ``from_csv``, every column whatever is selected, as a pruned one would hide
+    its bad values.  ``header`` drops the lines that list the column names.
+    """
+    names = SAMPLE_CSV.fieldNames()
+    schema = T.StructType([*SAMPLE_CSV.fields, T.StructField(BAD_LINE, T.StringType())])
+    options = {
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": BAD_LINE,
+        "dateFormat": "yyyy-MM-dd",
+    }
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    if header:
+        lines = lines.where(F.trim("value") != ",".join(names))
+    parsed = lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.from_csv("value", schema.simpleString(), options).alias("bar"),
+    )
+    good = F.col("bar")[BAD_LINE].isNull()
+    stamp = F.lit(None).cast(timestamp_type or T.TimestampType())
+    bar = F.struct(*[F.col("bar")[name].alias(name) for name in names], stamp.alias("ingested_at"))
+    # a generator, not a filter: a filter would be pushed below and parse again
+    bars = parsed.select(F.inline(F.when(good, F.array(bar))))
+    fields = F.split("value", ",", -1)
+    unread = [
+        F.when(F.col("bar")[name].isNull() & (F.trim(fields[i]) != ""), F.lit(f"bad_{name}"))
+        for i, name in enumerate(names)
+    ]
+    reason = F.when(F.size(fields) != len(names), F.lit(FIELD_COUNT)).otherwise(F.coalesce(*unread))
+    reject = F.struct(
+        F.col("value").alias("line"),
+        F.coalesce(reason, F.lit("unreadable")).alias("reason"),
+        "source_file",
+    )
+    rejects = parsed.select(F.inline(F.when(~good, F.array(reject))))
+    return bars, rejects

@@ -207,3 +207,46 @@ def responses_from_bars(bars: DataFrame) -> DataFrame:
         series.alias(RESPONSE_SERIES_KEY),
     )
     return bars.select("symbol", "ingested_at", F.to_json(doc).alias("body"))
+
+
+def response_documents(bars: DataFrame, seconds: int = 300) -> DataFrame:
+    """Encode bars as responses of many dates: one per symbol and block of load times.
+
+    A document lists its bars in the order of their load times, so a date that
+    is loaded twice stands there twice, and carries its latest load time.  It
+    holds what one symbol loads within ``seconds``: the block is the bound of
+    the document's size, whatever the length of the history.
+    """
+    fields = F.create_map(
+        *[
+            part
+            for name, key in RESPONSE_FIELDS.items()
+            for part in (F.lit(key), F.col(name).cast("string"))
+        ]
+    )
+    entry = F.concat(
+        # a bar without a date gets a key that no parser reads: it rejects the response
+        F.lit('"'),
+        F.coalesce(F.date_format("date", "yyyy-MM-dd"), F.lit("")),
+        F.lit('":'),
+        F.to_json(fields),
+    )
+    loaded = F.unix_micros(F.col("ingested_at").cast("timestamp"))
+    block = F.floor(loaded / F.lit(seconds * 1_000_000))
+    listed = bars.groupBy("symbol", block.alias("block")).agg(
+        F.max("ingested_at").alias("ingested_at"),
+        # text objects put together by hand: a map cannot hold a key twice
+        F.array_sort(F.collect_list(F.struct("ingested_at", entry.alias("entry")))).alias("bars"),
+    )
+    head = F.to_json(F.create_map(F.lit("2. Symbol"), F.col("symbol")))
+    return listed.select(
+        "symbol",
+        "ingested_at",
+        F.concat(
+            F.lit('{"Meta Data":'),
+            F.coalesce(head, F.lit("{}")),
+            F.lit(f',"{RESPONSE_SERIES_KEY}":{{'),
+            F.array_join("bars.entry", ","),
+            F.lit("}}"),
+        ).alias("body"),
+    )
