@@ -42,6 +42,7 @@ from tickhouse.sources.files import (
 )
 from tickhouse.sources.history import parse_history_frame
 from tickhouse.sources.responses import parse_daily_responses, response_documents
+from tickhouse.sources.served import ServedBars
 from tickhouse.sources.tables import VersionedTable, layer_path
 from tickhouse.streaming.bronze_stream import bronze_stream
 from tickhouse.streaming.silver_stream import silver_stream
@@ -223,6 +224,24 @@ def q_price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _served(spark: SparkSession, sf_dir: str) -> ServedBars:
+    served = ServedBars(spark, new_scratch_dir(spark, "served"))
+    served.write(_silver(spark, sf_dir))
+    return served
+
+
+def q_symbol_detail_served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest 30 bars of one symbol from the written, clustered Silver."""
+    return _served(spark, sf_dir).symbol_detail("sym3")
+
+
+def q_price_history_served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One symbol in a closed date range from the written, clustered Silver, newest 100."""
+    return _served(spark, sf_dir).price_history(
+        "sym5", dt.date(1996, 1, 1), dt.date(1999, 12, 31), limit=100
+    )
+
+
 def _raw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.dq_report(
         raw_bars(spark, sf_dir),
@@ -473,6 +492,8 @@ QUERIES: dict[str, Query] = {
     "list_symbols": q_list_symbols,
     "symbol_detail": q_symbol_detail,
     "price_history": q_price_history,
+    "symbol_detail_served": q_symbol_detail_served,
+    "price_history_served": q_price_history_served,
     "dq_report": q_dq_report,
     "silver_dq_report": q_silver_dq_report,
     "dq_summary": q_dq_summary,
@@ -513,6 +534,8 @@ ORACLE_SQL: dict[str, str] = {
     "list_symbols": oracle.GOLD_SQL,
     "symbol_detail": oracle.SYMBOL_DETAIL_SQL,
     "price_history": oracle.PRICE_HISTORY_SQL,
+    "symbol_detail_served": oracle.SYMBOL_DETAIL_SQL,
+    "price_history_served": oracle.PRICE_HISTORY_SQL,
     "dq_report": oracle.DQ_REPORT_SQL,
     "silver_dq_report": oracle.SILVER_DQ_REPORT_SQL,
     "dq_summary": oracle.DQ_SUMMARY_SQL,
