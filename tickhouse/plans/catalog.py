@@ -29,6 +29,7 @@ from tickhouse.plans.flow import (
     load_bronze,
     run_medallion,
 )
+from tickhouse.plans.ingest import ingest_responses
 from tickhouse.plans.monthly import MonthLayers
 from tickhouse.session import new_scratch_dir
 from tickhouse.sources.adapter import raw_bars
@@ -318,6 +319,14 @@ def q_parse_daily_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parsed(spark, sf_dir)[1]
 
 
+def q_ingest_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses of many dates ingested into the raw layer, read back from there."""
+    root = new_scratch_dir(spark, "raw")
+    responses = response_documents(raw_bars(spark, sf_dir), oracle.RESPONSE_SECONDS)
+    ingest_responses(spark, responses, root)
+    return read_raw(spark, root, "daily", timestamp_type=NTZ)
+
+
 def _vendor_frame(raw: DataFrame) -> DataFrame:
     """Bars in the vendor's history shape, with sub-tick noise to round off."""
     return raw.select(
@@ -502,6 +511,7 @@ QUERIES: dict[str, Query] = {
     "safe_divide": q_safe_divide,
     "parse_daily_responses": q_parse_daily_responses,
     "parse_daily_rejects": q_parse_daily_rejects,
+    "ingest_responses": q_ingest_responses,
     "parse_history_frame": q_parse_history_frame,
     "raw_daily_roundtrip": q_raw_daily_roundtrip,
     "raw_history_roundtrip": q_raw_history_roundtrip,
@@ -544,6 +554,7 @@ ORACLE_SQL: dict[str, str] = {
     "safe_divide": oracle.SAFE_DIVIDE_SQL,
     "parse_daily_responses": oracle.PARSED_RESPONSES_SQL,
     "parse_daily_rejects": oracle.RESPONSE_REJECTS_SQL,
+    "ingest_responses": oracle.PARSED_RESPONSES_SQL,
     "parse_history_frame": oracle.HISTORY_SQL,
     "raw_daily_roundtrip": oracle.RAW_SQL,
     "raw_history_roundtrip": oracle.HISTORY_SQL,

@@ -76,7 +76,13 @@ def _entry_bad(x: Column) -> Column:
     )
 
 
-def _staged(responses: DataFrame, body: str, symbol: str, ingested_at) -> DataFrame:
+def checked_responses(
+    responses: DataFrame,
+    body: str = "body",
+    symbol: str = "symbol",
+    ingested_at: Column | str | None = None,
+) -> DataFrame:
+    """One row per response: its entries, and how many of them cannot be read."""
     if ingested_at is None:
         stamp = F.current_timestamp()
     elif isinstance(ingested_at, str):
@@ -142,7 +148,11 @@ def parse_daily_responses(
     nothing) rather than by a filter: the optimizer pushes a filter below
     the projection and would re-run the JSON parse once per predicate.
     """
-    staged = _staged(responses, body, symbol, ingested_at)
+    return accepted_and_rejected(checked_responses(responses, body, symbol, ingested_at))
+
+
+def accepted_and_rejected(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(prices, rejects)`` of what ``checked_responses`` returns."""
     ok = ~F.col("_malformed") & (F.col("_bad_entries") == 0)
     prices = staged.select(
         "symbol", "ingested_at", F.explode(F.when(ok, F.col("_entries"))).alias("e")
