@@ -70,11 +70,13 @@ def high_volume_flag(
     return F.coalesce(F.col(volume) > F.col(avg) * F.lit(factor), F.lit(False))
 
 
-def price_indicators(stg: DataFrame, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
+def price_indicators(
+    stg: DataFrame, by: tuple[str, ...] = ("symbol",), keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Lag, return, moving averages, volatility, trend and volume flag.
 
     ``by`` are the columns that tell one history from another; those besides
-    the symbol are kept after the indicator columns.
+    the symbol are kept after the indicator columns, as are those of ``keep``.
 
     The volatility reads the *rounded* daily return, as the model does,
     so the return is materialised before the framed aggregates.
@@ -111,6 +113,7 @@ def price_indicators(stg: DataFrame, by: tuple[str, ...] = ("symbol",)) -> DataF
         high_volume_flag().alias("high_volume_flag"),
         "ingested_at",
         *[c for c in by if c != "symbol"],
+        *keep,
     )
 
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -134,34 +134,95 @@ def dq_report(
         return out
     unique_keys = keysets
 
-    row_aggs: list[Column] = []
+    row_aggs = _row_measures(checks, df.schema)
+    if unique_keys:
+        totals = _summed(_per_key(df, checks, unique_keys[0], row_aggs), checks)
+    else:
+        totals = df.agg(F.count(F.lit(1)).alias("_rows"), *row_aggs)
+
+    return _report(totals, checks, table_name, today, executed_at)
+
+
+def _per_key(
+    df: DataFrame, checks: list[Check], key: tuple[str, ...], row_aggs: list[Column], *also: Column
+) -> DataFrame:
+    """Measures of each key value: rows, repeats and what the row checks found."""
+    grouped = df.groupBy(*key, *also).agg(F.count(F.lit(1)).alias("_rows"), *row_aggs)
+    return grouped.withColumn("_dup", F.col("_rows") - 1)
+
+
+def _merges(checks: list[Check]) -> list[Column]:
+    """How measures of parts make those of the whole."""
+    merged = [F.sum("_rows").alias("_rows"), F.sum("_dup").alias("_dup")]
+    for i, ck in enumerate(checks):
+        if ck.kind != "unique":
+            merge = F.max if ck.kind == "freshness" else F.sum
+            merged.append(merge(f"_f{i}").alias(f"_f{i}"))
+    return merged
+
+
+def _summed(parts: DataFrame, checks: list[Check]) -> DataFrame:
+    return parts.agg(*_merges(checks))
+
+
+def part_measures(df: DataFrame, checks: list[Check], part: Column) -> DataFrame:
+    """Measures of the checks, one row for each value of ``part`` (an aliased column).
+
+    Rows of equal unique keys must lie in one part, so that a part's repeats
+    can be counted in it alone; with several unique keys there is no such
+    part in general, and the checks are refused.  A part that changes is
+    measured anew and replaces its row; ``report_of_parts`` adds up the rest.
+    """
+    keys = list(dict.fromkeys(ck.columns for ck in checks if ck.kind == "unique"))
+    if len(keys) > 1:
+        raise ValueError("one unique key at most can be measured by parts")
+    name = df.select(part).columns[0]
+    aggs = _row_measures(checks, df.schema)
+    if not keys:
+        return df.groupBy(part).agg(
+            F.count(F.lit(1)).alias("_rows"), F.lit(0).cast("bigint").alias("_dup"), *aggs
+        )
+    by_key = _per_key(df, checks, keys[0], aggs, part)
+    return by_key.groupBy(name).agg(*_merges(checks))
+
+
+def report_of_parts(
+    parts: DataFrame,
+    checks: list[Check],
+    table_name: str,
+    today: dt.date | None = None,
+    executed_at=None,
+) -> DataFrame:
+    """``dq_report`` of the whole table from the measures of its parts."""
+    return _report(_summed(parts, checks), checks, table_name, today, executed_at)
+
+
+def _row_measures(checks: list[Check], schema: T.StructType) -> list[Column]:
+    """One aggregate for each check that looks at rows: failures, or the newest date."""
+    found: list[Column] = []
     for i, ck in enumerate(checks):
         fail = _row_failure(ck)
         if fail is not None:
-            row_aggs.append(F.count_if(fail).alias(f"_f{i}"))
+            found.append(F.count_if(fail).alias(f"_f{i}"))
         elif ck.kind == "freshness":
             # a column that holds no dates has no newest date: the check warns
             dated = isinstance(
-                df.schema[ck.columns[0]].dataType,
+                schema[ck.columns[0]].dataType,
                 (T.DateType, T.TimestampType, T.TimestampNTZType),
             )
             day = F.col(ck.columns[0]).cast("date") if dated else F.lit(None).cast("date")
-            row_aggs.append(F.max(day).alias(f"_f{i}"))
+            found.append(F.max(day).alias(f"_f{i}"))
+    return found
 
-    if unique_keys:
-        grouped = df.groupBy(*unique_keys[0]).agg(F.count(F.lit(1)).alias("_n"), *row_aggs)
-        totals = grouped.agg(
-            F.sum("_n").alias("_rows"),
-            F.sum(F.col("_n") - 1).alias("_dup"),
-            *[
-                (F.max(a) if checks[int(a[2:])].kind == "freshness" else F.sum(a)).alias(a)
-                for a in grouped.columns
-                if a.startswith("_f")
-            ],
-        )
-    else:
-        totals = df.agg(F.count(F.lit(1)).alias("_rows"), *row_aggs)
 
+def _report(
+    totals: DataFrame,
+    checks: list[Check],
+    table_name: str,
+    today: dt.date | None,
+    executed_at,
+) -> DataFrame:
+    """One record per check from the one row of measures."""
     rows = F.coalesce(F.col("_rows"), F.lit(0)).cast("bigint")
     ref_day = F.lit(today) if today is not None else F.current_date()
     records = []
@@ -202,6 +263,54 @@ def dq_report(
     return report.withColumn("executed_at", stamp)
 
 
+class WriteChecks:
+    """Checks measured by the job that writes a frame, without a scan of their own.
+
+    ``watch`` puts the measures on the frame that is written; do so after its
+    last shuffle, where each written row is counted once even if tasks or
+    executors are lost.  Once the write has run, ``report`` gives what
+    ``dq_report`` would find in the written rows.
+
+    Counting distinct keys needs a shuffle, so a uniqueness check is only
+    taken where its key is named in ``deduped``: the writer has just kept one
+    row of each.
+    """
+
+    def __init__(self, checks: list[Check], deduped: tuple[str, ...] = ()):
+        for ck in checks:
+            if ck.kind == "unique" and set(ck.columns) != set(deduped):
+                raise ValueError(f"{ck.name} needs rows deduplicated by {list(ck.columns)}")
+        self.checks = checks
+        self._observation = Observation()
+        self._schema: T.StructType | None = None
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        measures = [F.count(F.lit(1)).alias("_rows"), *_row_measures(self.checks, df.schema)]
+        self._schema = df.select(*measures).schema
+        return df.observe(self._observation, *measures)
+
+    @property
+    def watched(self) -> bool:
+        """Whether a frame carries the measures."""
+        return self._schema is not None
+
+    def report(
+        self,
+        spark: SparkSession,
+        table_name: str,
+        today: dt.date | None = None,
+        executed_at=None,
+    ) -> DataFrame:
+        """The report of the written rows; waits for the write."""
+        if self._schema is None:
+            raise ValueError("no frame is watched")
+        found = self._observation.get
+        row = tuple(found.get(name) for name in self._schema.names)
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in self._schema.fields])
+        totals = spark.createDataFrame([row], schema).withColumn("_dup", F.lit(0))
+        return _report(totals, self.checks, table_name, today, executed_at)
+
+
 def _around(before: str, number: Column, after: str) -> Column:
     """A fixed text around a number; names in it may hold any character."""
     return F.concat(F.lit(before), number.cast("string"), F.lit(after))

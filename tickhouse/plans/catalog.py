@@ -21,9 +21,11 @@ from tickhouse.operators import quality as dq
 from tickhouse.operators.indicators import fact_daily_performance, price_indicators
 from tickhouse.operators.medallion import bronze_frame, gold_daily_summary, silver_frame
 from tickhouse.operators.serving import list_symbols, price_history, symbol_detail
+from tickhouse.operators.slices import sliced_indicators
 from tickhouse.operators.staging import clean_staging, stage_types, valid_price_predicate
 from tickhouse.operators.weekly import weekly_performance
 from tickhouse.plans import oracle
+from tickhouse.plans.daily import run_daily
 from tickhouse.plans.flow import (
     build_marts,
     load_bronze,
@@ -33,6 +35,7 @@ from tickhouse.plans.ingest import ingest_responses
 from tickhouse.plans.monthly import MonthLayers
 from tickhouse.session import new_scratch_dir
 from tickhouse.sources.adapter import raw_bars
+from tickhouse.sources.bucketed import BucketedBars
 from tickhouse.sources.files import (
     read_prices_csv,
     read_prices_csv_checked,
@@ -42,10 +45,11 @@ from tickhouse.sources.files import (
     write_raw_history,
 )
 from tickhouse.sources.history import parse_history_frame
+from tickhouse.sources.months import MonthTable
 from tickhouse.sources.responses import parse_daily_responses, response_documents
 from tickhouse.sources.served import ServedBars
 from tickhouse.sources.tables import VersionedTable, layer_path
-from tickhouse.streaming.bronze_stream import bronze_stream
+from tickhouse.streaming.bronze_batches import bronze_batches, read_batches
 from tickhouse.streaming.silver_stream import silver_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +73,12 @@ def _overlapping_loads(raw: DataFrame) -> list[tuple[DataFrame, F.Column]]:
     ]
 
 
+def _before_and_after(raw: DataFrame) -> list[DataFrame]:
+    """The bars before the split date, then the others."""
+    late = F.coalesce(F.col("date") >= F.lit(SPLIT_DATE), F.lit(True))
+    return [raw.where(~late), raw.where(late)]
+
+
 def q_stg_daily_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging model: filter, newest row per (symbol, date), typed columns."""
     return clean_staging(raw_bars(spark, sf_dir))
@@ -205,6 +215,20 @@ def q_gold_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_gold(gold_daily_summary(_silver(spark, sf_dir)))
 
 
+def q_fact_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact mart computed in slices of 128 rows, each with the rows it looks back to."""
+    found = sliced_indicators(clean_staging(raw_bars(spark, sf_dir)), rows=128, block_days=365)
+    return fact_daily_performance(found, updated_at=False)
+
+
+def q_fact_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact mart from bars bucketed by symbol: no exchange in its plan."""
+    place = new_scratch_dir(spark, "bucketed")
+    bars = BucketedBars(spark, f"tickhouse_{place[-12:]}", place)
+    bars.write(raw_bars(spark, sf_dir), buckets=8)
+    return bars.fact(updated_at=False)
+
+
 def q_list_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold written as a versioned table and served back by list_symbols."""
     root = new_scratch_dir(spark, "lakehouse")
@@ -266,6 +290,23 @@ def q_silver_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_silver_dq_on_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suite on Silver, measured by the job that writes it."""
+    checks = dq.WriteChecks(dq.standard_suite(), deduped=("symbol", "date"))
+    checks.watch(_silver(spark, sf_dir)).write.parquet(new_scratch_dir(spark, "silver"))
+    return checks.report(spark, "daily_prices", today=DQ_TODAY, executed_at=False)
+
+
+def q_silver_dq_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suite on Silver after two loads, from the measures of its months."""
+    layers, raw = MonthLayers(spark, new_scratch_dir(spark, "lakehouse")), raw_bars(spark, sf_dir)
+    for frame in _before_and_after(raw):
+        months = layers.load_bars(frame, source_file=oracle.SOURCE_FILE)
+        layers.refresh_silver(months)
+        layers.refresh_checks(months)
+    return layers.checks_report(today=DQ_TODAY, executed_at=False)
+
+
 def q_dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals over the raw-bar quality report."""
     return dq.dq_summary(_raw_report(spark, sf_dir))
@@ -395,24 +436,36 @@ def q_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw landing loaded into a Bronze versioned table (file column left out)."""
+    """Daily raw landing loaded into Bronze by path (file column left out)."""
     raw_root = new_scratch_dir(spark, "raw")
-    root = new_scratch_dir(spark, "lakehouse")
+    layers = MonthLayers(spark, new_scratch_dir(spark, "lakehouse"))
     write_raw_daily(raw_bars(spark, sf_dir), raw_root)
-    load_bronze(spark, raw_root, root, loaded_at=fixed_loaded_at(), timestamp_type=NTZ)
-    bronze = VersionedTable(spark, layer_path(root, "bronze")).read()
-    return bronze.drop("_source_file")
+    layers.load_raw(raw_root, loaded_at=fixed_loaded_at(), timestamp_type=NTZ)
+    return layers.bronze.read().drop("_source_file")
+
+
+def _history(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    return parse_history_frame(_vendor_frame(raw), ingested_at="ingested_at")
+
+
+def q_bronze_load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily and history raw folders loaded into one Bronze by path; its schema widens."""
+    raw_root = new_scratch_dir(spark, "raw")
+    layers = MonthLayers(spark, new_scratch_dir(spark, "lakehouse"))
+    early, late = _before_and_after(raw_bars(spark, sf_dir))
+    write_raw_daily(early, raw_root)
+    write_raw_history(_history(spark, late), raw_root)
+    for kind in ("daily", "history"):
+        layers.load_raw(raw_root, kind, loaded_at=fixed_loaded_at(), timestamp_type=NTZ)
+    return layers.bronze.read().drop("_source_file")
 
 
 def q_bronze_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily then history-shaped appends; the table schema widens."""
-    raw = raw_bars(spark, sf_dir)
-    table = VersionedTable(spark, new_scratch_dir(spark, "table"))
-    table.append(raw.where(F.col("date") < F.lit(SPLIT_DATE)))
-    history = parse_history_frame(
-        _vendor_frame(raw.where(F.col("date") >= F.lit(SPLIT_DATE))), ingested_at="ingested_at"
-    )
-    table.append(history, merge_schema=True)
+    """Daily then history-shaped appends to month folders; the schema widens."""
+    early, late = _before_and_after(raw_bars(spark, sf_dir))
+    table = MonthTable(spark, new_scratch_dir(spark, "table"))
+    table.append(early)
+    table.append(_history(spark, late))
     return table.read()
 
 
@@ -443,13 +496,11 @@ def q_bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw.repartitionByRange(3, "ingested_at").write.parquet(landing)
     table_path = new_scratch_dir(spark, "bronze")
     checkpoint = new_scratch_dir(spark, "checkpoint")
-    for _ in range(2):  # the rerun finds nothing new and appends nothing
-        bronze_stream(
-            spark, landing, table_path, checkpoint=checkpoint, schema=raw.schema,
-            max_files_per_trigger=1,
+    for _ in range(2):  # the rerun finds nothing new and adds nothing
+        bronze_batches(
+            spark, landing, table_path, checkpoint, schema=raw.schema, max_files_per_trigger=1
         )
-    bronze = VersionedTable(spark, table_path).read()
-    return bronze.drop("_source_file", "_bronze_loaded_at")
+    return read_batches(spark, table_path).drop("_source_file", "_bronze_loaded_at")
 
 
 def q_medallion_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -463,6 +514,24 @@ def q_medallion_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         loaded_at=fixed_loaded_at(),
         source_file=oracle.SOURCE_FILE,
     )
+    return _summary_row(spark, summary)
+
+
+def q_daily_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two daily runs on month folders, the bars from the split date on in the second."""
+    layers = MonthLayers(spark, new_scratch_dir(spark, "lakehouse"))
+    for frame in _before_and_after(raw_bars(spark, sf_dir)):
+        summary = run_daily(
+            layers,
+            frame,
+            today=DQ_TODAY,
+            loaded_at=fixed_loaded_at(),
+            source_file=oracle.SOURCE_FILE,
+        )
+    return _summary_row(spark, summary)
+
+
+def _summary_row(spark: SparkSession, summary: dict) -> DataFrame:
     d = summary["dq_summary"]
     row = (
         summary["status"],
@@ -490,6 +559,8 @@ QUERIES: dict[str, Query] = {
     "fact_daily_performance": q_fact_daily_performance,
     "fact_incremental": q_fact_incremental,
     "fact_backdated": q_fact_backdated,
+    "fact_sliced": q_fact_sliced,
+    "fact_bucketed": q_fact_bucketed,
     "weekly_incremental": q_weekly_incremental,
     "weekly_performance": q_weekly_performance,
     "weekly_performance_day_grain": q_weekly_performance_day_grain,
@@ -505,6 +576,8 @@ QUERIES: dict[str, Query] = {
     "price_history_served": q_price_history_served,
     "dq_report": q_dq_report,
     "silver_dq_report": q_silver_dq_report,
+    "silver_dq_on_write": q_silver_dq_on_write,
+    "silver_dq_incremental": q_silver_dq_incremental,
     "dq_summary": q_dq_summary,
     "dq_value_range": q_dq_value_range,
     "dq_model_tests": q_dq_model_tests,
@@ -519,11 +592,13 @@ QUERIES: dict[str, Query] = {
     "csv_accepted": q_csv_accepted,
     "csv_rejects": q_csv_rejects,
     "bronze_load": q_bronze_load,
+    "bronze_load_history": q_bronze_load_history,
     "bronze_schema_merge": q_bronze_schema_merge,
     "table_snapshot": q_table_snapshot,
     "table_latest": q_table_latest,
     "bronze_stream": q_bronze_stream,
     "medallion_run_summary": q_medallion_run_summary,
+    "daily_run_summary": q_daily_run_summary,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -533,6 +608,8 @@ ORACLE_SQL: dict[str, str] = {
     "fact_daily_performance": oracle.FACT_SQL,
     "fact_incremental": oracle.FACT_SQL,
     "fact_backdated": oracle.FACT_SQL,
+    "fact_sliced": oracle.FACT_SQL,
+    "fact_bucketed": oracle.FACT_SQL,
     "weekly_incremental": oracle.WEEKLY_WEEK_SQL,
     "weekly_performance": oracle.WEEKLY_WEEK_SQL,
     "weekly_performance_day_grain": oracle.WEEKLY_DAY_SQL,
@@ -548,6 +625,8 @@ ORACLE_SQL: dict[str, str] = {
     "price_history_served": oracle.PRICE_HISTORY_SQL,
     "dq_report": oracle.DQ_REPORT_SQL,
     "silver_dq_report": oracle.SILVER_DQ_REPORT_SQL,
+    "silver_dq_on_write": oracle.SILVER_DQ_REPORT_SQL,
+    "silver_dq_incremental": oracle.SILVER_DQ_REPORT_SQL,
     "dq_summary": oracle.DQ_SUMMARY_SQL,
     "dq_value_range": oracle.DQ_RANGE_SQL,
     "dq_model_tests": oracle.DQ_MODEL_TESTS_SQL,
@@ -562,9 +641,11 @@ ORACLE_SQL: dict[str, str] = {
     "csv_accepted": oracle.CSV_ACCEPTED_SQL,
     "csv_rejects": oracle.CSV_REJECTS_SQL,
     "bronze_load": oracle.BRONZE_LOAD_SQL,
+    "bronze_load_history": oracle.BRONZE_HISTORY_SQL,
     "bronze_schema_merge": oracle.SCHEMA_MERGE_SQL,
     "table_snapshot": oracle.RAW_SQL,
     "table_latest": oracle.TABLE_LATEST_SQL,
     "bronze_stream": oracle.BRONZE_STREAM_SQL,
     "medallion_run_summary": oracle.RUN_SUMMARY_SQL,
+    "daily_run_summary": oracle.RUN_SUMMARY_SQL,
 }

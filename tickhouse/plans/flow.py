@@ -24,7 +24,7 @@ from tickhouse.operators.indicators import (
     price_indicators,
 )
 from tickhouse.operators.medallion import bronze_frame, gold_daily_summary, silver_frame
-from tickhouse.operators.quality import dq_report, dq_summary_dict, standard_suite
+from tickhouse.operators.quality import WriteChecks, dq_report, dq_summary_dict, standard_suite
 from tickhouse.operators.staging import RAW_BAR_COLUMNS, latest_valid_bars, stage_types
 from tickhouse.operators.weekly import weekly_performance
 from tickhouse.sources.files import DAILY_DIR, read_raw
@@ -62,30 +62,43 @@ def load_bronze(
     )
 
 
-def load_silver(spark: SparkSession, root: str, loaded_at=None, incremental: bool = True) -> int:
+def load_silver(
+    spark: SparkSession,
+    root: str,
+    loaded_at=None,
+    incremental: bool = True,
+    checks: WriteChecks | None = None,
+) -> int:
     """Bring Silver up to the latest Bronze snapshot (a new overwrite version).
 
     Full rebuild: dedup and filter all of Bronze.  Incremental refresh
     (used when its preconditions hold, see ``_refresh_silver``): only the
     Bronze versions appended since Silver was built are deduplicated;
     their keys replace the old Silver rows.  Both give the same rows;
-    kept rows keep their ``_silver_loaded_at``.
+    kept rows keep their ``_silver_loaded_at``.  ``checks`` are measured by
+    the write; with nothing new nothing is written, and they stay unwatched.
     """
     bronze_t = VersionedTable(spark, layer_path(root, "bronze"))
     silver_t = VersionedTable(spark, layer_path(root, "silver"))
     bronze_version = bronze_t.latest_version()
     if incremental:
-        refreshed = _refresh_silver(bronze_t, silver_t, bronze_version, loaded_at)
+        refreshed = _refresh_silver(bronze_t, silver_t, bronze_version, loaded_at, checks)
         if refreshed is not None:
             return refreshed
     silver = silver_frame(bronze_t.read(bronze_version), loaded_at=loaded_at)
+    if checks is not None:
+        silver = checks.watch(silver)
     return silver_t.overwrite(
         silver, sort_by=SILVER_SORT, meta={"bronze_version": bronze_version}
     )
 
 
 def _refresh_silver(
-    bronze_t: VersionedTable, silver_t: VersionedTable, bronze_version: int, loaded_at
+    bronze_t: VersionedTable,
+    silver_t: VersionedTable,
+    bronze_version: int,
+    loaded_at,
+    checks: WriteChecks | None = None,
 ) -> int | None:
     """Incremental Silver refresh; None when a full rebuild is required.
 
@@ -135,6 +148,8 @@ def _refresh_silver(
     # columns in the full rebuild's order (new Bronze columns before the
     # Silver audit columns)
     out = kept.unionByName(fresh, allowMissingColumns=True).select(*fresh.columns)
+    if checks is not None:
+        out = checks.watch(out)
     return silver_t.overwrite(out, sort_by=SILVER_SORT, meta={"bronze_version": bronze_version})
 
 
@@ -344,25 +359,18 @@ def run_medallion(
     exactly-once file stream instead: each landed file is appended once,
     whatever the schedule of the runs.
 
-    No input (None, or no rows for the requested symbols) returns
-    ``{"status": "no_data", "symbols_processed": 0}``.  Checks only
+    Without input (None, or no rows for the requested symbols) the layers take
+    up what a run that broke off left in Bronze; if there is nothing, the
+    result is ``{"status": "no_data", "symbols_processed": 0}``.  Checks only
     report; they never stop Gold.  A failure while building the marts is
     caught and reported as ``models_status = "failed"``.
     """
-    if raw is None:
-        return {"status": "no_data", "symbols_processed": 0}
+    rows = processed = 0
     if stream:
         if not isinstance(raw, str) or symbols or ingest_date:
             raise ValueError("stream=True takes a landed raw root, without symbols/ingest_date")
         _stream_into_bronze(spark, raw, root, loaded_at, timestamp_type)
-        new_rows = _pending_rows(spark, root, run_models)
-        if new_rows is None:
-            return {"status": "no_data", "symbols_processed": 0}
-        rows, processed = new_rows.agg(F.count(F.lit(1)), F.count_distinct("symbol")).first()
-        if rows == 0:
-            return {"status": "no_data", "symbols_processed": 0}
-        processed = int(processed)
-    else:
+    elif raw is not None:
         if isinstance(raw, str):
             raw = read_raw(spark, raw, "daily", timestamp_type, ingest_date)
         if symbols:
@@ -370,14 +378,24 @@ def run_medallion(
         # one symbol-only scan of the input answers both "any data?" and the
         # number of symbols processed; one row reaches the driver
         rows, processed = raw.agg(F.count(F.lit(1)), F.count_distinct("symbol")).first()
-        if rows == 0:
+        if rows:
+            load_bronze(spark, raw, root, loaded_at=loaded_at, source_file=source_file)
+    if not rows:
+        # streamed rows, and what a run that broke off left to the layers
+        pending = _pending_rows(spark, root, run_models)
+        if pending is not None:
+            rows, processed = pending.agg(F.count(F.lit(1)), F.count_distinct("symbol")).first()
+        if not rows:
             return {"status": "no_data", "symbols_processed": 0}
-        processed = int(processed)
-        load_bronze(spark, raw, root, loaded_at=loaded_at, source_file=source_file)
-
-    load_silver(spark, root, loaded_at=loaded_at)
-    silver = VersionedTable(spark, layer_path(root, "silver")).read()
-    report = dq_report(silver, standard_suite(), "daily_prices", today=today)
+    processed = int(processed)
+
+    checks = WriteChecks(standard_suite(), deduped=("symbol", "date"))
+    load_silver(spark, root, loaded_at=loaded_at, checks=checks)
+    if checks.watched:
+        report = checks.report(spark, "daily_prices", today=today)
+    else:  # Silver was up to date
+        silver = VersionedTable(spark, layer_path(root, "silver")).read()
+        report = dq_report(silver, standard_suite(), "daily_prices", today=today)
     dq = dq_summary_dict(report)
 
     load_gold(spark, root, loaded_at=loaded_at)

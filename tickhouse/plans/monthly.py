@@ -13,20 +13,24 @@ same months.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickhouse.operators.indicators import fact_daily_performance, price_indicators
 from tickhouse.operators.intervals import changed_keys, redo_intervals, redone_rows
 from tickhouse.operators.medallion import bronze_frame, silver_frame
 from tickhouse.operators.moments import MONTH_START, month_moments, summary_of_moments
+from tickhouse.operators.quality import dq_report, part_measures, report_of_parts, standard_suite
 from tickhouse.operators.staging import RAW_BAR_COLUMNS, latest_valid_bars, stage_types
 from tickhouse.operators.weekly import weekly_performance
 from tickhouse.session import new_scratch_dir
-from tickhouse.sources.months import MonthTable, month_of, months_in
+from tickhouse.sources.files import read_raw
+from tickhouse.sources.months import MONTH, MonthTable, month_of, months_in
 
 Months = Iterable[int | None]
 
@@ -40,9 +44,13 @@ class MonthLayers:
 
         self.spark = spark
         self.pending = f"{root.rstrip('/')}/staging/changed_bars"
+        self.due = f"{root.rstrip('/')}/staging/due_months"
         self.bronze = table("bronze/daily_prices", "date")
         self.silver = table("silver/daily_prices", "date")
         self.moments = table("gold/month_moments", MONTH_START)
+        self.measures = MonthTable(
+            spark, f"{root.rstrip('/')}/quality/month_measures", MONTH_START, [MONTH_START]
+        )
         self.staged = table("staging/latest_bars", "date")
         self.fact = table("marts/fact_daily_performance", "trade_date")
         self.weekly = table("marts/agg_weekly_performance", "week_start")
@@ -59,14 +67,66 @@ class MonthLayers:
     def refresh_silver(self, months: Months, loaded_at=None) -> None:
         self.silver.replace(silver_frame(self.bronze.read(months), loaded_at=loaded_at), months)
 
+    def _silver(self, months: Months | None = None) -> DataFrame:
+        """Silver, also where no bar of Bronze is valid so far and nothing was written."""
+        if self.silver.exists():
+            return self.silver.read(months)
+        return silver_frame(self.bronze.read(months))
+
     def refresh_moments(self, months: Months) -> None:
         """Replace Gold's moments of these months by those of Silver as it is now."""
-        self.moments.replace(month_moments(self.silver.read(months)), months)
+        self.moments.replace(month_moments(self._silver(months)), months)
 
     def gold(self, loaded_at=False) -> DataFrame:
         """The per-symbol summary, from one row per symbol and month."""
         return summary_of_moments(self.moments.read(), loaded_at)
 
+    def load_raw(
+        self,
+        raw_root: str,
+        kind: str = "daily",
+        loaded_at=None,
+        timestamp_type: T.DataType | None = None,
+        ingest_date: dt.date | None = None,
+    ) -> list[int | None]:
+        """Append landed ``daily`` or ``history`` folders; each row keeps the file it came from."""
+        return self.load_bars(read_raw(self.spark, raw_root, kind, timestamp_type, ingest_date), loaded_at)
+
+    def refresh_checks(self, months: Months) -> None:
+        """Measure the standard checks in these months of Silver."""
+        part = F.trunc("date", "month").alias(MONTH_START)
+        self.measures.replace(part_measures(self._silver(months), standard_suite(), part), months)
+
+    def checks_report(self, today: dt.date | None = None, executed_at=None) -> DataFrame:
+        """The standard checks on all of Silver, from one row per month."""
+        if not self.measures.exists():  # Silver has no rows
+            return dq_report(self._silver(), standard_suite(), "daily_prices", today, executed_at)
+        parts = self.measures.read()
+        return report_of_parts(parts, standard_suite(), "daily_prices", today, executed_at)
+
+    def refresh_layers(self, months: Months, loaded_at=None) -> None:
+        """Silver, Gold's moments, the checks and staging of these months."""
+        self.refresh_silver(months, loaded_at)
+        self.refresh_moments(months)
+        self.refresh_checks(months)
+        self.refresh_staged(months)
+
+    def note(self, months: Months) -> None:
+        """Months whose layers are due, kept until they are struck out."""
+        rows = self.spark.createDataFrame([(m,) for m in months], f"{MONTH} int")
+        rows.coalesce(1).write.parquet(f"{self.due}/{uuid.uuid4().hex}")
+
+    def noted(self) -> tuple[list[int | None], list[str]]:
+        """The months that are due, and the folders that say so."""
+        notes = self._complete(self.due)
+        if not notes:
+            return [], []
+        found = self.spark.read.schema(f"{MONTH} int").parquet(*notes).distinct().collect()
+        return sorted((r[0] for r in found), key=lambda m: (m is None, m)), notes
+
+    def strike(self, notes: list[str]) -> None:
+        self._taken_up(notes)
+
     def refresh_staged(self, months: Months) -> None:
         """Rewrite the months of staging; the keys of changed bars wait in a folder for the marts."""
         new = latest_valid_bars(self.bronze.read(months).select(*RAW_BAR_COLUMNS))
@@ -79,16 +139,22 @@ class MonthLayers:
         keys.write.parquet(f"{self.pending}/{uuid.uuid4().hex}")
         self.staged.replace(new, months)
 
-    def waiting(self) -> list[str]:
-        """Folders of changed keys that the marts have not taken up yet."""
+    def _complete(self, place: str) -> list[str]:
+        """The folders below ``place`` whose writing was completed."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path
-        system = path(self.pending).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not system.exists(path(self.pending)):
+        system = path(place).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not system.exists(path(place)):
             return []
-        found = [f.getPath().toString() for f in system.listStatus(path(self.pending))]
-        # one without the mark broke off before staging was touched
+        found = [f.getPath().toString() for f in system.listStatus(path(place))]
         return sorted(f for f in found if system.exists(path(f"{f}/_SUCCESS")))
 
+    def waiting(self) -> list[str]:
+        """Folders of changed keys that the marts have not taken up yet.
+
+        One without the mark broke off before staging was touched.
+        """
+        return self._complete(self.pending)
+
     def _taken_up(self, folders: list[str]) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path
         for folder in folders:
@@ -148,14 +214,16 @@ class MonthLayers:
         stay = self.weekly.read(months).join(weeks, ["symbol", "week_start"], "anti")
         self.weekly.replace(stay.unionByName(new), months)
 
-    def refresh(self, months: Months, loaded_at=None, updated_at=False) -> None:
-        """Silver, Gold, staging and both marts after bars of ``months`` were loaded."""
-        if months:
-            self.refresh_silver(months, loaded_at)
-            self.refresh_moments(months)
-            self.refresh_staged(months)
+    def refresh_marts(self, updated_at=False) -> None:
+        """Both marts take up the changed keys that wait for them."""
         folders = self.waiting()
-        if folders:
+        if folders and self.staged.exists():  # otherwise no bar is valid so far
             changed = self.spark.read.parquet(*folders).distinct()
             self.refresh_weekly(self.refresh_fact(changed, updated_at), updated_at)
-            self._taken_up(folders)
+        self._taken_up(folders)
+
+    def refresh(self, months: Months, loaded_at=None, updated_at=False) -> None:
+        """Silver, Gold, staging and both marts after bars of ``months`` were loaded."""
+        if months:
+            self.refresh_layers(months, loaded_at)
+        self.refresh_marts(updated_at)
