@@ -323,8 +323,11 @@ def _needed_sets(
 ) -> DataFrame:
     """(cls, size, coarse, sketch, shingles) of the needed classes, read again from one document each."""
     one = named.join(needed, "cls").groupBy("cls").agg(F.min("key").alias("least")).select("least")
+    # stored, so that Spark knows its size before it plans: texts are shuffled only beyond the
+    # size it broadcasts
+    one = stored(one.distinct(), "needed-keys")
     source = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    texts = source.join(one.distinct(), F.col("key").eqNullSafe(F.col("least")), "semi").select("text")
+    texts = source.join(one, F.col("key").eqNullSafe(F.col("least")), "semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
