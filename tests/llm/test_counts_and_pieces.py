@@ -223,6 +223,39 @@ def test_samples_follow_the_lattice():
     assert abs(weight.mean() - 1) < 0.02
 
 
+def test_units_hold_real_edges_only():
+    """A worker's memory of units goes by edges, not by the longest piece of the model."""
+    own = gumbel.pieces(PIECE)
+    text = "the cat\x07 中"
+    lattice = gumbel.Lattice([text, "", text + " sat"], own)
+    units = lattice.units
+    assert np.isfinite(units.log[: units.edges]).all()
+    count = np.diff(units.first[: units.used + 1])
+    assert (count == np.isfinite(lattice.log).sum(axis=1)).all()
+    last = units.first[1 : units.used + 1][count > 0] - 1
+    assert np.allclose(units.running[last], 1, atol=1e-5)
+    sampler = gumbel.Sampler(lattice, np.arange(3), 3)
+    for path, edges in zip(sampler.run(3)[0], sampler.edges, strict=True):
+        for found, again in zip(
+            gumbel.token_ids(lattice, path, edges), gumbel.token_ids(lattice, path), strict=True
+        ):
+            assert (found == again).all()
+
+
+def test_units_beyond_the_room_start_anew(monkeypatch):
+    own = gumbel.Pieces(PIECE, gumbel.ALPHA)
+    monkeypatch.setattr(gumbel, "REMEMBERED", 40)
+    monkeypatch.setattr(gumbel, "EDGES", 60)
+    plenty = gumbel.pieces(PIECE)
+    for text in ("the cat sat", "on the mat", "and a long sentence of many other words", "the cat"):
+        for few, many in zip(
+            gumbel.Sampler(gumbel.Lattice([text], own), np.arange(1), 3).run(2)[0],
+            gumbel.Sampler(gumbel.Lattice([text], plenty), np.arange(1), 3).run(2)[0],
+            strict=True,
+        ):
+            assert (few == many).all()
+
+
 def test_fewer_segmentations_than_samples():
     own = gumbel.pieces(PIECE)
     lattice = gumbel.Lattice(["", "is", "\x07"], own)

@@ -34,8 +34,10 @@ not read.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -51,15 +53,24 @@ from tickhouse.llm.token_count import MARK, bytes_of, piece_kind
 SAMPLES = 2
 ALPHA = 1.0
 SEED = 11
-SLICE = 1 << 20
-#: slots of distinct units a worker remembers from slice to slice (only saves time)
-REMEMBERED = 1_200_000
+SLICE = 1 << 19
+#: slots and edges of distinct units a worker remembers from slice to slice (only saves time)
+REMEMBERED, EDGES = 3_000_000, 8_000_000
 ROOT, STEP, LEAVE, PICK = range(4)  # what a random number is for
 
 
 FILTER = wa.U((1 << 18) - 1)
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """``wa.mix`` in place."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x ^= x >> wa.U(shift)
+        x *= wa.U(factor)
+    x ^= x >> wa.U(31)
+    return x
+
+
 class Pieces:
     """A model's pieces as tables; built once per worker process."""
 
@@ -119,17 +130,30 @@ class Pieces:
         return self.raw[ranges(self.raw_start[ids], size)].tobytes()[1:]
 
 
+class Edges(NamedTuple):
+    """The edges of some slots: slot i has ``count[i]`` of them, by ascending size."""
+
+    count: np.ndarray
+    other: np.ndarray  # of each slot, the share of all edges but the likeliest
+    log: np.ndarray
+    running: np.ndarray  # summed shares of the slot's edges up to this one
+    ids: np.ndarray
+    size: np.ndarray
+
+
 class Units:
-    """Edge tables of distinct units, remembered by a worker until full."""
+    """Edges of distinct units, remembered by a worker until full."""
 
-    def __init__(self, longest: int, room: int):
+    def __init__(self, slots: int, edges: int):
         self.keys = np.zeros(0, wa.U)  # ascending
         self.start = np.zeros(0, np.int64)  # first slot of each
-        self.used, self.room = 0, room
-        self.log = np.empty((room, longest), np.float32)
-        self.running = np.empty((room, longest), np.float32)
-        self.ids = np.empty((room, longest), np.int32)
-        self.other = np.empty(room)  # share of all edges but the likeliest
+        self.used, self.edges = 0, 0
+        self.first = np.zeros(slots + 1, np.int64)  # edge of each slot
+        self.other = np.empty(slots)
+        self.log = np.empty(edges, np.float32)
+        self.running = np.empty(edges, np.float32)
+        self.ids = np.empty(edges, np.int32)
+        self.size = np.empty(edges, np.int8)
 
     def unknown(self, names: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -137,15 +161,24 @@ class Units:
         at = np.minimum(np.searchsorted(self.keys, names), len(self.keys) - 1)
         return np.flatnonzero(self.keys[at] != names)
 
-    def add(self, names: np.ndarray, length: np.ndarray, *tables: np.ndarray) -> None:
-        rows = slice(self.used, self.used + len(tables[0]))
-        for own, new in zip((self.log, self.running, self.ids, self.other), tables, strict=True):
-            own[rows] = new
-        keys = np.concatenate([self.keys, names])
-        start = np.concatenate([self.start, self.used + np.cumsum(length + 1) - length - 1])
-        order = np.argsort(keys)
-        self.keys, self.start = keys[order], start[order]
-        self.used = rows.stop
+    def has_room(self, new: Edges) -> bool:
+        return self.used + len(new.count) <= len(self.other) and self.edges + len(
+            new.log
+        ) <= len(self.log)
+
+    def add(self, names: np.ndarray, length: np.ndarray, new: Edges) -> None:
+        """Takes up units of ascending names."""
+        at = np.searchsorted(self.keys, names)
+        self.keys = np.insert(self.keys, at, names)
+        self.start = np.insert(self.start, at, self.used + np.cumsum(length + 1) - length - 1)
+        slots, edges = self.used + len(new.count), self.edges + len(new.log)
+        self.first[self.used + 1 : slots + 1] = self.edges + np.cumsum(new.count)
+        self.other[self.used : slots] = new.other
+        for own, more in zip(
+            (self.log, self.running, self.ids, self.size), new[2:], strict=True
+        ):
+            own[self.edges : edges] = more
+        self.used, self.edges = slots, edges
 
 
 @lru_cache(maxsize=2)
@@ -177,8 +210,8 @@ class Lattice:
     """Edge probabilities of some texts, per distinct unit.
 
     Positions are code points of all normalised texts in a row; ``slot`` of a
-    position is its row in the tables of its unit (a unit has one slot more
-    than positions: its end).
+    position is its place in its unit, among all units remembered (a unit has
+    one slot more than positions: its end).
     """
 
     def __init__(self, texts: list[str], own: Pieces):
@@ -198,62 +231,116 @@ class Lattice:
         names, first, which = np.unique(
             hashed(self.unit, self.unit_end), return_index=True, return_inverse=True
         )
+        length = size[first]
         if own.units is None:
-            own.units = Units(own.longest, REMEMBERED)
+            own.units = Units(REMEMBERED, EDGES)
         new = own.units.unknown(names)
-        length = size[first]
-        if own.units.used + int((length[new] + 1).sum()) > own.units.room:
-            new = np.arange(len(names))
-            own.units = Units(own.longest, max(REMEMBERED, int((length + 1).sum())))
         if len(new):
-            tables = self._tables(hashed, self.unit[first[new]], length[new])
-            own.units.add(names[new], length[new], *tables)
-        units = own.units
-        self.log, self.running, self.ids = units.log, units.running, units.ids
-        self.other = units.other
-        start = units.start[np.searchsorted(units.keys, names)]
+            edges = self._edges(hashed, self.unit[first[new]], length[new])
+            if not own.units.has_room(edges):
+                new = np.arange(len(names))
+                edges = self._edges(hashed, self.unit[first], length)
+                own.units = Units(
+                    max(REMEMBERED, len(edges.count)), max(EDGES, len(edges.log))
+                )
+            own.units.add(names[new], length[new], edges)
+        self.units = own.units
+        start = self.units.start[np.searchsorted(self.units.keys, names)]
         self.slot = np.repeat(start[which], size) + ranges(np.zeros(len(size), np.int64), size)
 
-    def _tables(self, hashed: PointHash, at: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The tables of units, slot by slot: see ``Units``."""
-        own, longest = self.own, self.own.longest
+    def table(self, slot: np.ndarray) -> np.ndarray:
+        """Log probabilities of the edges of some slots, by size; no edge: -inf."""
+        units = self.units
+        first, count = units.first[slot], units.first[slot + 1] - units.first[slot]
+        edge = ranges(first, count)
+        out = np.full((len(slot), self.own.longest), -np.inf, np.float32)
+        out[np.repeat(np.arange(len(slot)), count), units.size[edge] - 1] = units.log[edge]
+        return out
+
+    @cached_property
+    def log(self) -> np.ndarray:
+        """``table`` of all slots."""
+        return self.table(np.arange(self.units.used))
+
+    def edge(self, slot: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The edges of these sizes at some slots."""
+        found = self.units.first[slot]
+        rest = np.arange(len(slot))
+        while len(rest := rest[self.units.size[found[rest]] != size[rest]]):
+            found[rest] += 1
+        return found
+
+    def _edges(self, hashed: PointHash, at: np.ndarray, length: np.ndarray) -> Edges:
+        """The edges of units, slot by slot."""
+        own = self.own
         slots = int((length + 1).sum())
         left = np.repeat(length, length + 1) - ranges(np.zeros(len(length), np.int64), length + 1)
         place = np.repeat(at + length, length + 1) - left
-        log = np.full((slots, longest), -np.inf, np.float32)
-        found_ids = np.full((slots, longest), -1, np.int32)
-        widest = 1
-        for n, (maybe, keys, ids, weights) in own.by_length.items():
-            rows = np.flatnonzero(left >= n)
-            key = hashed(place[rows], place[rows] + n)
-            some = np.flatnonzero(maybe[(key & FILTER).astype(np.int64)])
-            rows, key = rows[some], key[some]
+        count = np.zeros(slots, np.int64)
+        rows = np.flatnonzero(left)
+        room, begin = left[rows], place[rows]
+        before, down = hashed.sums[begin], hashed.down[begin]
+        parts = []  # of each size: slots, their edges' ranks there, weights, ids
+        for n in range(1, own.longest + 1):
+            if n > 1:
+                more = np.flatnonzero(room >= n)
+                rows, room, begin, before, down = (x[more] for x in (rows, room, begin, before, down))
             if not len(rows):
-                continue
-            found = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            hit = np.flatnonzero(keys[found] == key)
-            widest = n if len(hit) else widest
-            log[rows[hit], n - 1] = weights[found[hit]]
-            found_ids[rows[hit], n - 1] = ids[found[hit]]
-        lone = np.flatnonzero((left > 0) & (found_ids[:, 0] < 0))
-        log[lone, 0] = own.byte_weight * utf8_size(self.points[place[lone]])
+                break
+            if n not in own.by_length:
+                hit, weight, found = (np.zeros(0, t) for t in ("i8", "f8", "i8"))
+            else:
+                maybe, keys, ids, weights = own.by_length[n]
+                key = mixed((hashed.sums[begin + n] - before) * down + wa.U(n))
+                some = np.flatnonzero(maybe[(key & FILTER).view(np.int64)])
+                key = key[some]
+                at_key = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                same = np.flatnonzero(keys[at_key] == key)
+                hit, weight, found = rows[some[same]], weights[at_key[same]], ids[at_key[same]]
+            if n == 1:  # a character without a piece of its own has byte pieces
+                alone = np.ones(slots, bool)
+                alone[hit] = False
+                alone = rows[alone[rows]]
+                byte = own.byte_weight * utf8_size(self.points[place[alone]])
+                hit, weight = np.append(hit, alone), np.append(weight, byte)
+                found = np.append(found, np.full(len(alone), -1))
+            parts.append((hit, count[hit], weight.astype(np.float32), found))
+            count[hit] += 1
+        first = np.cumsum(count) - count
+        log = np.empty(int(count.sum()), np.float32)
+        found_ids, size = np.empty(len(log), np.int32), np.empty(len(log), np.int8)
+        for n, (hit, rank, weight, found) in enumerate(parts, start=1):
+            edge = first[hit] + rank
+            log[edge], found_ids[edge], size[edge] = weight, found, n
         # log of the summed weight of all ways from a slot to its unit's end
-        total = np.zeros(slots + longest)
-        order = np.argsort(left, kind="stable")
-        bounds = np.searchsorted(left[order], np.arange(1, int(length.max(initial=0)) + 2))
-        for far, (s, e) in enumerate(zip(bounds, bounds[1:], strict=False), start=1):
-            rows, reach = order[s:e], min(far, widest)
-            value = log[rows, :reach] + total[rows[:, None] + np.arange(1, reach + 1)]
-            top = value.max(axis=1)
-            total[rows] = top + np.log(np.exp(value - top[:, None]).sum(axis=1))
-        for n in range(widest):  # edges leaving the unit have no weight
-            log[:, n] += total[n + 1 : n + 1 + slots] - total[:slots]
-        running = np.empty_like(log)
-        np.cumsum(np.exp(log[:, :widest]), axis=1, out=running[:, :widest])
-        running[:, widest:] = running[:, widest - 1 : widest]
-        share = np.exp(log[:, :widest], dtype="f8")
-        share[np.arange(slots), share.argmax(axis=1)] = 0
-        return log, running, found_ids, share.sum(axis=1)
+        total = np.zeros(slots)
+        ends = np.repeat(np.arange(slots), count) + size
+        farthest = int(length.max(initial=0))
+        short = left.astype(np.uint16) if farthest < 1 << 16 else left  # sorted by radix
+        order = np.argsort(short, kind="stable")
+        bounds = np.searchsorted(short[order], np.arange(1, farthest + 2))
+        for s, e in itertools.pairwise(bounds.tolist()):
+            rows = order[s:e]
+            many = count[rows]
+            edge = ranges(first[rows], many)
+            where = np.cumsum(many) - many
+            value = log[edge] + total[ends[edge]]
+            top = np.maximum.reduceat(value, where)
+            value -= np.repeat(top, many)
+            total[rows] = top + np.log(np.add.reduceat(np.exp(value, out=value), where))
+        log += total[ends] - np.repeat(total, count)
+        running, share = np.exp(log), np.exp(log, dtype="f8")
+        other, best = np.zeros(slots), np.zeros(slots)
+        rows = np.flatnonzero(count)
+        for rank in range(int(count.max(initial=0))):
+            rows = rows[count[rows] > rank]
+            edge = first[rows] + rank
+            if rank:
+                running[edge] += running[edge - 1]
+            high, this = best[rows], share[edge]
+            other[rows] += np.minimum(high, this)
+            best[rows] = np.maximum(high, this)
+        return Edges(count, other, log, running, found_ids, size)
 
 
 def utf8_size(points: np.ndarray) -> np.ndarray:
@@ -272,58 +359,94 @@ class Sampler:
             keys.astype(np.int64).view(wa.U) + wa.U(seed * int(wa.STEP) & (1 << 64) - 1)
         )
         self.some = np.flatnonzero(np.diff(begin) > 0)  # texts with positions
-
-    def random(self, doc: np.ndarray, at: np.ndarray, turn: int, purpose: int) -> np.ndarray:
-        """Uniform in (0, 1), by row key, position in the text, sample and purpose."""
-        place = (at - self.lattice.begin[doc]).astype(wa.U)
-        mark = wa.U(turn * 4 + purpose + 1)
-        value = wa.mix(self.keys[doc] ^ wa.mix(place * wa.U(1 << 20) + mark))
-        return ((value >> wa.U(11)).astype("f8") + 0.5) / (1 << 53)
-
-    def walk(self, path: np.ndarray, at: np.ndarray, stop: np.ndarray, turn: int) -> None:
-        """Samples edges from each position until its unit's end; writes lengths into ``path``."""
+        self.place = np.arange(self.n, dtype=wa.U) - np.repeat(begin[:-1], np.diff(begin)).view(wa.U)
+        self.place *= wa.U(1 << 20)
+
+    def random(self, doc: np.ndarray, at: np.ndarray | None, turn: int, purpose: int) -> np.ndarray:
+        """Uniform in (0, 1), by row key, position in the text (None: its begin), sample and
+        purpose."""
+        place = np.zeros(len(doc), wa.U) if at is None else self.place[at]
+        place += wa.U(turn * 4 + purpose + 1)
+        value = mixed(place)
+        value ^= self.keys[doc]
+        value = mixed(value)
+        value >>= wa.U(11)
+        number = value.astype("f8")
+        number += 0.5
+        number /= 1 << 53
+        return np.minimum(number, 1 - 2.0**-53, out=number)  # the largest ones round to 1
+
+    def walk(
+        self, path: np.ndarray, edges: np.ndarray, at: np.ndarray, stop: np.ndarray, turn: int
+    ) -> None:
+        """Samples edges from each position until its unit's end; writes lengths into ``path``
+        and the edges' numbers into ``edges``."""
+        units, slots = self.lattice.units, self.lattice.slot
         while len(at):
-            slot = self.lattice.slot[at]
-            running = self.lattice.running[slot]
-            u = self.random(self.doc[at], at, turn, STEP) * running[:, -1]
-            size = (running <= u[:, None]).sum(axis=1) + 1
+            slot = slots[at]
+            edge = units.first[slot]
+            u = self.random(self.doc[at], at, turn, STEP)
+            u *= units.running[units.first[slot + 1] - 1]
+            rest = np.flatnonzero(units.running[edge] <= u)
+            e, high = edge[rest] + 1, u[rest]
+            while len(rest):
+                edge[rest] = e
+                more = np.flatnonzero(units.running[e] <= high)
+                rest, e, high = rest[more], e[more] + 1, high[more]
+            size = units.size[edge]
             path[at] = size
+            edges[at] = edge
             at = at + size
             more = at < stop
             at, stop = at[more], stop[more]
 
-    def values(self, path: np.ndarray, nodes: np.ndarray, out: np.ndarray, bound: np.ndarray, turn: int) -> None:
-        """Perturbed values of the nodes (positions on the path), below ``bound`` of their text."""
+    def values(
+        self,
+        edges: np.ndarray,
+        token: np.ndarray,
+        some: np.ndarray | slice,
+        out: np.ndarray,
+        bound: np.ndarray,
+        turn: int,
+    ) -> None:
+        """Perturbed values of the nodes, below ``bound`` of their text.
+
+        ``edges``: those of the path; ``token``: its positions; ``some``: which of them are nodes.
+        """
         lattice = self.lattice
-        token = np.flatnonzero(path)
-        before = np.cumsum(lattice.log[lattice.slot[token], path[token] - 1], dtype="f8")
-        at = np.searchsorted(token, nodes)
-        first = np.searchsorted(token, lattice.begin[self.doc[nodes]])
-        sums = np.append(0.0, before)
-        lead = sums[at] - sums[first]
-        slot = lattice.slot[nodes]
-        taken = np.exp(lattice.log[slot, path[nodes] - 1].astype("f8"))
+        step = lattice.units.log[edges[token]].astype("f8")
+        sums = np.append(0.0, np.cumsum(step))
+        first = sums[np.searchsorted(token, lattice.begin[:-1])]
+        nodes = token[some]
+        doc = self.doc[nodes]
+        mass = sums[:-1][some] - first[doc]
+        taken = np.exp(step[some])
         # exact where the likeliest edge is taken: the share of all others
-        rest = np.where(taken > 0.5, lattice.other[slot], 1 - taken)
+        rest = np.where(taken > 0.5, lattice.units.other[lattice.slot[nodes]], 1 - taken)
         with np.errstate(divide="ignore"):
-            mass = lead + np.log(rest)
-            noise = np.log(-np.log(self.random(self.doc[nodes], nodes, turn, LEAVE)))
-        out[nodes] = -np.logaddexp(-bound[self.doc[nodes]], noise - mass)
+            mass += np.log(rest, out=rest)
+            noise = self.random(doc, nodes, turn, LEAVE)
+            np.negative(np.log(noise, out=noise), out=noise)
+            np.log(noise, out=noise)
+        noise -= mass
+        out[nodes] = -np.logaddexp(-bound[doc], noise)
 
     def run(self, k: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
         """Paths of the samples (edge length at each token's position), the
-        perturbed value of each sample and text, and the threshold of each text."""
+        perturbed value of each sample and text, and the threshold of each text;
+        ``edges`` then has the edges of each path."""
         lattice, docs = self.lattice, len(self.lattice.begin) - 1
         starts = lattice.begin[:-1]
-        path = np.zeros(self.n, np.int8)
-        self.walk(path, lattice.unit, lattice.unit_end, 0)
+        path, edges = np.zeros(self.n, np.int8), np.zeros(self.n, np.int64)
+        self.edges = [edges]
+        self.walk(path, edges, lattice.unit, lattice.unit_end, 0)
         everyone = np.arange(docs)
-        value = -np.log(-np.log(self.random(everyone, starts, 0, ROOT)))
+        value = -np.log(-np.log(self.random(everyone, None, 0, ROOT)))
         paths, found = [path], [value]
         front = [np.full(self.n, -np.inf)]
         left_by = [np.zeros(self.n, np.uint64)]  # the edges a node excludes, as bits
         token = np.flatnonzero(path)
-        self.values(path, token, front[0], value, 0)
+        self.values(edges, token, slice(None), front[0], value, 0)
         left_by[0][token] = np.uint64(1) << (path[token] - 1).astype(np.uint64)
         for turn in range(1, k + 1):
             best = np.full(docs, -np.inf)
@@ -337,7 +460,7 @@ class Sampler:
             if turn == k:
                 return paths, np.array(found), best
             found.append(best)
-            path = np.zeros(self.n, np.int8)
+            path, edges = np.zeros(self.n, np.int8), np.zeros(self.n, np.int64)
             open_ = np.flatnonzero(best > -np.inf)
             branch = np.full(docs, -1)
             for j, f in enumerate(front):
@@ -350,9 +473,10 @@ class Sampler:
             for j, old in enumerate(paths):
                 same = (np.arange(self.n) < upto[self.doc]) & (parent[self.doc] == j)
                 path[same] = old[same]
+                edges[same] = self.edges[j][same]
             # another edge at the branch than those the node excludes
             slot = lattice.slot[at]
-            share = np.exp(lattice.log[slot].astype("f8"))
+            share = np.exp(lattice.table(slot).astype("f8"))
             excluded = np.array([left_by[p][b] for p, b in zip(parent[open_], at, strict=True)], np.uint64)
             bits = np.uint64(1) << np.arange(share.shape[1], dtype=np.uint64)
             share[(excluded[:, None] & bits) != 0] = 0
@@ -360,6 +484,7 @@ class Sampler:
             u = self.random(open_, at, turn, PICK) * running[:, -1]
             size = (running <= u[:, None]).sum(axis=1) + 1
             path[at] = size
+            edges[at] = lattice.edge(slot, size)
             number = np.searchsorted(lattice.unit, at, side="right") - 1
             goes_on = at + size < lattice.unit_end[number]
             later = np.zeros(docs, np.int64) + self.n + 1
@@ -367,6 +492,7 @@ class Sampler:
             fresh = lattice.unit >= later[self.doc[lattice.unit]] if self.n else np.zeros(0, bool)
             self.walk(
                 path,
+                edges,
                 np.concatenate([(at + size)[goes_on], lattice.unit[fresh]]),
                 np.concatenate([lattice.unit_end[number][goes_on], lattice.unit_end[fresh]]),
                 turn,
@@ -376,11 +502,10 @@ class Sampler:
                 own = parent[open_] == j
                 spots = at[own]
                 left_by[j][spots] |= np.uint64(1) << (size[own] - 1).astype(np.uint64)
-                rest = np.exp(lattice.log[lattice.slot[spots]].astype("f8"))
+                rest = np.exp(lattice.table(lattice.slot[spots]).astype("f8"))
                 rest[(left_by[j][spots][:, None] & bits) != 0] = 0
-                old = paths[j]
-                tokens = np.flatnonzero(old)
-                steps = lattice.log[lattice.slot[tokens], old[tokens] - 1]
+                tokens = np.flatnonzero(paths[j])
+                steps = lattice.units.log[self.edges[j][tokens]]
                 sums = np.append(0.0, np.cumsum(steps, dtype="f8"))
                 lead = sums[np.searchsorted(tokens, spots)] - sums[
                     np.searchsorted(tokens, lattice.begin[self.doc[spots]])
@@ -392,21 +517,28 @@ class Sampler:
             front.append(np.full(self.n, -np.inf))
             left_by.append(np.zeros(self.n, np.uint64))
             token = np.flatnonzero(path)
-            token = token[token > branch[self.doc[token]]]
-            self.values(path, token, front[-1], best, turn)
+            some = np.flatnonzero(token > branch[self.doc[token]])
+            self.values(edges, token, some, front[-1], best, turn)
+            token = token[some]
             left_by[-1][token] = np.uint64(1) << (path[token] - 1).astype(np.uint64)
             paths.append(path)
+            self.edges.append(edges)
         raise AssertionError("unreachable")
 
 
-def token_ids(lattice: Lattice, path: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Piece ids of all texts in a row, ids per text, log probability per text."""
+def token_ids(
+    lattice: Lattice, path: np.ndarray, edges: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Piece ids of all texts in a row, ids per text, log probability per text.
+
+    ``edges``: those of the path, if they are at hand.
+    """
     docs = len(lattice.begin) - 1
     token = np.flatnonzero(path)
-    doc = np.searchsorted(lattice.begin, token, side="right") - 1
-    slot, size = lattice.slot[token], path[token] - 1
-    log = np.bincount(doc, weights=lattice.log[slot, size], minlength=docs)
-    ids = lattice.ids[slot, size].astype(np.int64)
+    doc = np.repeat(np.arange(docs), np.diff(np.searchsorted(token, lattice.begin)))
+    edge = lattice.edge(lattice.slot[token], path[token]) if edges is None else edges[token]
+    log = np.bincount(doc, weights=lattice.units.log[edge], minlength=docs)
+    ids = lattice.units.ids[edge].astype(np.int64)
     byte = np.flatnonzero(ids < 0)
     repeat = np.ones(len(ids), np.int64)
     repeat[byte] = utf8_size(lattice.points[token[byte]])
@@ -460,13 +592,12 @@ def segmentations(
                 rows = batch.slice(at, n)
                 texts = texts_of(rows.column(1))
                 lattice = Lattice(texts, own)
-                paths, values, threshold = Sampler(lattice, rows.column(2).to_numpy(), seed).run(
-                    samples
-                )
+                sampler = Sampler(lattice, rows.column(2).to_numpy(), seed)
+                paths, values, threshold = sampler.run(samples)
                 plain = [t.replace(MARK, " ").encode() for t in texts]
                 for turn, path in enumerate(paths):
                     there = np.flatnonzero(values[turn] > -np.inf)
-                    ids, sizes, log = token_ids(lattice, path)
+                    ids, sizes, log = token_ids(lattice, path, sampler.edges[turn])
                     ends = 2 * np.cumsum(sizes)
                     raw = ids.astype("<u2").tobytes()
                     starts = ends - 2 * sizes
