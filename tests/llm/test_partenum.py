@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tickhouse.llm import partenum
+from tickhouse.llm.common import buffer_of, text_slices
 from tickhouse.llm.wordarrays import U
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -171,3 +174,21 @@ def test_unlike_texts_meet_rarely(words):
     owner, found = partenum.set_signatures(values, first, partenum.Bands())
     _, counts = np.unique(found, return_counts=True)
     assert (counts > 1).sum() < len(found) / 200
+
+
+def test_sets_are_made_in_little_memory():
+    """Two workers share an executor's memory with the JVM: each makes its sets in small slices."""
+    r = random.Random(3)
+    texts = [" ".join(r.choice(["aa", "bcd", "efghi", "jk"]) + str(r.random()) for _ in range(500)) for _ in range(400)]
+    column = pa.array(texts)
+    assert column.nbytes > 4 << 20
+    peak, sets = 0, []
+    for at, n in text_slices(column, partenum.SLICE):
+        tracemalloc.start()
+        values, first = partenum.shingle_sets(*buffer_of(column.slice(at, n)))
+        peak = max(peak, tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        sets += [values[s:e].tolist() for s, e in zip(first, first[1:], strict=False)]
+    assert peak < 100 << 20
+    whole, first = partenum.shingle_sets(*buffer_of(column))
+    assert sets == [whole[s:e].tolist() for s, e in zip(first, first[1:], strict=False)]

@@ -121,11 +121,12 @@ def map_texts(
     results: T.StructType,
     key: str = "doc_id",
     text: str = "text",
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
     """One result row per input row: the key, then what ``work`` gives.
 
-    ``work`` gets a slice of the text column and returns one sequence per
-    field of ``results``.  No shuffle; runs where the rows are read.
+    ``work`` gets a slice of the text column, of about ``limit`` bytes, and
+    returns one sequence per field of ``results``.  No shuffle; runs where the rows are read.
     """
     source = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     schema = T.StructType([T.StructField(key, source.schema["key"].dataType), *results.fields])
@@ -134,7 +135,7 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, column = batch.column(0), batch.column(1)
-            for at, n in text_slices(column):
+            for at, n in text_slices(column, limit):
                 out = work(column.slice(at, n))
                 arrays = [pa.array(out[name], type=kind) for name, kind in types.items()]
                 yield pa.RecordBatch.from_arrays(

@@ -61,6 +61,8 @@ SIGNATURE_BITS = 48
 FINE, COARSE = 16, 4
 #: Rounds in which each group is compared with a leader.
 STARS = 4
+#: Bytes of text whose sets are made at once: a worker takes some 60 bytes of memory for each.
+SLICE = 1 << 20
 #: Members of a block in the last round; a cell holds two blocks.
 CELL = 2048
 
@@ -213,7 +215,7 @@ def prints(docs: DataFrame, seed: int, key: str, text: str, shingle: int) -> Dat
         a, b = set_names(values, first, seed)
         return {"cls": a.view(np.int64), "cls2": b.view(np.int64), "size": np.diff(first)}
 
-    return map_texts(docs, work, fields(cls=LONG, cls2=LONG, size=LONG), key, text)
+    return map_texts(docs, work, fields(cls=LONG, cls2=LONG, size=LONG), key, text, SLICE)
 
 
 def signature_rows(docs: DataFrame, seed: int, text: str, shingle: int, percent: int) -> DataFrame:
@@ -223,7 +225,7 @@ def signature_rows(docs: DataFrame, seed: int, text: str, shingle: int, percent:
         bands = Bands(percent)
         done: set[int] = set()
         for batch in batches:
-            for at, n in text_slices(batch.column(0)):
+            for at, n in text_slices(batch.column(0), SLICE):
                 values, first = shingle_sets(*buffer_of(batch.column(0).slice(at, n)), shingle)
                 names = set_names(values, first, seed)[0].view(np.int64)
                 fresh = []
@@ -332,7 +334,7 @@ def _needed_sets(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for batch in batches:
-            for at, n in text_slices(batch.column(0)):
+            for at, n in text_slices(batch.column(0), SLICE):
                 values, first = shingle_sets(*buffer_of(batch.column(0).slice(at, n)), shingle)
                 names = set_names(values, first, seed)[0].view(np.int64)
                 sets = [values[s:e] for s, e in itertools.pairwise(first.tolist())]
