@@ -14,7 +14,7 @@ import sentencepiece
 import tokenizers
 from pyspark.sql import functions as F
 
-from tickhouse.llm import gumbel, hilbert_pack, pretokens, token_count, varbyte
+from tickhouse.llm import common, gumbel, hilbert_pack, pretokens, token_count, varbyte
 from tickhouse.llm.common import text_slices
 
 PIECE = public_tokenizers.path("piece_bpe_32k.model")
@@ -291,3 +291,12 @@ def test_empty_tables(empty):
     assert token_count.token_counts(empty, PIECE).collect() == []
     assert gumbel.segmentations(empty, PIECE).collect() == []
     assert hilbert_pack.packed(empty, BYTES).collect() == []
+
+
+def test_documents_are_encoded_in_small_slices(docs, monkeypatch):
+    given = []
+    monkeypatch.setattr(
+        hilbert_pack, "map_texts", lambda *a: given.append(a[5] if len(a) > 5 else common.SLICE_BYTES)
+    )
+    hilbert_pack.encoded(docs, "no file")
+    assert given == [1 << 20]

@@ -417,6 +417,19 @@ def test_quality_cases(docs, collected, empty):
     assert kept == len(collected)
 
 
+def test_texts_are_scored_in_small_slices(spark):
+    """Two workers share an executor's memory with the JVM."""
+
+    class OfSmallSlices:
+        def probabilities(self, column):
+            return np.full(len(column), float(column.nbytes < 1.2 * (1 << 20)))
+
+    texts = [(i, f"{i} " * 40_000) for i in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    assert docs.where(nbsvm.accepted(F.col("text"), OfSmallSlices())).count() == 60
+    assert {r.score for r in nbsvm.scores(docs, OfSmallSlices()).collect()} == {1.0}
+
+
 def test_dual_coordinate_descent_separates():
     r = random.Random(3)
     rows, sign = [], []

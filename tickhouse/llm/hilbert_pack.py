@@ -41,6 +41,8 @@ LENGTH = 2048
 END_ID = 1
 DIMS, BITS = 4, 8
 TASK_IDS = 1 << 22
+#: Bytes of text encoded at once, which a worker's memory follows.
+SLICE = 1 << 20
 #: vectors are averages of unit-variance directions; beyond this they are clipped
 SPREAD = 0.5
 
@@ -116,7 +118,7 @@ def encoded(
             "ids": [raw[s:e] + tail for s, e in zip(starts, ends, strict=False)],
         }
 
-    return map_texts(docs, work, fields(curve=LONG, tokens=LONG, ids=BINARY), key, text)
+    return map_texts(docs, work, fields(curve=LONG, tokens=LONG, ids=BINARY), key, text, SLICE)
 
 
 _tables: dict[int, np.ndarray] = {}

@@ -45,6 +45,8 @@ SAMPLE, SAMPLE_BYTES = 8192, 64 << 20
 THRESHOLD = 0.7
 ALPHA = 1.0
 COST = 1.0
+#: Bytes of text whose indicators are made at once: a worker takes some 80 bytes of memory for each.
+SLICE = 1 << 20
 EPOCHS = 12
 SEED = 7
 
@@ -177,7 +179,7 @@ def slot_counts(train: DataFrame, dim: int) -> np.ndarray:
         counts = np.zeros((2, dim + 1), np.int64)
         for batch in batches:
             texts, labels = batch.column(0), batch.column(1).to_numpy()
-            for at, n in text_slices(texts):
+            for at, n in text_slices(texts, SLICE):
                 doc, slot, _ = indicators(texts.slice(at, n), dim)
                 own = labels[at : at + n]
                 for label in (0, 1):
@@ -243,7 +245,7 @@ def sampled(train: DataFrame, share: float, dim: int, limit: int, limit_bytes: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(0)
-            for at, n in text_slices(texts):
+            for at, n in text_slices(texts, SLICE):
                 doc, slot, _ = indicators(texts.slice(at, n), dim)
                 cut = np.searchsorted(doc, np.arange(1, n))
                 parts = [p.astype("<u4").tobytes() for p in np.split(slot, cut)]
@@ -357,21 +359,19 @@ def fit_sample(slots: list[np.ndarray], label: np.ndarray, ratio: np.ndarray, co
 def scores(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key and ``score`` (probability of label 1)."""
     return map_texts(
-        docs, lambda c: {"score": model.probabilities(c)}, fields(score=DOUBLE), key, text
+        docs, lambda c: {"score": model.probabilities(c)}, fields(score=DOUBLE), key, text, SLICE
     )
 
 
 def accepted(text: Column, model: Model, threshold: float = THRESHOLD) -> Column:
     """Whether a text's score reaches ``threshold``; for filtering whole rows."""
 
-    @F.pandas_udf("boolean")
-    def run(texts):  # noqa: ANN001, ANN202
-        import pandas as pd
-
-        column = pa.array(texts, pa.string())
+    @F.arrow_udf("boolean")
+    def run(texts: pa.Array) -> pa.Array:
         parts = [
-            model.probabilities(column.slice(at, n)) >= threshold for at, n in text_slices(column)
+            model.probabilities(texts.slice(at, n)) >= threshold
+            for at, n in text_slices(texts, SLICE)
         ]
-        return pd.Series(np.concatenate(parts) if parts else np.zeros(0, bool))
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0, bool))
 
     return run(text)
