@@ -98,6 +98,32 @@ def test_groups_over_several_cells_give_the_same(spark, words, monkeypatch):
     assert result(cut) == brute(rows)
 
 
+def test_cells_return_no_more_rows_than_they_have_members(spark, words, monkeypatch):
+    """Many near copies under one signature: a forest of links, not their pairs."""
+    made = []
+    monkeypatch.setattr(partenum, "stored", lambda df, name: made.append((name, df.cache())) or df)
+    r = random.Random(4)
+    base = " ".join(r.choices(words, k=60))
+    # of one leader each is too far, among each other many are not quite near enough
+    rows = list(enumerate([edited(base, s, 0.06) for s in range(80)]))
+    found = result(partenum.jaccard_components(frame(spark, rows)))
+    assert found == brute(rows)
+    members = {id(d): d.count() for n, d in made if n == "close-members"}
+    assert len(members) == 1
+    links = [d.count() for n, d in made if n == "links"]
+    groups = [d for n, d in made if n == "open-groups"][-1]
+    assert sum(members.values()) <= groups.count()
+    assert links[-1] <= sum(members.values())
+
+
+def test_cells_of_large_sets_are_cut(spark, words, monkeypatch):
+    monkeypatch.setattr(partenum, "CELL_FEATURES", 500)
+    r = random.Random(9)
+    base = " ".join(r.choices(words, k=60))
+    rows = list(enumerate([edited(base, s, 0.04) for s in range(40)]))
+    assert result(partenum.jaccard_components(frame(spark, rows))) == brute(rows)
+
+
 def test_nulls_empties_long_texts_ties_and_clashing_names(docs, collected):
     assert result(partenum.jaccard_components(docs)) == brute(collected)
 

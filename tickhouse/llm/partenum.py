@@ -21,10 +21,12 @@ hashes).  Two documents link when ``100 * intersection >= PERCENT * union``.
 4. Classes under one signature make a group; groups of the same classes are
    kept once.  *First round*: every member is compared with one leader of its
    group, and links merge classes.  Groups that lie in one component are
-   done.  *Second round*: pairs of different components, in cells of bounded
-   size, are compared by parity sketches whose distance never exceeds the
-   sets' true difference; a spanning forest of the closest ones is verified
-   first, and then every pair that is still apart and not ruled out.
+   done.  *Second round*: in cells of bounded size, members of different
+   components are compared by parity sketches whose distance never exceeds the
+   sets' true difference.  The members with a partner that the sketches allow
+   get their sets, and their cell compares these, closest sketches first, and
+   returns a spanning forest of the links: pairs that earlier links have
+   joined need no look, and a cell never returns more rows than it has members.
 
 Verification is always by the sets themselves; sketches only rule out pairs
 that cannot link.  No group is held by one task beyond a cell, copies are
@@ -57,14 +59,14 @@ PARTS, SKIP = 3, 1
 #: Signatures that clash make a group of classes that need not be similar, which costs a
 #: comparison and changes no result.
 SIGNATURE_BITS = 48
-#: Bits for each difference allowed, in the sketches of pairs and of cells.
-FINE, COARSE = 16, 4
+#: Bits of a sketch for each difference allowed.
+FINE = 16
 #: Rounds in which each group is compared with a leader.
-STARS = 4
+STARS = 1
 #: Bytes of text whose sets are made at once: a worker takes some 60 bytes of memory for each.
 SLICE = 1 << 20
-#: Members of a block in the last round; a cell holds two blocks.
-CELL = 2048
+#: Members of a block in the last round, and features of their sets; a cell holds two blocks.
+CELL, CELL_FEATURES = 2048, 1 << 21
 
 
 # --- sets --------------------------------------------------------------------
@@ -323,7 +325,7 @@ def folded(words: np.ndarray, length: int) -> np.ndarray:
 def _needed_sets(
     docs: DataFrame, named: DataFrame, needed: DataFrame, seed: int, key: str, text: str, shingle: int, percent: int
 ) -> DataFrame:
-    """(cls, size, coarse, sketch, shingles) of the needed classes, read again from one document each."""
+    """(cls, size, sketch, shingles) of the needed classes, read again from one document each."""
     one = named.join(needed, "cls").groupBy("cls").agg(F.min("key").alias("least")).select("least")
     # stored, so that Spark knows its size before it plans: texts are shuffled only beyond the
     # size it broadcasts
@@ -343,25 +345,19 @@ def _needed_sets(
                     sketch(v, sketch_bits(s, bands, FINE))
                     for v, s in zip(sets, sizes.tolist(), strict=True)
                 ]
-                coarse = [
-                    folded(w, sketch_bits(s, bands, COARSE) // 64)
-                    for w, s in zip(fine, sizes.tolist(), strict=True)
-                ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(names),
                         pa.array(sizes),
                         *[
                             pa.array([v.tobytes() for v in each], pa.binary())
-                            for each in (coarse, fine, sets)
+                            for each in (fine, sets)
                         ],
                     ],
-                    names=["cls", "size", "coarse", "sketch", "shingles"],
+                    names=["cls", "size", "sketch", "shingles"],
                 )
 
-    sets = texts.mapInArrow(
-        run, fields(cls=LONG, size=LONG, coarse=BINARY, sketch=BINARY, shingles=BINARY)
-    )
+    sets = texts.mapInArrow(run, fields(cls=LONG, size=LONG, sketch=BINARY, shingles=BINARY))
     # rows that share a key bring further sets along, which harms nothing
     return sets.where("size > 0").dropDuplicates(["cls"])
 
@@ -369,6 +365,12 @@ def _needed_sets(
 EDGES = fields(u=LONG, v=LONG)
 
 
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets link."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) that link: sketches first, then the sets."""
 
@@ -404,9 +406,8 @@ def verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         apart = np.bitwise_count(folded(x, length) ^ folded(y, length)).sum()
         return int(apart) <= (m + n) * (100 - percent) // (100 + percent)
 
-    def linked(m: int, n: int, x: np.ndarray, y: np.ndarray) -> bool:
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        return 100 * both >= percent * (m + n - both)
+    def links(m: int, n: int, x: np.ndarray, y: np.ndarray) -> bool:
+        return linked(x, y, percent)
 
     left = stored(filtered(edges, sets, "sketch", possible), "possible-links")
     # only the sets of these pairs travel; Spark broadcasts the list of them where it is small
@@ -414,7 +415,7 @@ def verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         left.select(F.explode(F.array("u", "v")).alias("cls")).distinct(), "possible-classes"
     )
     few = stored(sets.select("cls", "size", "shingles").join(named, "cls", "semi"), "possible-sets")
-    return filtered(left, few, "shingles", linked)
+    return filtered(left, few, "shingles", links)
 
 
 # --- rounds ------------------------------------------------------------------------
@@ -424,26 +425,29 @@ def _labels(classes: DataFrame, edges: DataFrame) -> DataFrame:
     """(cls, label): the smallest class each class reaches."""
     roots = components(edges).withColumnRenamed("u", "cls")
     return classes.join(roots, "cls", "left").select(
-        "cls", F.coalesce("root", "cls").alias("label")
+        "cls", "size", F.coalesce("root", "cls").alias("label")
     )
 
 
-def _open_groups(groups: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(sig, cls, n, label, leads) of the groups in more than one component.
+def _open_groups(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """(sig, cls, n, total, label, leads) of the groups in more than one component.
 
     The leader of a group is its member of the smallest hash.
     """
     order = F.xxhash64("cls")  # of one long: a bijection, so leaders are unique
-    labelled = (
-        groups.withColumn("label", F.col("cls")) if labels is None else groups.join(labels, "cls")
-    )
+    labelled = groups.join(labels, "cls")
     open_ = (
         labelled.groupBy("sig")
-        .agg(F.min(order).alias("first"), F.min("label").alias("a"), F.max("label").alias("b"))
+        .agg(
+            F.min(order).alias("first"),
+            F.min("label").alias("a"),
+            F.max("label").alias("b"),
+            F.sum("size").alias("total"),
+        )
         .where("a != b")
     )
-    return labelled.join(open_.select("sig", "first"), "sig").select(
-        "sig", "cls", "n", "label", (order == F.col("first")).alias("leads")
+    return labelled.join(open_.select("sig", "first", "total"), "sig").select(
+        "sig", "cls", "n", "total", "label", (order == F.col("first")).alias("leads")
     )
 
 
@@ -463,10 +467,13 @@ def _stars(marked: DataFrame) -> DataFrame:
 def _cells(marked: DataFrame, cell: int = CELL) -> DataFrame:
     """(sig, low, high, cls, label): open groups in cells of two blocks of members.
 
-    A group of up to ``cell`` members is one cell; of a larger one any two
-    blocks of its members meet in one cell.
+    A group of up to ``cell`` members and ``CELL_FEATURES`` features is one
+    cell; of a larger one any two blocks of its members meet in one cell.
     """
-    rows = marked.withColumn("blocks", F.ceil(F.col("n") / F.lit(cell)).cast("long"))
+    blocks = F.greatest(
+        F.ceil(F.col("n") / F.lit(cell)), F.ceil(F.col("total") / F.lit(CELL_FEATURES))
+    )
+    rows = marked.withColumn("blocks", blocks.cast("long"))
     block = F.pmod(F.xxhash64(F.lit(7), "cls"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     return rows.withColumn("block", block).withColumn("other", other).select(
@@ -478,73 +485,37 @@ def _cells(marked: DataFrame, cell: int = CELL) -> DataFrame:
     )
 
 
-CLOSE = fields(u=LONG, v=LONG, sig=LONG)
+CELL_KEYS = ["sig", "low", "high"]
+MEMBERS = fields(sig=LONG, low=LONG, high=LONG, cls=LONG, label=LONG)
 
 
-def _close_pairs(cells: DataFrame, sets: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """(u, v, sig): pairs of different components whose sketches allow a link.
+def _possible(
+    label: np.ndarray, size: np.ndarray, words: list[np.ndarray], percent: int
+) -> Iterator[tuple[int, np.ndarray]]:
+    """Each member and its later partners that sketches allow, the closest first.
 
-    With ``forest``, cells with more such pairs than members give only those
-    that join their components, closest first, and their signature beside
-    them: they are not done.
+    Sizes ascend.  ``label`` may change meanwhile: equal ones are passed over.
     """
-    keys = ["sig", "low", "high"]
-    rows = (
-        cells.join(sets.select("cls", "size", "coarse"), "cls")
-        .repartition(*keys)
-        .sortWithinPartitions(*keys, "size", "cls")
-        .select(*keys, "cls", "label", "size", "coarse")
-    )
+    lengths = np.array([len(w) for w in words])  # ascend with the sizes
+    for length in np.unique(lengths):  # pairs whose shorter sketch has this length
+        at = np.flatnonzero(lengths >= length)
+        table = np.stack([folded(words[i], int(length)) for i in at.tolist()])
+        for j in np.flatnonzero(lengths == length).tolist():
+            # rows of the table are members from at[0] on; sizes in reach are the next ones
+            end = int(np.searchsorted(size, int(size[j]) * 100 // percent, side="right"))
+            rest = j + 1 + np.flatnonzero(label[j + 1 : end] != label[j])
+            if not len(rest):
+                continue
+            most = (size[j] + size[rest]) * (100 - percent) // (100 + percent)
+            apart = np.bitwise_count(table[rest - at[0]] ^ table[j - at[0]]).sum(axis=1)
+            near = apart <= most
+            if near.any():
+                yield j, rest[near][np.argsort(apart[near], kind="stable")]
 
-    def solve(part: pa.Table) -> pa.RecordBatch:
-        cls, label, size = (part[c].to_numpy() for c in ("cls", "label", "size"))
-        words = [np.frombuffer(s.as_buffer(), "<u8") for s in part["coarse"].combine_chunks()]
-        us, vs, far = [], [], []
-        lengths = np.array([len(w) for w in words])
-        for length in np.unique(lengths):  # pairs whose shorter sketch has this length
-            at = np.flatnonzero(lengths >= length)
-            table = np.stack([folded(words[i], int(length)) for i in at.tolist()])
-            for j in np.flatnonzero(lengths == length).tolist():
-                # sizes ascend, so do lengths: partners come after
-                rest = at[at > j]
-                most = (size[j] + size[rest]) * (100 - percent) // (100 + percent)
-                rest_ok = (label[rest] != label[j]) & (100 * size[j] >= percent * size[rest])
-                rest, most = rest[rest_ok], most[rest_ok]
-                if not len(rest):
-                    continue
-                where = np.searchsorted(at, rest)
-                apart = np.bitwise_count(table[where] ^ table[np.searchsorted(at, j)]).sum(axis=1)
-                near = apart <= most
-                us.append(np.full(int(near.sum()), j))
-                vs.append(rest[near])
-                far.append(apart[near])
-        none = np.zeros(0, np.int64)
-        u = np.concatenate(us) if us else none
-        v = np.concatenate(vs) if vs else none
-        left = forest and len(u) > len(cls)
-        if left:
-            distance = np.concatenate(far)
-            names, index = np.unique(label, return_inverse=True)
-            root = list(range(len(names)))
-
-            def find(i: int) -> int:
-                while root[i] != i:
-                    root[i] = root[root[i]]
-                    i = root[i]
-                return i
-
-            kept = []
-            for e in np.argsort(distance, kind="stable").tolist():
-                a, b = find(int(index[u[e]])), find(int(index[v[e]]))
-                if a != b:
-                    root[a] = b
-                    kept.append(e)
-            u, v = u[kept], v[kept]
-        a, b = cls[u], cls[v]
-        name = pa.array([int(part["sig"][0].as_py()) if left else None] * len(a), pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), name], names=CLOSE.names
-        )
+
+def _map_cells(rows: DataFrame, solve, schema) -> DataFrame:  # noqa: ANN001
+    """``solve`` on the rows of each cell, ordered by size."""
+    dealt = rows.repartition(*CELL_KEYS).sortWithinPartitions(*CELL_KEYS, "size", "cls")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []  # the cell that is not yet complete
@@ -552,53 +523,87 @@ def _close_pairs(cells: DataFrame, sets: DataFrame, percent: int, forest: bool)
         for batch in batches:
             if not len(batch):
                 continue
-            columns = [batch.column(i).to_numpy() for i in range(len(keys))]
+            columns = [batch.column(i).to_numpy() for i in range(len(CELL_KEYS))]
             new = np.any([c[1:] != c[:-1] for c in columns], axis=0)
             edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(batch)]
             for s, e in itertools.pairwise(edges):
                 this = tuple(c[s] for c in columns)
                 if held and this != name:
-                    yield solve(pa.Table.from_batches(held))
+                    yield solve(pa.Table.from_batches(held).combine_chunks())
                     held = []
                 name = this
                 held.append(batch.slice(s, e - s))
         if held:
-            yield solve(pa.Table.from_batches(held))
+            yield solve(pa.Table.from_batches(held).combine_chunks())
 
-    return rows.mapInArrow(run, CLOSE)
+    return dealt.mapInArrow(run, schema)
 
 
-def class_labels(groups: DataFrame, sets: DataFrame, percent: int, cell: int = CELL) -> DataFrame:
-    """(cls, label) of all classes that share a signature with another."""
-    classes = sets.select("cls")
-    none = sets.sparkSession.createDataFrame([], EDGES)
-    tested = links = none
-    labels: DataFrame | None = None
-
-    def settle(pairs: DataFrame) -> bool:
-        nonlocal tested, links, labels
-        pairs = stored(pairs.join(tested, ["u", "v"], "anti"), "pairs")
-        if pairs.isEmpty():
-            return False
-        tested = tested.unionByName(pairs)
-        links = links.unionByName(stored(verified(pairs, sets, percent), "links"))
-        labels = stored(_labels(classes, links), "labels")
-        return True
+def _words(column: pa.ChunkedArray) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), "<u8") for chunk in column.chunks for x in chunk]
+
+
+def _close_members(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``cells`` with a partner there, of another component, that sketches allow."""
 
+    def solve(part: pa.Table) -> pa.RecordBatch:
+        label, size = part["label"].to_numpy(), part["size"].to_numpy()
+        close = np.zeros(len(label), bool)
+        for j, partners in _possible(label, size, _words(part["sketch"]), percent):
+            close[j] = True
+            close[partners] = True
+        kept = part.select(MEMBERS.names).filter(pa.array(close)).combine_chunks()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(kept[c].to_numpy()) for c in MEMBERS.names], names=MEMBERS.names
+        )
+
+    rows = cells.join(sets.select("cls", "size", "sketch"), "cls")
+    return _map_cells(rows.select(*MEMBERS.names, "size", "sketch"), solve, MEMBERS)
+
+
+def _cell_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(u, v): in each cell a spanning forest of the links between components."""
+
+    def solve(part: pa.Table) -> pa.RecordBatch:
+        cls, size = part["cls"].to_numpy(), part["size"].to_numpy()
+        label = part["label"].to_numpy().copy()
+        shingles = _words(part["shingles"])
+        us, vs = [], []
+        for j, partners in _possible(label, size, _words(part["sketch"]), percent):
+            for i in partners.tolist():
+                if label[i] != label[j] and linked(shingles[j], shingles[i], percent):
+                    label[label == label[i]] = label[j]
+                    us.append(j)
+                    vs.append(i)
+        a, b = cls[us], cls[vs]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=EDGES.names
+        )
+
+    rows = members.join(sets.select("cls", "size", "sketch", "shingles"), "cls")
+    return _map_cells(
+        rows.select(*MEMBERS.names, "size", "sketch", "shingles"), solve, EDGES
+    ).distinct()
+
+
+def class_labels(groups: DataFrame, sets: DataFrame, percent: int, cell: int = CELL) -> DataFrame:
+    """(cls, size, label) of all classes that share a signature with another."""
+    classes = sets.select("cls", "size")
+    links = sets.sparkSession.createDataFrame([], EDGES)
+    labels = classes.withColumn("label", F.col("cls"))
     for _ in range(STARS):
         marked = stored(_open_groups(groups, labels), "open-groups")
         if marked.isEmpty():
-            break
-        settle(_stars(marked))
+            return labels
+        links = links.unionByName(stored(verified(_stars(marked), sets, percent), "links"))
+        labels = stored(_labels(classes, links), "labels")
         groups = marked.where("not leads").select("sig", "cls", "n")  # leaders are done
-    for forest in (True, False):
-        marked = stored(_open_groups(groups, labels), "open-groups")
-        if marked.isEmpty():
-            break
-        close = stored(_close_pairs(_cells(marked, cell), sets, percent, forest), "close-pairs")
-        settle(close.select("u", "v").distinct())
-        groups = groups.join(close.select("sig").distinct(), "sig", "semi")  # not done
-    return classes.withColumn("label", F.col("cls")) if labels is None else labels
+    marked = stored(_open_groups(groups, labels), "open-groups")
+    if marked.isEmpty():
+        return labels
+    members = stored(_close_members(_cells(marked, cell), sets, percent), "close-members")
+    links = links.unionByName(stored(_cell_links(members, sets, percent), "links"))
+    return stored(_labels(classes, links), "labels")
 
 
 def jaccard_components(
@@ -626,7 +631,7 @@ def jaccard_components(
     sets = stored(
         _needed_sets(docs, filled, needed, seed, key, text, shingle, percent), "needed-sets"
     )
-    labels = stored(class_labels(groups, sets, percent, cell), "labels")
+    labels = class_labels(groups, sets, percent, cell).select("cls", "label")
     least = filled.groupBy("cls").agg(F.min("key").alias("least"))
     rooted = least.join(labels, "cls", "left").select(
         "cls", "least", F.coalesce("label", "cls").alias("label")
